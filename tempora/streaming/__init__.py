@@ -1,0 +1,4 @@
+"""Intentionally empty: the workload covered by this library is batch only.
+
+Late corrections are handled in batch by ``operators.dedup.latest_per_key``.
+"""
