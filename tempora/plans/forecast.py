@@ -60,8 +60,8 @@ class Forecast:
 def split_table(
     df: DataFrame, ts: str = TS, series: tuple[str, ...] = (), train: float = TRAIN_RATIO, validation: float = VALIDATION_RATIO
 ) -> DataFrame:
-    """Labelled rows, checkpointed once because every fit reads them."""
-    return materialise(chronological_split(df, train, validation, ts, series, check=True))
+    """Labelled rows. The table is checkpointed before the split reads it and after, for the fits."""
+    return materialise(chronological_split(materialise(df), train, validation, ts, series, check=True))
 
 
 def fit_candidates(
@@ -154,7 +154,7 @@ def run_forecast(
     table = materialise(training)
     enforce(training_report(table, ts, target, series), f"{checks}/04_training_dataset_validation.json")
 
-    labelled = split_table(table, ts, series)
+    labelled = materialise(chronological_split(table, ts=ts, series=series, check=True))
     features = feature_columns(table, ts, target, series)
     parts = {p: split_part(labelled, p) for p in ("train", "validation", "test")}
     split_found = enforce(

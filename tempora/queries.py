@@ -53,7 +53,7 @@ from tempora.schemas import (
     TS,
     WEATHER_COLUMNS,
 )
-from tempora.session import scratch_path
+from tempora.session import materialise, scratch_path
 from tempora.sinks.tables import read_csv_like, write_csv
 from tempora.sources.archives import parse_archives
 from tempora.sources.columnar import read_columnar_json
@@ -177,7 +177,7 @@ def ingest_tagged_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_tagged_csv(spark, path).select("RECORD_TYPE", "VERSION", SERIES, TS, TARGET, CHANGED)
 
 
-def _zip_month(key, lines: pd.DataFrame) -> pd.DataFrame:
+def _zip_month(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
     """One archive per month holding one archive per day; bounded by the calendar."""
     outer = io.BytesIO()
     with zipfile.ZipFile(outer, "w", zipfile.ZIP_DEFLATED) as month:
@@ -594,8 +594,8 @@ def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def _two_lags(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
     """(scaled training part, scaled full frame, features) of a two-feature model."""
     features = ["lag_1", "lag_2"]
-    rows = add_lag_features(half_total(spark, sf), [1, 2]).dropna()
-    labelled = chronological_split(rows)
+    rows = materialise(add_lag_features(half_total(spark, sf), [1, 2]).dropna())
+    labelled = materialise(chronological_split(rows))
     train = split_part(labelled, "train")
     scaler = fit_scaler(train, features)
     return scaler.transform(train), scaler.transform(labelled), features

@@ -14,7 +14,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tempora.errors import IngestError
 from tempora.schemas import SOURCE_FILE
 from tempora.sources.tagged import parse_tagged_lines
 
@@ -82,23 +81,15 @@ def expand_archives(archives: DataFrame) -> DataFrame:
     return archives.select("name", "content").mapInPandas(_expand, LINES_SCHEMA)
 
 
-def parse_archives(archives: DataFrame) -> DataFrame:
-    """Data rows of all CSV members of the given archives."""
-    lines = expand_archives(archives)
-    broken = lines.filter(F.col("error").isNotNull()).agg(
-        F.min(SOURCE_FILE).alias("first"), F.count(F.lit(1)).alias("n")
-    ).first()
-    if broken["n"]:
-        raise IngestError(f"not a valid ZIP archive: {broken['first']} ({broken['n']} in total)")
-    if lines.isEmpty():
-        raise IngestError("the archives contain no CSV file")
-    return parse_tagged_lines(lines.drop("error"))
+def parse_archives(archives: DataFrame, eager: bool = False) -> DataFrame:
+    """Data rows of all CSV members of the given archives; undecodable bytes are replaced.
 
+    Archives are expanded twice, once for the layout and once for the data; nothing is staged.
+    """
+    return parse_tagged_lines(expand_archives(archives), eager=eager)
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+
+def read_archives(spark: SparkSession, path: str, eager: bool = False) -> DataFrame:
     """All ``.zip`` files (any letter case) directly below ``path``."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
-    archives = found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    if found.select("path").isEmpty():
-        raise IngestError(f"no ZIP archives found in {path}")
-    return parse_archives(archives)
+    return parse_archives(found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"), eager)

@@ -8,6 +8,7 @@ aggregation), the second parses. A quoted field must not contain a line break.
 from __future__ import annotations
 
 import csv
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,7 @@ from tempora.schemas import RECORD_COLUMNS, SOURCE_FILE
 
 CORRUPT = "__corrupt"
 LINE, BLOCK = "_line", "_block"
+CSV_GLOB = "*.[cC][sS][vV]"
 # A header table of at most this many files is broadcast; beyond it Spark chooses.
 BROADCAST_FILES = 100_000
 # CSV options that keep values exactly as they stand between the separators.
@@ -41,7 +43,7 @@ def header_names(header: str) -> list[str]:
     return [*RECORD_COLUMNS, *names[4:]]
 
 
-def read_lines(spark: SparkSession, path: str, glob: str = "*.[cC][sS][vV]") -> DataFrame:
+def read_lines(spark: SparkSession, path: str, glob: str = CSV_GLOB) -> DataFrame:
     """(SOURCE_FILE, _block, _line, value) for the files directly below ``path``.
 
     (_block, _line) orders the lines of one file: the split's offset, then the position inside it.
@@ -56,64 +58,79 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.[cC][sS][vV]") ->
 
 
 def _structure(lines: DataFrame) -> DataFrame:
-    tagged = lines.select(SOURCE_FILE, BLOCK, LINE, "value", record_tag(F.col("value")).alias("__tag"))
+    """One row per file: last header, data rows, lines that are not UTF-8, unreadable archives."""
     is_header = F.col("__tag") == "I"
+    error = F.col("error") if "error" in lines.columns else F.lit(None).cast("string")
+    tagged = lines.select(
+        SOURCE_FILE, BLOCK, LINE, "value", record_tag(F.col("value")).alias("__tag"), error.alias("__error")
+    )
     return tagged.groupBy(SOURCE_FILE).agg(
         F.max_by("value", F.when(is_header, F.struct(BLOCK, LINE))).alias("header"),
         F.count_if(F.col("__tag") == "D").alias("data_rows"),
         F.count_if(~F.is_valid_utf8("value")).alias("undecodable"),
+        F.max("__error").alias("error"),
     )
 
 
-def _fail(found: DataFrame, what: str) -> None:
-    """Name the first offending file and how many there are; reads one row."""
-    row = found.agg(F.min(SOURCE_FILE).alias("first"), F.count(F.lit(1)).alias("n")).first()
-    if row["n"]:
-        raise IngestError(f"{what}: {row['first']} ({row['n']} files in total)")
-
+def _checked_headers(structure: DataFrame, check_encoding: bool) -> dict[str, int]:
+    """Header text -> number of files. Distinct headers are schema versions of the feed, not data."""
 
-def parse_tagged_lines(lines: DataFrame, check_encoding: bool = False) -> DataFrame:
-    """Data rows as text columns plus SOURCE_FILE, _block and _line.
+    def first(condition: Column) -> Column:
+        return F.min(F.when(condition, F.col(SOURCE_FILE)))
 
-    The last ``I`` line of a file names the columns of all its rows. Files with different headers
-    are aligned by column name. Layout errors raise.
-    """
-    structure = _structure(lines)
-    # Distinct headers: schema versions of the feed, not data.
-    headers = [
-        (r["header"], r["n"], r["first"], r["empty"], r["bad"])
-        for r in structure.groupBy("header")
+    found = (
+        structure.groupBy("header")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min(SOURCE_FILE).alias("first"),
-            F.min(F.when(F.col("data_rows") == 0, F.col(SOURCE_FILE))).alias("empty"),
-            F.min(F.when(F.col("undecodable") > 0, F.col(SOURCE_FILE))).alias("bad"),
+            first(F.col("error").isNotNull()).alias("unreadable"),
+            first(F.col("undecodable") > 0).alias("undecodable"),
+            first(F.col("data_rows") == 0).alias("empty"),
         )
         .collect()
-    ]
-    if not headers:
-        raise IngestError("no input lines")
-    undecodable = sorted(h[4] for h in headers if h[4])
-    if check_encoding and undecodable:
-        raise IngestError(f"not valid UTF-8: {undecodable[0]}")
-    without = [h[2] for h in headers if h[0] is None]
-    if without:
-        raise IngestError(f"no header record ('I'): {without[0]}")
-    short = sorted(h[2] for h in headers if len(next(csv.reader([h[0]]))) < 4)
-    if short:
-        raise IngestError(f"header record with fewer than four fields: {short[0]}")
-    empty = sorted(h[3] for h in headers if h[3])
-    if empty:
-        raise IngestError(f"no data records ('D'): {empty[0]}")
+    )
+
+    def stop(files: list[str | None], what: str) -> None:
+        named = sorted(f for f in files if f)
+        if named:
+            raise IngestError(f"{what}: {named[0]}")
+
+    stop([r["unreadable"] for r in found], "not a valid ZIP archive")
+    if check_encoding:
+        stop([r["undecodable"] for r in found], "not valid UTF-8")
+    stop([r["first"] for r in found if r["header"] is None], "no header record ('I')")
+    stop([r["first"] for r in found if len(next(csv.reader([r["header"]]))) < 4], "header record with fewer than four fields")
+    stop([r["empty"] for r in found], "no data records ('D')")
+    return {r["header"]: r["n"] for r in found}
 
+
+def parse_tagged_lines(
+    lines: DataFrame, check_encoding: bool = False, eager: bool = False, expected_files: set[str] | None = None
+) -> DataFrame:
+    """Data rows as text columns plus SOURCE_FILE, _block and _line.
+
+    The last ``I`` line of a file names the columns of all its rows. Files with different headers
+    are aligned by column name. Layout errors raise at once. A data record whose field count differs
+    from its header fails the job that reads it, at no extra cost; ``eager`` spends one more pass to
+    raise here instead, with the number of such records.
+    """
+    structure = _structure(lines)
+    headers = _checked_headers(structure, check_encoding)
+    if not headers:
+        raise IngestError("no CSV input found")
+    if expected_files and len(expected_files) != sum(headers.values()):
+        seen = {unquote(r[0]) for r in structure.select(SOURCE_FILE).collect()}
+        empty = sorted({unquote(f) for f in expected_files} - seen)
+        if empty:
+            raise IngestError(f"no header record ('I'): {empty[0]}")
     data = lines.filter(record_tag(F.col("value")) == "D")
-    known = sorted(h[0] for h in headers)
+    known = sorted(headers)
     if len(known) > 1:
         per_file = structure.select(SOURCE_FILE, "header")
-        if sum(h[1] for h in headers) <= BROADCAST_FILES:
+        if sum(headers.values()) <= BROADCAST_FILES:
             per_file = F.broadcast(per_file)
         data = data.join(per_file, SOURCE_FILE)
-    parsed = []
+    parsed: list[tuple[list[str], Column]] = []
     for header in known:
         names = header_names(header)
         if len(set(names)) != len(names):
@@ -123,30 +140,38 @@ def parse_tagged_lines(lines: DataFrame, check_encoding: bool = False) -> DataFr
         schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]).simpleString()
         value = F.from_csv("value", schema, CSV_OPTIONS)
         parsed.append((names, value if len(known) == 1 else F.when(F.col("header") == header, value)))
-    structs = {f"__p{i}": column for i, (_, column) in enumerate(parsed)}
-    wide = data.withColumns(structs)
-    bad = [F.col(f"__p{i}.{CORRUPT}").isNotNull() for i in range(len(parsed))]
-    broken = wide.filter(F.coalesce(*[F.when(b, F.lit(True)) for b in bad], F.lit(False)))
-    _fail(
-        broken.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("n")),
-        "data records whose field count differs from the header",
-    )
+    wide = data.withColumns({f"__p{i}": column for i, (_, column) in enumerate(parsed)})
+    corrupt = [F.col(f"__p{i}.{CORRUPT}") for i in range(len(parsed))]
+    broken = F.coalesce(*corrupt).isNotNull()
+    what = "data records whose field count differs from the header"
+    if eager:
+        row = wide.filter(broken).agg(F.min(SOURCE_FILE).alias("first"), F.count(F.lit(1)).alias("n")).first()
+        if row["n"]:
+            raise IngestError(f"{row['n']} {what}: {row['first']}")
+    else:
+        complaint = F.raise_error(F.concat(F.lit(f"{what}: "), F.col(SOURCE_FILE))).cast("boolean")
+        wide = wide.filter(F.when(broken, complaint).otherwise(F.lit(True)))
     order: list[str] = []
     for names, _ in parsed:
         order += [n for n in names if n not in order]
+
+    def field(i: int, position: int) -> Column:
+        # The parser reports an empty field as null; in a feed of texts it is an empty text.
+        return F.when(F.col(f"__p{i}").isNotNull(), F.coalesce(F.col(f"__p{i}.c{position}"), F.lit("")))
+
     columns = [
-        F.coalesce(*[F.col(f"__p{i}.c{names.index(n)}") for i, (names, _) in enumerate(parsed) if n in names]).alias(n)
+        F.coalesce(*[field(i, names.index(n)) for i, (names, _) in enumerate(parsed) if n in names]).alias(n)
         for n in order
     ]
     return wide.select(*columns, SOURCE_FILE, BLOCK, LINE)
 
 
-def read_tagged_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All ``.csv`` files (any letter case) directly below ``path``, or one file."""
+def read_tagged_csv(spark: SparkSession, path: str, eager: bool = False) -> DataFrame:
+    """All ``.csv`` files (any letter case) directly below ``path``, or one file. Strict UTF-8."""
     lines = read_lines(spark, path)
-    if lines.isEmpty():
-        raise IngestError(f"no CSV lines found in {path}")
-    return parse_tagged_lines(lines, check_encoding=True)
+    # Empty files yield no line, so only the listing (already on the driver) knows them.
+    listed = {name.rsplit("/", 1)[-1] for name in lines.inputFiles()}
+    return parse_tagged_lines(lines, check_encoding=True, eager=eager, expected_files=listed)
 
 
 def ingest_summary(df: DataFrame) -> DataFrame:
