@@ -11,13 +11,16 @@ from tempora.models.frames import fit, importance_table, predict, save_model
 from tempora.models.linear import fit_linear, fit_ridge
 from tempora.models.search import SearchResult, tune_boosted
 from tempora.models.trees import boosting_estimator, fit_boosted_default, fit_random_forest
-from tempora.operators.columns import feature_columns, with_residual
+from tempora.operators.columns import feature_columns, model_columns, with_residual
+from tempora.operators.joins import attach_weather
 from tempora.operators.metrics import baseline_predictions, evaluate_models, regression_metrics, select_best
 from tempora.operators.scaling import FittedScaler, fit_scaler
 from tempora.operators.split import chronological_split, split_part
+from tempora.plans.demand import demand_features
+from tempora.plans.training import prepare_training
 from tempora.quality.reports import demand_report, enforce, merge_report, model_output_report, series_report
 from tempora.quality.reports import split_report, training_report, weather_report
-from tempora.schemas import BASELINES, SEED, TARGET, TRAIN_RATIO, TS, VALIDATION_RATIO
+from tempora.schemas import BASELINES, SEED, TARGET, TRAIN_RATIO, TS, VALIDATION_RATIO, WEATHER_COLUMNS
 from tempora.session import materialise
 from tempora.sinks.reports import plain, write_report
 from tempora.sinks.tables import write_csv, write_merge_details, write_training_table
@@ -125,33 +128,38 @@ def final_forecast(
 def run_forecast(
     demand: DataFrame,
     weather: DataFrame,
-    training: DataFrame,
     output: str,
     ts: str = TS,
     target: str = TARGET,
     series: tuple[str, ...] = (),
     weather_keys: list[str] | None = None,
+    weather_columns: list[str] | None = None,
+    on_unmatched: str = "error",
     budget: Budget | None = None,
     seed: int = SEED,
 ) -> dict:
-    """Reports, candidates, selection, final test, outputs. Stops at the first failing report.
+    """Reports, training table, candidates, selection, final test, outputs; stops at the first failing report.
 
-    ``demand`` is cleaned demand, ``weather`` the half-hour weather, ``training`` the table built
-    from both. All outputs go below ``output``.
+    ``demand`` is cleaned demand, ``weather`` the half-hour weather with or without derived features.
+    Both, and each later table that several steps read, are checkpointed once. All outputs go below
+    ``output``.
     """
-    spark = training.sparkSession
+    spark = demand.sparkSession
     b = budget or Budget()
     checks, details = f"{output}/verification", f"{output}/verification/details"
     keys = weather_keys or [ts]
+    columns = WEATHER_COLUMNS if weather_columns is None else weather_columns
+    demand, weather = materialise(demand), materialise(weather)
 
     enforce(series_report(demand, ts, (*series, ts), series=series), f"{checks}/00_existing_demand_validation.json")
     enforce(demand_report(demand, ts, target, series), f"{checks}/01_demand_validation.json")
     enforce(weather_report(weather, ts, tuple(k for k in keys if k != ts)), f"{checks}/02_weather_validation.json")
-    weather_columns = [c for c in weather.columns if c in training.columns and c not in keys]
-    merged = demand.join(weather.select(*keys, *weather_columns), keys, "left")
-    write_merge_details(demand, weather, merged, details, keys, weather_columns)
-    enforce(merge_report(demand, weather, merged, keys, weather_columns), f"{checks}/03_merge_validation.json")
-    table = materialise(training)
+    features_only = demand_features(model_columns(demand, series, ts, target), ts, target, series)
+    merged = materialise(attach_weather(features_only, weather, keys, columns, on_unmatched))
+    write_merge_details(demand, weather, merged, details, keys, columns)
+    enforce(merge_report(demand, weather, merged, keys, columns), f"{checks}/03_merge_validation.json")
+    in_order = merged.select(*features_only.columns, *columns)
+    table = materialise(prepare_training(in_order, ts, series))
     enforce(training_report(table, ts, target, series), f"{checks}/04_training_dataset_validation.json")
 
     labelled = materialise(chronological_split(table, ts=ts, series=series, check=True))

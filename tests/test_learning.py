@@ -45,7 +45,7 @@ def test_split_per_series(spark):
 
 def test_split_guards(spark):
     df = timeline(spark, 10)
-    for ratios in [(0, 0.1), (1, 0.1), (0.5, 0), (0.7, 0.3), (0.9, 0.2)]:
+    for ratios in [(0, 0.1), (1, 0.1), (0.5, 0), (0.75, 0.25), (0.9, 0.2)]:
         with pytest.raises(GuardError):
             chronological_split(df, *ratios, ts="ts")
     with pytest.raises(GuardError, match="repeated"):
