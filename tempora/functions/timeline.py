@@ -14,33 +14,29 @@ HOUR = 60 * MINUTE
 DAY = 24 * HOUR
 
 
-def micros(ts: Column | str) -> Column:
-    """Microseconds since 1970-01-01 00:00 on the column's own timeline."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    seconds = (F.extract(F.lit("SECOND"), c) * SECOND).cast("bigint")
+def quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def micros_sql(ts: str) -> str:
+    c = quoted(ts)
     return (
-        F.unix_date(c.cast("date")).cast("bigint") * DAY
-        + F.hour(c).cast("bigint") * HOUR
-        + F.minute(c).cast("bigint") * MINUTE
-        + seconds
+        f"(unix_date(cast({c} as date)) * {DAY}L + hour({c}) * {HOUR}L + minute({c}) * {MINUTE}L"
+        f" + cast(extract(second from {c}) * {SECOND} as bigint))"
     )
 
 
-def from_micros(value: Column) -> Column:
-    """Inverse of :func:`micros`."""
-    return shift(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), value)
+def micros(ts: str) -> Column:
+    """Microseconds since 1970-01-01 00:00 on the column's own timeline."""
+    return F.expr(micros_sql(ts))
 
 
-def shift(ts: Column | str, value: Column | int) -> Column:
-    """``ts`` moved by a number of microseconds."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    if isinstance(value, int):
-        days, rest = divmod(value, DAY)
-        return c + F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), F.lit(rest / SECOND).cast("decimal(18,6)"))
-    rest = F.pmod(value, F.lit(DAY))
-    days = ((value - rest) / F.lit(DAY)).cast("int")
-    seconds = (rest.cast("decimal(18,0)") / F.lit(SECOND)).cast("decimal(18,6)")
-    return c + F.make_dt_interval(days, F.lit(0), F.lit(0), seconds)
+def shift(ts: str, amount: int | str) -> Column:
+    """``ts`` moved by microseconds: a number, or an SQL expression for one."""
+    us = f"cast({amount} as bigint)"
+    days = f"cast(({us} - pmod({us}, {DAY}L)) div {DAY}L as int)"
+    seconds = f"cast(cast(pmod({us}, {DAY}L) as decimal(18,0)) / {SECOND} as decimal(18,6))"
+    return F.expr(f"{quoted(ts)} + make_dt_interval({days}, 0, 0, {seconds})")
 
 
 def floor_to(ts: Column | str, step: int) -> Column:

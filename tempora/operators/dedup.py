@@ -8,15 +8,12 @@ from tempora.operators.columns import require_columns
 from tempora.schemas import CHANGED, SERIES, TS
 
 
-def drop_exact_duplicates(df: DataFrame, ordinal: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct rows; ordinal columns do not count as content and keep their first value."""
-    content = [c for c in df.columns if c not in ordinal]
-    if not ordinal:
+def drop_exact_duplicates(df: DataFrame, position: str | None = None) -> DataFrame:
+    """Distinct rows; an ingest position does not count as content and keeps its first value."""
+    if position is None:
         return df.dropDuplicates()
-    first = F.min(F.struct(*ordinal)).alias("__first")
-    grouped = df.groupBy(*content).agg(first)
-    back = {c: F.col(f"__first.{c}") for c in ordinal}
-    return grouped.withColumns(back).select(*df.columns)
+    content = [c for c in df.columns if c != position]
+    return df.groupBy(*content).agg(F.min(position).alias(position)).select(*df.columns)
 
 
 def latest_per_key(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tempora.errors import GuardError
 from tempora.functions.casts import flag
-from tempora.functions.timeline import HOUR, MINUTE, floor_to, micros, shift
+from tempora.functions.timeline import HOUR, MINUTE, floor_to, micros, micros_sql, shift
 from tempora.operators.chunks import CHUNK_ROWS, SLOT, ordered_windows
 from tempora.operators.columns import require_columns
 from tempora.schemas import TS
@@ -84,14 +84,15 @@ def missing_intervals(
     ahead = ordered_windows(
         present, build, ts, series, after=1, chunk_rows=chunk_rows, slot=slot, keep_series_start=True
     )
-    start = micros("series_start")
-    first = F.floor((micros(ts) - start) / F.lit(step)).cast("bigint") + 1
-    last = F.ceil((micros("__next") - start) / F.lit(step)).cast("bigint") - 1
+    # First and last grid number strictly between a timestamp and its successor.
+    start = micros_sql("series_start")
+    first = F.expr(f"({micros_sql(ts)} - {start}) div {step} + 1")
+    last = F.expr(f"({micros_sql('__next')} - {start} - 1) div {step}")
     gaps = ahead.filter(F.col("__next").isNotNull()).withColumns({"__first": first, "__last": last})
     points = gaps.filter("__first <= __last").select(
         *series, "series_start", F.explode(F.sequence("__first", "__last")).alias("__k")
     )
-    return points.select(*series, shift("series_start", F.col("__k") * step).alias(ts))
+    return points.select(*series, shift("series_start", f"__k * {step}L").alias(ts))
 
 
 def upsample(
@@ -118,24 +119,20 @@ def upsample(
         return {f"__n_{c}": F.lead(c).over(w) for c in [ts, *linear, *hold]}
 
     ahead = ordered_windows(narrow, build, ts, series, after=1, chunk_rows=chunk_rows, slot=slot)
-    span = micros(f"__n_{ts}") - micros(ts)
-    slots = F.greatest(F.ceil(span / F.lit(step)).cast("bigint") - 1, F.lit(0))
-    rows = ahead.withColumn("__span", span).withColumn("__slots", F.coalesce(slots, F.lit(0)))
+    rows = ahead.withColumn("__span", F.expr(f"{micros_sql(f'__n_{ts}')} - {micros_sql(ts)}"))
     if hold:
         # Only the observation itself and the slot one step before the next one carry a held value.
-        lead_slot = (F.col("__span") - step) / F.lit(step)
-        whole = (F.col("__span") > step) & (F.pmod(F.col("__span"), F.lit(step)) == 0)
-        picks = F.when(whole, F.array(F.lit(0), lead_slot.cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))
-        rows = rows.withColumn("__k", F.explode(picks))
+        picks = f"if(__span > {step} and __span % {step} = 0, array(0L, __span div {step} - 1), array(0L))"
     else:
-        rows = rows.withColumn("__k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__slots"))))
+        picks = f"sequence(0L, coalesce(greatest((__span - 1) div {step}, 0L), 0L))"
+    rows = rows.withColumn("__k", F.explode(F.expr(picks)))
     share = (F.col("__k") * step).cast("double") / F.col("__span")
     out = [
         F.when(F.col("__k") == 0, F.col(c)).otherwise(F.col(c) + (F.col(f"__n_{c}") - F.col(c)) * share).alias(c)
         for c in linear
     ]
     held = [F.when(F.col("__k") == 0, F.col(c)).otherwise(F.col(f"__n_{c}")).alias(c) for c in hold]
-    return rows.select(*series, shift(ts, F.col("__k") * step).alias(ts), *out, *held)
+    return rows.select(*series, shift(ts, f"__k * {step}L").alias(ts), *out, *held)
 
 
 def upsample_linear(df: DataFrame, columns: list[str], **options) -> DataFrame:

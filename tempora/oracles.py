@@ -6,6 +6,14 @@ from tempora.schemas import WEATHER_COLUMNS
 
 CENTS = "CAST(round(value * 100) AS BIGINT)"
 
+
+
+def fixed(value: str, digits: int) -> str:
+    """Fixed number of decimals by plain arithmetic."""
+    scale = f"1e{digits}::DOUBLE"
+    return f"floor(({value}) * {scale} + 0.5::DOUBLE) / {scale}"
+
+
 # --- derived inputs as common table expressions -------------------------------------------------
 
 HALF_TYPE = f"""
@@ -79,7 +87,7 @@ def _rolling(digits: int | None) -> str:
         for name, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")):
             value = f'{fn}("OPERATIONAL_DEMAND") OVER w{n}'
             if name == "std" and digits is not None:
-                value = f"round({value}, {digits})"
+                value = fixed(value, digits)
             out.append(f'CASE WHEN count("OPERATIONAL_DEMAND") OVER w{n} = {n} THEN {value} END AS rolling_{name}_{n}')
     return ", ".join(out)
 
@@ -106,14 +114,15 @@ def calendar(t: str) -> str:
 
 def cyclical(t: str, digits: int) -> str:
     tod = f"(hour({t}) + minute({t}) / 60.0::DOUBLE)"
-    parts = [f"round({tod}, {digits}) AS time_of_day"]
+    parts = [f"{fixed(tod, digits)} AS time_of_day"]
     for name, value, period in (
         ("time", tod, 24),
         ("day_of_week", f"(isodow({t}) - 1)", 7),
         ("month", f"(month({t}) - 1)", 12),
     ):
         for fn in ("sin", "cos"):
-            parts.append(f"round({fn}({value} * (2 * pi()) / {period}.0::DOUBLE), {digits}) AS {name}_{fn}")
+            angle = f"{fn}({value} * (2 * pi()) / {period}.0::DOUBLE)"
+            parts.append(f"{fixed(angle, digits)} AS {name}_{fn}")
     return ", ".join(parts)
 
 
@@ -132,7 +141,7 @@ comparison AS (SELECT model, """ + _METRICS + """ FROM long GROUP BY model)"""
 
 
 def rounded(digits: int, *names: str) -> str:
-    return ", ".join(f'round("{n}", {digits}) AS "{n}"' for n in names)
+    return ", ".join(fixed(f'"{n}"', digits) + f' AS "{n}"' for n in names)
 
 
 TRAIN = (
@@ -192,7 +201,7 @@ st AS (
 z AS (SELECT *, n + {alpha}::DOUBLE AS d, n * c12 / (s1 * s2) AS o, n * c1y / s1 AS b1, n * c2y / s2 AS b2 FROM st),
 w AS (SELECT *, (d * b1 - o * b2) / (d * d - o * o) AS w1, (d * b2 - o * b1) / (d * d - o * o) AS w2 FROM z)
 SELECT "INTERVAL_DATETIME", CAST("OPERATIONAL_DEMAND" AS DOUBLE) AS actual,
-       round(my + w1 * (lag_1 - m1) / s1 + w2 * (lag_2 - m2) / s2, 2) AS predicted
+       {fixed("my + w1 * (lag_1 - m1) / s1 + w2 * (lag_2 - m2) / s2", 2)} AS predicted
 FROM labelled CROSS JOIN w"""
 
 
@@ -246,8 +255,8 @@ FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)""",
 SELECT "REGIONID", "INTERVAL_DATETIME", "OPERATIONAL_DEMAND" AS actual, lag_1 AS predicted,
        "OPERATIONAL_DEMAND" - lag_1 AS residual FROM lagged_t WHERE lag_1 IS NOT NULL""",
     "metric_improvement": f"""WITH {BASE}
-SELECT model, round("MAE", 4) AS "MAE",
-       round((SELECT "MAE" FROM comparison WHERE model = 'previous_week') - "MAE", 4) AS "MAE_improvement"
+SELECT model, {rounded(4, "MAE")},
+       {fixed("(SELECT comparison.\"MAE\" FROM comparison WHERE model = 'previous_week') - comparison.\"MAE\"", 4)} AS "MAE_improvement"
 FROM comparison""",
     "filter_series": f"WITH {HALF_TYPE} SELECT * FROM half_t WHERE \"REGIONID\" = 'click'",
     "drop_warmup": f"WITH {LAG_TYPE} SELECT * FROM lagged_t WHERE lag_336 IS NOT NULL",
@@ -337,11 +346,11 @@ m AS (SELECT {_METRICS} FROM p) SELECT {rounded(4, "MAE", "RMSE", "MAPE", "R2")}
   SELECT event_type AS candidate, user_id, CAST(sum({CENTS}) AS DOUBLE) AS v, CAST(min({CENTS}) AS DOUBLE) AS t,
          CAST(count(*) AS DOUBLE) AS s FROM events GROUP BY 1, 2),
 g AS (SELECT candidate, avg(v) AS mv, stddev_pop(v) AS sv, avg(t) AS mt, avg(s) AS ms FROM f GROUP BY 1)
-SELECT candidate, round(mv, 4) AS "mean_validation_MAE", round(sv, 4) AS "std_validation_MAE",
-       round(mt, 4) AS "mean_training_MAE", round(ms, 4) AS mean_fit_time,
+SELECT candidate, {fixed("mv", 4)} AS "mean_validation_MAE", {fixed("sv", 4)} AS "std_validation_MAE",
+       {fixed("mt", 4)} AS "mean_training_MAE", {fixed("ms", 4)} AS mean_fit_time,
        CAST(rank() OVER (ORDER BY mv) AS INTEGER) AS rank_test_score FROM g""",
     "select_best": f"""WITH {BASE}
-SELECT model, round("MAE", 6) AS "MAE" FROM comparison WHERE model IN ('previous_day', 'previous_week')
+SELECT model, {rounded(6, "MAE")} FROM comparison WHERE model IN ('previous_day', 'previous_week')
 ORDER BY comparison."MAE", model LIMIT 1""",
     "lag_features": f"WITH {LAG_TYPE} SELECT * FROM lagged_t",
     "rolling_features": f"""WITH {HALF_TYPE} SELECT *, {_rolling(4)} FROM half_t {_windows('PARTITION BY "REGIONID"')}""",
@@ -388,13 +397,13 @@ SELECT * EXCLUDE (event_id, k) FROM (
   SELECT *, row_number() OVER (PARTITION BY "REGIONID", "INTERVAL_DATETIME"
                                ORDER BY "LASTCHANGED" DESC, "SOURCE_FILE" DESC, event_id DESC) AS k FROM r) WHERE k = 1""",
     "training_table": f"WITH {TRAIN} SELECT * FROM training",
-    "standard_scale": """WITH s AS (
+    "standard_scale": f"""WITH s AS (
   SELECT avg(l_quantity) AS m1, stddev_pop(l_quantity) AS s1, avg(l_extendedprice) AS m2,
          stddev_pop(l_extendedprice) AS s2, avg(l_discount) AS m3, stddev_pop(l_discount) AS s3,
          avg(l_tax) AS m4, stddev_pop(l_tax) AS s4 FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01')
-SELECT l_orderkey, l_linenumber, round((l_quantity - m1) / s1, 6) AS l_quantity,
-       round((l_extendedprice - m2) / s2, 6) AS l_extendedprice, round((l_discount - m3) / s3, 6) AS l_discount,
-       round((l_tax - m4) / s4, 6) AS l_tax FROM lineitem CROSS JOIN s""",
+SELECT l_orderkey, l_linenumber, {fixed("(l_quantity - m1) / s1", 6)} AS l_quantity,
+       {fixed("(l_extendedprice - m2) / s2", 6)} AS l_extendedprice,
+       {fixed("(l_discount - m3) / s3", 6)} AS l_discount, {fixed("(l_tax - m4) / s4", 6)} AS l_tax FROM lineitem CROSS JOIN s""",
     "baseline_metrics": f"""WITH {LAG_TYPE},
 base AS (SELECT CAST("OPERATIONAL_DEMAND" AS DOUBLE) AS a, * FROM lagged_t
          WHERE lag_336 IS NOT NULL AND "OPERATIONAL_DEMAND" > 0),

@@ -17,22 +17,23 @@ from tempora.operators.columns import (
 from tempora.operators.dedup import drop_exact_duplicates, latest_per_key
 from tempora.operators.windows import add_history_features
 from tempora.schemas import CHANGED, DEMAND_NUMERIC_COLUMNS, LAGS, ROLLING_WINDOWS, SERIES, SOURCE_FILE, TARGET, TS
-from tempora.sources.tagged import BLOCK, LINE
+from tempora.sources.tagged import POSITION
 
 
 def clean_demand(df: DataFrame, region: str | None = None, check: bool = True) -> DataFrame:
     """Typed, de-duplicated demand: one row per (series, timestamp), the latest correction wins.
 
-    ``region=None`` keeps all series; they are processed side by side. Ingest positions, when present,
-    break ties between equally recent corrections and are dropped afterwards.
+    ``region=None`` keeps all series; they are processed side by side. The ingest position, when present,
+    breaks ties between equally recent corrections and is dropped afterwards.
     """
     needed = [SERIES, TS, *DEMAND_NUMERIC_COLUMNS, CHANGED, SOURCE_FILE]
     require_columns(df, needed, "demand cleaning")
     picked = df if region is None else filter_series(df, region, SERIES, require_match=check)
-    positions = tuple(c for c in (BLOCK, LINE) if c in df.columns)
+    position = POSITION if POSITION in df.columns else None
     typed = coerce_demand_types(picked)
-    unique = drop_exact_duplicates(typed, positions)
-    latest = latest_per_key(unique, (SERIES, TS), CHANGED, (SOURCE_FILE, *positions)).drop(*positions)
+    unique = drop_exact_duplicates(typed, position)
+    ties = (SOURCE_FILE, position) if position else (SOURCE_FILE,)
+    latest = latest_per_key(unique, (SERIES, TS), CHANGED, ties).drop(POSITION)
     if check:
         require_no_missing(latest, [TS, TARGET], "demand cleaning")
     return latest

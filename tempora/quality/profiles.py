@@ -53,16 +53,15 @@ def infinite_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return _long(df, infinite_counters(df, columns), "infinite_count")
 
 
-def interval_text(us: Column) -> Column:
-    """``0 days 00:30:00`` notation of a duration in microseconds."""
-    days = F.floor(us / F.lit(DAY)).cast("bigint")
-    rest = us - days * DAY
-    hours = F.floor(rest / F.lit(HOUR)).cast("bigint")
-    minutes = F.floor((rest % HOUR) / F.lit(MINUTE)).cast("bigint")
-    seconds = F.floor((rest % MINUTE) / F.lit(SECOND)).cast("bigint")
-    fraction = rest % SECOND
-    whole = F.format_string("%d days %02d:%02d:%02d", days, hours, minutes, seconds)
-    return F.when(fraction == 0, whole).otherwise(F.concat(whole, F.format_string(".%06d", fraction)))
+def interval_text(name: str) -> Column:
+    """``0 days 00:30:00`` notation of a column of non-negative microseconds."""
+    us = f"cast({name} as bigint)"
+    rest = f"({us} % {DAY}L)"
+    whole = (
+        f"format_string('%d days %02d:%02d:%02d', {us} div {DAY}L, {rest} div {HOUR}L,"
+        f" ({rest} % {HOUR}L) div {MINUTE}L, ({rest} % {MINUTE}L) div {SECOND}L)"
+    )
+    return F.expr(f"if({us} % {SECOND}L = 0, {whole}, concat({whole}, format_string('.%06d', {us} % {SECOND}L)))")
 
 
 def interval_counts(
@@ -116,12 +115,9 @@ def timestamp_profile(
         interval_counts(df, ts, series, chunk_rows, slot)
         .orderBy(F.desc("n"), F.asc("step_micros"))
         .limit(TOP_INTERVALS)
-        .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "step_micros"))).alias("a"))
-        .select(
-            F.map_from_entries(
-                F.transform("a", lambda e: F.struct(interval_text(e["step_micros"]), -e["m"]))
-            ).alias("m")
-        )
+        .withColumn("step", interval_text("step_micros"))
+        .agg(F.expr("sort_array(collect_list(struct(-n as m, step_micros, step)))").alias("a"))
+        .select(F.expr("map_from_entries(transform(a, e -> struct(e.step, -e.m)))").alias("m"))
     )
     return base.select(
         "invalid_timestamp_count",

@@ -57,7 +57,7 @@ from tempora.session import materialise, scratch_path
 from tempora.sinks.tables import read_csv_like, write_csv
 from tempora.sources.archives import parse_archives
 from tempora.sources.columnar import read_columnar_json
-from tempora.sources.tagged import ingest_summary, read_tagged_csv
+from tempora.sources.tagged import POSITION, ingest_summary, read_tagged_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGION = (SERIES,)
@@ -131,7 +131,9 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, names: list[str], digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in names})
+    """Fixed number of decimals by plain arithmetic, the same on both engines."""
+    scale = f"1e{digits}d"
+    return df.withColumns({c: F.expr(f"floor(`{c}` * {scale} + 0.5d) / {scale}") for c in names})
 
 
 # --- sources --------------------------------------------------------------------------------------
@@ -346,8 +348,8 @@ def match_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_report(spark: SparkSession, sf: str) -> DataFrame:
-    demand, companion = _click(spark, sf), weather(spark, sf)
-    merged = joins.attach_weather(demand, companion, check=False)
+    demand, companion = materialise(_click(spark, sf)), materialise(weather(spark, sf))
+    merged = materialise(joins.attach_weather(demand, companion, check=False))
     out = reports.merge_report(demand, companion, merged)
     return out.select(
         "demand_rows_before_merge",
@@ -405,7 +407,7 @@ def value_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The most common distances between consecutive timestamps."""
     counts = profiles.interval_counts(half_by_type(spark, sf), TS, REGION)
     top = counts.orderBy(F.desc("n"), F.asc("step_micros")).limit(profiles.TOP_INTERVALS)
-    return top.select(profiles.interval_text(F.col("step_micros")).alias("step"), "n")
+    return top.select(profiles.interval_text("step_micros").alias("step"), "n")
 
 
 def dedup_exact(spark: SparkSession, sf: str) -> DataFrame:
@@ -560,8 +562,7 @@ def clean_series(spark: SparkSession, sf: str) -> DataFrame:
         F.col("props").alias("WDR_ESTIMATE"),
         F.date_format("ts", pattern).alias(CHANGED),
         F.date_format("ts", "yyyy-MM-dd").alias(SOURCE_FILE),
-        F.lit(0).cast("bigint").alias("_block"),
-        F.col("event_id").alias("_line"),
+        F.col("event_id").cast("decimal(38,0)").alias(POSITION),
     )
     return clean_demand(raw.unionByName(raw), check=False)
 
@@ -699,7 +700,7 @@ def demand_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def weather_report(spark: SparkSession, sf: str) -> DataFrame:
-    out = reports.weather_report(weather_features(weather(spark, sf)))
+    out = reports.weather_report(materialise(weather_features(weather(spark, sf))))
     return out.select(
         "row_count",
         "column_count",
@@ -714,7 +715,7 @@ def weather_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def training_report(spark: SparkSession, sf: str) -> DataFrame:
-    out = reports.training_report(training(spark, sf))
+    out = reports.training_report(materialise(training(spark, sf)))
     return out.select(
         "row_count",
         "column_count",

@@ -15,9 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tempora.schemas import SOURCE_FILE
-from tempora.sources.tagged import parse_tagged_lines
+from tempora.sources.tagged import POSITION, parse_tagged_lines
 
-LINES_SCHEMA = "SOURCE_FILE string, _block bigint, _line bigint, value string, error string"
+LINES_SCHEMA = "SOURCE_FILE string, line bigint, value string, error string"
 BATCH_LINES = 50_000
 
 
@@ -47,8 +47,7 @@ def _frame(source: str, first: int, lines: list[str], error: str | None = None)
     return pd.DataFrame(
         {
             "SOURCE_FILE": source,
-            "_block": 0,
-            "_line": range(first, first + len(lines)),
+            "line": range(first, first + len(lines)),
             "value": lines,
             "error": error,
         }
@@ -78,7 +77,8 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def expand_archives(archives: DataFrame) -> DataFrame:
     """(name, content) -> lines. ``content`` holds whole archives, ``name`` their file name."""
-    return archives.select("name", "content").mapInPandas(_expand, LINES_SCHEMA)
+    lines = archives.select("name", "content").mapInPandas(_expand, LINES_SCHEMA)
+    return lines.select(SOURCE_FILE, F.col("line").cast("decimal(38,0)").alias(POSITION), "value", "error")
 
 
 def parse_archives(archives: DataFrame, eager: bool = False) -> DataFrame:

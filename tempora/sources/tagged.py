@@ -17,7 +17,7 @@ from tempora.errors import IngestError
 from tempora.schemas import RECORD_COLUMNS, SOURCE_FILE
 
 CORRUPT = "__corrupt"
-LINE, BLOCK = "_line", "_block"
+POSITION = "_position"
 CSV_GLOB = "*.[cC][sS][vV]"
 # A header table of at most this many files is broadcast; beyond it Spark chooses.
 BROADCAST_FILES = 100_000
@@ -44,15 +44,18 @@ def header_names(header: str) -> list[str]:
 
 
 def read_lines(spark: SparkSession, path: str, glob: str = CSV_GLOB) -> DataFrame:
-    """(SOURCE_FILE, _block, _line, value) for the files directly below ``path``.
+    """(SOURCE_FILE, _position, value) for the files directly below ``path``.
 
-    (_block, _line) orders the lines of one file: the split's offset, then the position inside it.
+    ``_position`` orders the lines of one file: the offset of the split, then the row inside the
+    task (the low 33 bits of the generated id). One number, so that aggregates on it stay hashed.
     """
     lines = spark.read.text(path, pathGlobFilter=glob)
     return lines.select(
         F.col("_metadata.file_name").alias(SOURCE_FILE),
-        F.col("_metadata.file_block_start").alias(BLOCK),
-        F.monotonically_increasing_id().alias(LINE),
+        F.expr(
+            "cast(_metadata.file_block_start as decimal(28,0)) * 8589934592"
+            " + (monotonically_increasing_id() & 8589934591)"
+        ).cast("decimal(38,0)").alias(POSITION),
         "value",
     )
 
@@ -62,10 +65,10 @@ def _structure(lines: DataFrame) -> DataFrame:
     is_header = F.col("__tag") == "I"
     error = F.col("error") if "error" in lines.columns else F.lit(None).cast("string")
     tagged = lines.select(
-        SOURCE_FILE, BLOCK, LINE, "value", record_tag(F.col("value")).alias("__tag"), error.alias("__error")
+        SOURCE_FILE, POSITION, "value", record_tag(F.col("value")).alias("__tag"), error.alias("__error")
     )
     return tagged.groupBy(SOURCE_FILE).agg(
-        F.max_by("value", F.when(is_header, F.struct(BLOCK, LINE))).alias("header"),
+        F.max_by("value", F.when(is_header, F.col(POSITION))).alias("header"),
         F.count_if(F.col("__tag") == "D").alias("data_rows"),
         F.count_if(~F.is_valid_utf8("value")).alias("undecodable"),
         F.max("__error").alias("error"),
@@ -107,7 +110,7 @@ def _checked_headers(structure: DataFrame, check_encoding: bool) -> dict[str, in
 def parse_tagged_lines(
     lines: DataFrame, check_encoding: bool = False, eager: bool = False, expected_files: set[str] | None = None
 ) -> DataFrame:
-    """Data rows as text columns plus SOURCE_FILE, _block and _line.
+    """Data rows as text columns plus SOURCE_FILE and _position.
 
     The last ``I`` line of a file names the columns of all its rows. Files with different headers
     are aligned by column name. Layout errors raise at once. A data record whose field count differs
@@ -163,7 +166,7 @@ def parse_tagged_lines(
         F.coalesce(*[field(i, names.index(n)) for i, (names, _) in enumerate(parsed) if n in names]).alias(n)
         for n in order
     ]
-    return wide.select(*columns, SOURCE_FILE, BLOCK, LINE)
+    return wide.select(*columns, SOURCE_FILE, POSITION)
 
 
 def read_tagged_csv(spark: SparkSession, path: str, eager: bool = False) -> DataFrame:

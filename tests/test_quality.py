@@ -49,7 +49,7 @@ def test_profile_order_comes_from_the_ordinal(frame, ordered):
 
 def test_interval_text(spark):
     us = [30 * 60 * 10**6, (26 * 3600 + 61) * 10**6 + 5]
-    got = spark.createDataFrame([(u,) for u in us], "u long").select(profiles.interval_text(F.col("u"))).collect()
+    got = spark.createDataFrame([(u,) for u in us], "u long").select(profiles.interval_text("u")).collect()
     assert [r[0] for r in got] == ["0 days 00:30:00", "1 days 02:01:01.000005"]
 
 

@@ -36,7 +36,7 @@ def test_tagged_csv(spark, tmp_path):
     write(tmp_path / "sub", "c.csv", report(data("A", 3, 40)))
     df = read_tagged_csv(spark, str(tmp_path))
     assert df.columns[:5] == ["RECORD_TYPE", "DATASET", "DATA_TYPE", "VERSION", "REGIONID"]
-    rows = df.orderBy("SOURCE_FILE", "_block", "_line").collect()
+    rows = df.orderBy("SOURCE_FILE", "_position").collect()
     assert [(r["SOURCE_FILE"], r["REGIONID"], r["OPERATIONAL_DEMAND"]) for r in rows] == [
         ("a.csv", "A", "30"), ("b.CSV", "A", "10"), ("b.CSV", "B", "20"),
     ]
@@ -122,7 +122,7 @@ def test_archives_stream_long_members_in_batches(spark, tmp_path, monkeypatch):
     rows = [data("A", i % 24, i) for i in range(500)]
     write(tmp_path, "m.zip", zipped({"long.csv": report(*rows)}))
     df = read_archives(spark, str(tmp_path))
-    ordered = [int(r[0]) for r in df.orderBy("_line").select("OPERATIONAL_DEMAND").collect()]
+    ordered = [int(r[0]) for r in df.orderBy("_position").select("OPERATIONAL_DEMAND").collect()]
     assert ordered == list(range(500))
 
 

@@ -107,7 +107,7 @@ def test_latest_correction(frame):
 def test_exact_duplicates_keep_their_first_position(frame):
     # A, B, A again: the repeated A must not count as newer than B.
     rows = [("K", 1, 9, "A", "f", 1), ("K", 1, 9, "B", "f", 2), ("K", 1, 9, "A", "f", 3)]
-    unique = dedup.drop_exact_duplicates(frame(CORRECTIONS, rows), ("_line",))
+    unique = dedup.drop_exact_duplicates(frame(CORRECTIONS, rows), "_line")
     assert sorted((r["v"], r["_line"]) for r in unique.collect()) == [("A", 1), ("B", 2)]
     assert latest(unique) == ["B"]
 
