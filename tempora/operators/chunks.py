@@ -1,17 +1,24 @@
 """Row-ordered windows over series of any length.
 
 ``Window.partitionBy(series)`` puts a whole series into one task, and without series columns the
-whole table. Here every series is cut into consecutive chunks of about ``chunk_rows`` rows, and each
-chunk also receives the neighbouring rows its windows look at (the halo). The window is then
-partitioned by ``(series, chunk)``, so a single long series spreads over the cluster and a hot series
-is split, with results identical to the global window.
-
-Chunk borders come from row counts per calendar slot: one map-side-combined aggregate, whose size is
-bounded by the time span divided by the slot width, not by the number of rows. A slot is never
-split, so choose ``slot`` such that one slot of one series stays well below ``chunk_rows``; with
-distinct timestamps on a 30-minute grid a day holds at most 48 rows, and with distinct microsecond
-timestamps ``slot="second"`` is bounded by one million. Frames whose timestamps repeat are reduced to
-distinct timestamps first by the callers that allow repetition.
+whole table. Series of at most ``chunk_rows`` rows keep that plan. A longer series is cut into
+consecutive chunks of about ``chunk_rows`` rows, each of which also receives the neighbouring rows its
+windows look at (the halo), and the window is partitioned by ``(series, chunk)``: a single long or hot
+series spreads over the cluster, with results identical to the global window.
+
+How it is planned:
+
+1. Rows per series, one map-side-combined aggregate over the series columns alone. Usually nothing is
+   longer than ``chunk_rows`` and the plain window follows.
+2. For the long series only: rows per calendar slot, from which chunk borders and halos are derived.
+   This slot table is stored and counted. It is bounded by (number of long series) x (time span /
+   slot width), and broadcast only below ``BROADCAST_ROWS``; beyond that it is shuffle-joined.
+3. One shuffle of the rows by ``(series, chunk)``.
+
+A slot is never split, so choose ``slot`` such that one slot of one series stays well below
+``chunk_rows``: on a 30-minute grid a day holds at most 48 rows, and with distinct microsecond
+timestamps ``slot="second"`` is bounded by one million. Callers that allow repeated timestamps reduce
+them to distinct ones first. The input is read by each of these steps; store an expensive input first.
 """
 
 from __future__ import annotations
@@ -25,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tempora.errors import GuardError
 from tempora.functions.timeline import slot_id
 from tempora.operators.columns import require_columns
+from tempora.session import sized
 
 CHUNK_ROWS = 1_000_000
 SLOT = "day"
@@ -35,7 +43,7 @@ _MIN, _TOTAL = "__min_ts", "__total"
 
 def slot_counts(df: DataFrame, ts: str, series: tuple[str, ...], slot: str = SLOT) -> DataFrame:
     """Per (series, slot): rows, offset of its first row in the series, series total and first timestamp."""
-    per_series = Window.partitionBy(*series) if series else Window.partitionBy(F.lit(0))
+    per_series = Window.partitionBy(*(series or [F.lit(0)]))
     ordered = per_series.orderBy(F.col(_SLOT).asc_nulls_last())
     counted = df.groupBy(*series, slot_id(ts, slot).alias(_SLOT)).agg(
         F.count(F.lit(1)).alias(_ROWS), F.min(ts).alias(_MIN)
@@ -50,6 +58,17 @@ def slot_counts(df: DataFrame, ts: str, series: tuple[str, ...], slot: str = SLO
     )
 
 
+def long_series(df: DataFrame, series: tuple[str, ...], chunk_rows: int) -> DataFrame | None:
+    """Rows belonging to series longer than ``chunk_rows``; None when there is no such series."""
+    if not series:
+        return df if df.count() > chunk_rows else None
+    counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias("__n"))
+    long = counts.filter(F.col("__n") > chunk_rows).select(*series)
+    if long.isEmpty():
+        return None
+    return null_safe_join(df, sized(long, "long-series"), series, "left_semi")
+
+
 def chunk_assignment(
     df: DataFrame,
     ts: str,
@@ -68,7 +87,7 @@ def chunk_assignment(
     counts = slot_counts(df, ts, series, slot).withColumn(
         _CHUNK, F.expr(f"{_START} div {int(chunk_rows)}")
     )
-    per_series = Window.partitionBy(*series) if series else Window.partitionBy(F.lit(0))
+    per_series = Window.partitionBy(*(series or [F.lit(0)]))
     by_start = per_series.orderBy(_START)
     targets = F.array(_CHUNK)
     if before:
@@ -87,17 +106,11 @@ def chunk_assignment(
     return own.select(*series, _SLOT, _MIN, _CHUNK, (F.col(_CHUNK) == F.col("__own")).alias(_CORE))
 
 
-def join_on_slot(df: DataFrame, slots: DataFrame, ts: str, series: tuple[str, ...], slot: str) -> DataFrame:
-    """Attach slot-level columns to the rows; null-safe, so rows without a timestamp are kept.
-
-    No broadcast hint: the slot table grows with span x series, and Spark picks the strategy from
-    its size (AQE switches to a broadcast, or splits a skewed slot, at run time).
-    """
-    keys = [*series, _SLOT]
-    right = slots.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    left = df.withColumn(_SLOT, slot_id(ts, slot))
-    condition = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
-    return left.join(right, condition, "inner").drop(*[f"__r_{k}" for k in keys])
+def join_on_slot(
+    df: DataFrame, slots: DataFrame, ts: str, series: tuple[str, ...], slot: str, how: str = "inner"
+) -> DataFrame:
+    """Attach slot-level columns to the rows; null-safe, so rows without a timestamp are kept."""
+    return null_safe_join(df.withColumn(_SLOT, slot_id(ts, slot)), slots, (*series, _SLOT), how)
 
 
 def ordered_windows(
@@ -114,26 +127,29 @@ def ordered_windows(
     """Add the columns returned by ``build(window)``, where ``window`` orders one series by ``ts``.
 
     ``before``/``after`` state how many rows the expressions look back and ahead.
-    ``chunk_rows=None`` uses the plain per-series window: the cheaper plan when every series is known
-    to be short (panel data). ``keep_series_start`` also returns the first timestamp of the series.
+    ``chunk_rows=None`` skips the length check and uses the plain per-series window: for panels whose
+    series are known to be short. ``keep_series_start`` also returns the series' first timestamp.
     """
     require_columns(df, [*series, ts], "ordered windows")
-    order = F.col(ts).asc_nulls_last()
-    kept = [F.col(_MIN).alias("series_start")] if keep_series_start else []
-    if chunk_rows is None:
-        if not series:
-            raise GuardError("a frame without series columns needs chunk_rows")
-        window = Window.partitionBy(*series).orderBy(order)
-        start = {_MIN: F.min(ts).over(Window.partitionBy(*series))} if keep_series_start else {}
-        wide = df.withColumns({**start, **build(window)})
-        return wide.select(*df.columns, *[c for c in wide.columns if c not in {*df.columns, _MIN}], *kept)
-    if chunk_rows < max(before, after, 1):
+    if chunk_rows is None and not series:
+        raise GuardError("a frame without series columns needs chunk_rows")
+    if chunk_rows is not None and chunk_rows < max(before, after, 1):
         raise GuardError(f"chunk_rows={chunk_rows} is smaller than the window reach")
-    slots = chunk_assignment(df, ts, series, before, after, chunk_rows, slot)
-    rows = join_on_slot(df, slots, ts, series, slot)
-    window = Window.partitionBy(*series, _CHUNK).orderBy(order)
-    added = build(window)
-    return rows.withColumns(added).filter(_CORE).select(*df.columns, *added, *kept)
+    long = None if chunk_rows is None else long_series(df.select(*series, ts), series, chunk_rows)
+    rows, partition = df, [*series] or [F.lit(0)]
+    if long is not None:
+        slots = sized(chunk_assignment(long, ts, series, before, after, chunk_rows, slot), "slots")
+        # Rows of short series find no slot: they form one chunk of their own.
+        rows = join_on_slot(df, slots, ts, series, slot, "left")
+        partition = [*series, _CHUNK]
+    added = build(Window.partitionBy(*partition).orderBy(F.col(ts).asc_nulls_last()))
+    if keep_series_start:
+        first = F.min(ts).over(Window.partitionBy(*partition))
+        added["series_start"] = first if long is None else F.coalesce(F.col(_MIN), first)
+    out = rows.withColumns(added)
+    if long is not None:
+        out = out.filter(F.coalesce(F.col(_CORE), F.lit(True)))
+    return out.select(*df.columns, *added)
 
 
 def timestamps_at(
@@ -146,37 +162,25 @@ def timestamps_at(
     """Timestamps found at given 0-based positions of each series, without sorting the series.
 
     ``ranks`` maps the series row count to an array of positions. The slot holding each position is
-    known from the counts, so only those slots are ordered. Returns one row per series: ``total`` and
-    ``cuts`` (array aligned with the positions; null where a position is past the end).
+    known from the counts, so only those slots (a few per series) are ordered. Returns one row per
+    series with ``cuts``: a map from the index in the array to the timestamp; positions past the end
+    are absent.
     """
-    counts = slot_counts(df, ts, series, slot)
-    asked = counts.select(
-        *series, _SLOT, _ROWS, _START, _TOTAL, F.posexplode(ranks(F.col(_TOTAL))).alias("__i", "__rank")
-    )
-    wanted = asked.filter(
-        (F.col("__rank") >= F.col(_START)) & (F.col("__rank") < F.col(_START) + F.col(_ROWS))
-    )
-    holders = wanted.groupBy(*series, _SLOT).agg(
-        F.collect_list(F.struct("__i", (F.col("__rank") - F.col(_START)).alias("__offset"))).alias("__asked")
+    asked = slot_counts(df, ts, series, slot).select(
+        *series, _SLOT, _ROWS, _START, F.posexplode(ranks(F.col(_TOTAL))).alias("__i", "__rank")
     )
-    inside = join_on_slot(df.select(*series, ts), holders, ts, series, slot)
+    offset = F.col("__rank") - F.col(_START)
+    wanted = asked.filter((offset >= 0) & (offset < F.col(_ROWS)))
+    holders = wanted.groupBy(*series, _SLOT).agg(F.collect_list(F.struct("__i", offset.alias("__offset"))).alias("__asked"))
+    inside = join_on_slot(df.select(*series, ts), sized(holders, "holders"), ts, series, slot)
     position = F.row_number().over(Window.partitionBy(*series, _SLOT).orderBy(F.col(ts).asc_nulls_last())) - 1
     found = (
         inside.withColumn("__pos", position)
         .select(*series, ts, "__pos", F.explode("__asked").alias("__a"))
         .filter(F.col("__a.__offset") == F.col("__pos"))
-        .select(*series, F.struct(F.col("__a.__i").alias("i"), F.col(ts).alias("ts")).alias("__cut"))
-    )
-    cuts = found.groupBy(*series).agg(F.map_from_entries(F.collect_list("__cut")).alias("__cuts"))
-    totals = counts.groupBy(*series).agg(F.max(_TOTAL).alias("total"))
-    if series:
-        joined = null_safe_join(totals, cuts, series)
-    else:
-        joined = totals.withColumn("__cuts", cuts.select("__cuts").scalar())
-    indexes = F.sequence(F.lit(0), F.size(ranks(F.col("total"))) - 1)
-    return joined.select(
-        *series, "total", F.transform(indexes, lambda i: F.try_element_at(F.col("__cuts"), i)).alias("cuts")
     )
+    entry = F.struct(F.col("__a.__i").alias("i"), F.col(ts).alias("ts"))
+    return found.groupBy(*series).agg(F.map_from_entries(F.collect_list(entry)).alias("cuts"))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str = "left") -> DataFrame:
@@ -187,8 +191,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how
 
 
 def attach_cuts(df: DataFrame, cuts: DataFrame, series: tuple[str, ...]) -> DataFrame:
-    """Rows with their series' ``total`` and ``cuts``; a scalar subquery when there is one series."""
+    """Rows with the ``cuts`` of their series; a scalar subquery when there is one series."""
     if series:
-        return null_safe_join(df, cuts, series, "inner")
-    one = cuts.select(F.struct("total", "cuts").alias("c")).scalar()
-    return df.withColumn("__c", one).select(*df.columns, "__c.total", "__c.cuts")
+        return null_safe_join(df, sized(cuts, "cuts"), series, "left")
+    return df.withColumn("cuts", cuts.scalar())

@@ -44,7 +44,7 @@ def chronological_split(
 
     cuts = timestamps_at(df, ranks, ts, series, slot)
     rows = attach_cuts(df, cuts, series)
-    t, first, second = F.col(ts), F.col("cuts")[0], F.col("cuts")[1]
+    t, first, second = F.col(ts), F.try_element_at("cuts", F.lit(0)), F.try_element_at("cuts", F.lit(1))
     label = F.when(t < first, "train").when(t < second, "validation").otherwise("test")
     out = rows.withColumn("split", label).select(*df.columns, "split")
     if check:
@@ -65,7 +65,7 @@ def expanding_folds(
     """Add ``fold`` and ``role``: fold i trains on everything before its test block.
 
     The test blocks are the last ``n_splits`` blocks of ``n // (n_splits + 1)`` rows; a row appears
-    once per fold it takes part in.
+    once per fold it takes part in. Series with fewer than ``n_splits + 1`` rows have no folds.
     """
     require_columns(df, [*series, ts], "folds")
     if n_splits < 2:
@@ -77,7 +77,8 @@ def expanding_folds(
 
     rows = attach_cuts(df, timestamps_at(df, ranks, ts, series, slot), series)
     member = rows.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
-    starts = F.element_at("cuts", F.col("fold") + 1)
-    ends = F.try_element_at("cuts", F.col("fold") + 2)
-    role = F.when(F.col(ts) < starts, "train").when(ends.isNull() | (F.col(ts) < ends), "test")
+    start = F.try_element_at("cuts", F.col("fold"))
+    end = F.try_element_at("cuts", F.col("fold") + 1)
+    last = F.col("fold") == n_splits - 1
+    role = F.when(F.col(ts) < start, "train").when((F.col(ts) >= start) & (last | (F.col(ts) < end)), "test")
     return member.withColumn("role", role).filter(F.col("role").isNotNull()).select(*df.columns, "fold", "role")

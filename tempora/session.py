@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Derived key tables up to this many rows are broadcast (tens of MB); larger ones are shuffled.
+BROADCAST_ROWS = 1_000_000
 
 
 def build_session(app_name: str = "tempora", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,3 +59,9 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sized(df: DataFrame, label: str = "keys") -> DataFrame:
+    """Store a derived key table, count it, and mark it for broadcast only when it is small enough."""
+    stored = materialise(df, label)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored

@@ -127,11 +127,25 @@ def test_window_guards(spark):
         add_lag_features(df, [1], target="nope", ts="ts")
 
 
-def test_long_series_uses_many_partitions(spark):
-    """No single-partition exchange on the rows: the ordered shuffle is keyed by the chunk."""
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("keys", [("k",), ()])
+def test_plan_depends_on_the_longest_series(spark, keys, monkeypatch):
     df = series(spark, {"a": 50}, gap=0)
-    plan = add_lag_features(df, [1], target="y", ts="ts")._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(__chunk" in plan
+    options = dict(target="y", ts="ts", series=keys)
+    assert "__chunk" not in plan_of(add_lag_features(df, [1], **options))
+    long = plan_of(add_lag_features(df, [1], chunk_rows=10, **options))
+    assert "__chunk" in long and "BroadcastHashJoin" in long
+    monkeypatch.setattr("tempora.session.BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = add_lag_features(df, [1], chunk_rows=10, **options)
+        assert "SortMergeJoin" in plan_of(shuffled)
+        assert shuffled.exceptAll(add_lag_features(df, [1], **options)).isEmpty() and shuffled.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("block_rows", [2, 3, 100])
