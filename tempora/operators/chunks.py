@@ -15,10 +15,11 @@ How it is planned:
    slot width), and broadcast only below ``BROADCAST_ROWS``; beyond that it is shuffle-joined.
 3. One shuffle of the rows by ``(series, chunk)``.
 
-A slot is never split, so choose ``slot`` such that one slot of one series stays well below
-``chunk_rows``: on a 30-minute grid a day holds at most 48 rows, and with distinct microsecond
-timestamps ``slot="second"`` is bounded by one million. Callers that allow repeated timestamps reduce
-them to distinct ones first. The input is read by each of these steps; store an expensive input first.
+A slot is never split. Days are tried first; while the fullest slot exceeds ``chunk_rows``, the next
+finer unit is counted instead, down to seconds. On a 30-minute grid a day holds at most 48 rows; with
+distinct microsecond timestamps a second holds at most one million. Callers that allow repeated
+timestamps reduce them to distinct ones first. The input is read by each of these steps; store an
+expensive input first, or name the frame to count with ``plan_from``.
 """
 
 from __future__ import annotations
@@ -32,10 +33,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tempora.errors import GuardError
 from tempora.functions.timeline import slot_id
 from tempora.operators.columns import require_columns
-from tempora.session import sized
+from tempora.session import materialise, sized
 
 CHUNK_ROWS = 1_000_000
 SLOT = "day"
+SLOT_UNITS = ["month", "day", "hour", "minute", "second"]
 
 _SLOT, _ROWS, _START, _CHUNK, _CORE = "__slot", "__rows", "__start", "__chunk", "__core"
 _MIN, _TOTAL = "__min_ts", "__total"
@@ -58,6 +60,19 @@ def slot_counts(df: DataFrame, ts: str, series: tuple[str, ...], slot: str = SLO
     )
 
 
+def fitted_counts(
+    df: DataFrame, ts: str, series: tuple[str, ...], slot: str, rows_per_slot: int
+) -> tuple[DataFrame, str]:
+    """Stored slot counts at the coarsest unit, from ``slot`` on, whose fullest slot is small enough."""
+    units = SLOT_UNITS[SLOT_UNITS.index(slot) :]
+    for unit in units:
+        counts = materialise(slot_counts(df, ts, series, unit), "slot-counts")
+        fullest = counts.agg(F.max(_ROWS)).first()[0]
+        if unit == units[-1] or fullest is None or fullest <= rows_per_slot:
+            break
+    return counts, unit
+
+
 def long_series(df: DataFrame, series: tuple[str, ...], chunk_rows: int) -> DataFrame | None:
     """Rows belonging to series longer than ``chunk_rows``; None when there is no such series."""
     if not series:
@@ -70,13 +85,7 @@ def long_series(df: DataFrame, series: tuple[str, ...], chunk_rows: int) -> Data
 
 
 def chunk_assignment(
-    df: DataFrame,
-    ts: str,
-    series: tuple[str, ...],
-    before: int,
-    after: int,
-    chunk_rows: int,
-    slot: str,
+    counts: DataFrame, series: tuple[str, ...], before: int, after: int, chunk_rows: int
 ) -> DataFrame:
     """(series, slot) -> every chunk that needs the slot, with ``__core`` marking its own chunk.
 
@@ -84,9 +93,7 @@ def chunk_assignment(
     row" is a RANGE frame over the offsets, seen from the next slot; the mirrored frame serves
     ``after``. Both frames read the small slot table only.
     """
-    counts = slot_counts(df, ts, series, slot).withColumn(
-        _CHUNK, F.expr(f"{_START} div {int(chunk_rows)}")
-    )
+    counts = counts.withColumn(_CHUNK, F.expr(f"{_START} div {int(chunk_rows)}"))
     per_series = Window.partitionBy(*(series or [F.lit(0)]))
     by_start = per_series.orderBy(_START)
     targets = F.array(_CHUNK)
@@ -123,22 +130,27 @@ def ordered_windows(
     chunk_rows: int | None = CHUNK_ROWS,
     slot: str = SLOT,
     keep_series_start: bool = False,
+    plan_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the columns returned by ``build(window)``, where ``window`` orders one series by ``ts``.
 
     ``before``/``after`` state how many rows the expressions look back and ahead.
     ``chunk_rows=None`` skips the length check and uses the plain per-series window: for panels whose
     series are known to be short. ``keep_series_start`` also returns the series' first timestamp.
+    ``plan_from`` is a cheaper frame to count, for windows that reach one row: it holds the same
+    timestamps, possibly repeated.
     """
     require_columns(df, [*series, ts], "ordered windows")
     if chunk_rows is None and not series:
         raise GuardError("a frame without series columns needs chunk_rows")
     if chunk_rows is not None and chunk_rows < max(before, after, 1):
         raise GuardError(f"chunk_rows={chunk_rows} is smaller than the window reach")
-    long = None if chunk_rows is None else long_series(df.select(*series, ts), series, chunk_rows)
+    counted = (df if plan_from is None else plan_from).select(*series, ts)
+    long = None if chunk_rows is None else long_series(counted, series, chunk_rows)
     rows, partition = df, [*series] or [F.lit(0)]
     if long is not None:
-        slots = sized(chunk_assignment(long, ts, series, before, after, chunk_rows, slot), "slots")
+        counts, slot = fitted_counts(long, ts, series, slot, chunk_rows)
+        slots = sized(chunk_assignment(counts, series, before, after, chunk_rows), "slots")
         # Rows of short series find no slot: they form one chunk of their own.
         rows = join_on_slot(df, slots, ts, series, slot, "left")
         partition = [*series, _CHUNK]
@@ -166,7 +178,8 @@ def timestamps_at(
     series with ``cuts``: a map from the index in the array to the timestamp; positions past the end
     are absent.
     """
-    asked = slot_counts(df, ts, series, slot).select(
+    counts, slot = fitted_counts(df, ts, series, slot, CHUNK_ROWS)
+    asked = counts.select(
         *series, _SLOT, _ROWS, _START, F.posexplode(ranks(F.col(_TOTAL))).alias("__i", "__rank")
     )
     offset = F.col("__rank") - F.col(_START)

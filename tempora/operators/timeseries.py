@@ -31,13 +31,16 @@ def with_step(
     name: str = "step_micros",
     chunk_rows: int | None = CHUNK_ROWS,
     slot: str = SLOT,
+    plan_from: DataFrame | None = None,
 ) -> DataFrame:
     """Microseconds since the previous row of the series; null on the first."""
 
     def build(w):
         return {name: micros(ts) - F.lag(micros(ts)).over(w)}
 
-    return ordered_windows(df, build, ts, series, before=1, chunk_rows=chunk_rows, slot=slot)
+    return ordered_windows(
+        df, build, ts, series, before=1, chunk_rows=chunk_rows, slot=slot, plan_from=plan_from
+    )
 
 
 def continuity(
@@ -82,7 +85,8 @@ def missing_intervals(
         return {"__next": F.lead(ts).over(w)}
 
     ahead = ordered_windows(
-        present, build, ts, series, after=1, chunk_rows=chunk_rows, slot=slot, keep_series_start=True
+        present, build, ts, series, after=1, chunk_rows=chunk_rows, slot=slot, keep_series_start=True,
+        plan_from=df,
     )
     # First and last grid number strictly between a timestamp and its successor.
     start = micros_sql("series_start")

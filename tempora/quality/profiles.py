@@ -77,7 +77,7 @@ def interval_counts(
     shared by a large part of the rows never has to be ordered.
     """
     unique = distinct_timestamps(df, ts, series).dropna(subset=[ts])
-    steps = with_step(unique, ts, series, chunk_rows=chunk_rows, slot=slot)
+    steps = with_step(unique, ts, series, chunk_rows=chunk_rows, slot=slot, plan_from=df)
     pairs = F.array(
         F.struct(F.col("step_micros").alias("step_micros"), F.lit(1).cast("bigint").alias("n")),
         F.struct(F.lit(0).cast("bigint").alias("step_micros"), (F.col("copies") - 1).alias("n")),

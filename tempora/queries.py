@@ -676,7 +676,7 @@ def final_forecast_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def timestamp_profile(spark: SparkSession, sf: str) -> DataFrame:
     ev = table(spark, sf, "events")
-    return profiles.timestamp_profile(ev, "ts", ordinal="event_id", slot="hour").drop("most_common_intervals")
+    return profiles.timestamp_profile(ev, "ts", ordinal="event_id").drop("most_common_intervals")
 
 
 def series_report(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from tempora.errors import GuardError
-from tempora.operators.chunks import ordered_windows
+from tempora.operators.chunks import fitted_counts, ordered_windows
+from tempora.operators.timeseries import missing_intervals
 from tempora.operators.windows import (
     add_differences,
     add_history_features,
@@ -72,6 +73,27 @@ def test_a_slot_larger_than_a_chunk(spark):
     assert got.count() == 630
 
 
+def test_full_slots_are_counted_at_a_finer_unit(spark):
+    rows = [("a", START + dt.timedelta(seconds=7 * i), i) for i in range(900)]
+    rows += [("a", START + dt.timedelta(days=2 + i), i) for i in range(9)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, y long")
+    counts, unit = fitted_counts(df, "ts", ("k",), "day", 50)
+    assert unit == "minute" and counts.count() == 105 + 9
+    assert fitted_counts(df, "ts", ("k",), "day", 1000)[1] == "day"
+    assert fitted_counts(df, "ts", ("k",), "day", 0)[1] == "second"
+    got = add_lag_features(df, [1, 20], target="y", ts="ts", series=("k",), chunk_rows=50)
+    w = Window.partitionBy("k").orderBy("ts")
+    assert got.exceptAll(df.withColumns(lag_expressions("y", [1, 20])(w))).isEmpty() and got.count() == 909
+
+
+def test_repeated_timestamps_may_fill_a_slot(spark):
+    # A third of the rows share one timestamp; gaps are still exact with chunks smaller than that.
+    stamps = [START + dt.timedelta(hours=2 * i) for i in range(60)] + [START + dt.timedelta(hours=40)] * 30
+    df = spark.createDataFrame([("a", t) for t in stamps], "k string, ts timestamp_ntz")
+    got = missing_intervals(df, "ts", 3600 * 10**6, ("k",), chunk_rows=10)
+    assert sorted(r["ts"] for r in got.collect()) == [START + dt.timedelta(hours=2 * i + 1) for i in range(59)]
+
+
 def test_plain_and_chunked_agree_and_null_keys_survive(spark):
     df = spark.createDataFrame(
         [(None, START, 1), (None, START + dt.timedelta(hours=1), 2), ("a", START, 3), ("a", None, 4)],
