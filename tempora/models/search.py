@@ -61,7 +61,7 @@ def tune_boosted(
     """Mean validation MAE over expanding folds picks the winner, refitted on all of ``train``.
 
     Every fit is a distributed job; ``parallelism`` bounds how many are submitted at once. The folds
-    are assembled and checkpointed once and reused by all fits. ``max_rounds`` bounds the rounds of a
+    are assembled and stored once and reused by all fits. ``max_rounds`` bounds the rounds of a
     candidate (a compute budget; the drawn value is reported unchanged otherwise).
     """
     if n_iter < 1:
@@ -76,7 +76,10 @@ def tune_boosted(
     vectors = assembler(features).transform(base).select(
         *series, ts, FEATURES, F.col(target).cast("double").alias(target)
     )
-    folds = materialise(expanding_folds(materialise(vectors), n_splits, ts, series))
+    # Stored by fold and role: each fit reads its own part only.
+    folds = materialise(
+        expanding_folds(materialise(vectors), n_splits, ts, series), "folds", partition_by=("fold", "role")
+    )
 
     def score(task: tuple[int, int]) -> tuple[int, int, float, float, float]:
         c, f = task

@@ -38,15 +38,21 @@ def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "
 
 
 def evaluate_models(df: DataFrame, actual: str = "actual", models: list[str] | None = None) -> DataFrame:
-    """Metrics per prediction column, best MAE first: one pass over an unpivoted frame."""
+    """Metrics per prediction column, best MAE first.
+
+    All models are aggregated side by side in one pass; rows are not multiplied per model.
+    """
     require_columns(df, [actual], "evaluation")
     models = models if models is not None else [c for c in df.columns if c != actual]
     if not models:
         raise GuardError("evaluation: no prediction columns")
     require_columns(df, models, "evaluation")
-    typed = df.select(F.col(actual).cast("double").alias("__a"), *[F.col(m).cast("double").alias(m) for m in models])
-    long = typed.unpivot("__a", models, "model", "__p")
-    return leaderboard(long.groupBy("model").agg(*metric_aggregates(F.col("__a"), F.col("__p"))))
+    a = F.col(actual).cast("double")
+    side_by_side = df.agg(
+        *[F.struct(F.lit(m).alias("model"), *metric_aggregates(a, F.col(m).cast("double"))).alias(f"m{i}") for i, m in enumerate(models)]
+    )
+    long = side_by_side.select(F.inline(F.array(*[f"m{i}" for i in range(len(models))])))
+    return leaderboard(long)
 
 
 def leaderboard(metrics: DataFrame) -> DataFrame:

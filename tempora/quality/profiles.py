@@ -99,33 +99,38 @@ def timestamp_profile(
     Frames have no inherent order; without an ``ordinal`` the sorted order is meant, which only a
     missing timestamp can break.
     """
-    copies = distinct_timestamps(df, ts, series)
-    invalid = F.coalesce(F.sum(F.when(F.col(ts).isNull(), F.col("copies"))), F.lit(0))
-    base = copies.agg(
-        invalid.alias("invalid_timestamp_count"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_timestamp_count"),
+    null_owner = F.when(F.col(ts).isNull(), F.struct(F.lit(1).alias("one"), *series))
+    base = df.agg(
+        F.count_if(F.col(ts).isNull()).alias("invalid_timestamp_count"),
+        F.count_distinct(null_owner).alias("__null_keys"),
         F.min(ts).alias("minimum_timestamp"),
         F.max(ts).alias("maximum_timestamp"),
     )
+    # The zero distances (repeats) and the most common others, at most TOP_INTERVALS + 1 rows.
+    head = (
+        interval_counts(df, ts, series, chunk_rows, slot)
+        .orderBy(F.desc(F.col("step_micros") == 0), F.desc("n"), F.asc("step_micros"))
+        .limit(TOP_INTERVALS + 1)
+        .withColumn("step", interval_text("step_micros"))
+        .agg(
+            F.struct(
+                F.expr("coalesce(sum(if(step_micros = 0, n, 0)), 0)").alias("repeats"),
+                F.expr(f"slice(sort_array(collect_list(struct(-n as m, step_micros, step))), 1, {TOP_INTERVALS})").alias("top"),
+            ).alias("h")
+        )
+    )
+    found = base.withColumn("__h", head.scalar())
     if ordinal:
         monotonic = order_check(df, ts, ordinal).scalar()
     else:
         monotonic = F.col("invalid_timestamp_count") == 0
-    ranked = (
-        interval_counts(df, ts, series, chunk_rows, slot)
-        .orderBy(F.desc("n"), F.asc("step_micros"))
-        .limit(TOP_INTERVALS)
-        .withColumn("step", interval_text("step_micros"))
-        .agg(F.expr("sort_array(collect_list(struct(-n as m, step_micros, step)))").alias("a"))
-        .select(F.expr("map_from_entries(transform(a, e -> struct(e.step, -e.m)))").alias("m"))
-    )
-    return base.select(
+    return found.select(
         "invalid_timestamp_count",
-        "duplicate_timestamp_count",
+        F.expr("invalid_timestamp_count - __null_keys + __h.repeats").alias("duplicate_timestamp_count"),
         F.coalesce(monotonic, F.lit(True)).alias("is_monotonic_increasing"),
         "minimum_timestamp",
         "maximum_timestamp",
-        F.coalesce(ranked.scalar(), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))).alias("most_common_intervals"),
+        F.expr("map_from_entries(transform(__h.top, e -> struct(e.step, -e.m)))").alias("most_common_intervals"),
     )
 
 

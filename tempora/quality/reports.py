@@ -22,6 +22,7 @@ from tempora.quality.profiles import (
     timestamp_profile,
 )
 from tempora.schemas import COMPARISON_COLUMNS, MINIMUM_MATCH_RATE, SERIES, TARGET, TS, WEATHER_COLUMNS
+from tempora.session import materialise
 
 LISTED_INTERVALS = 1000
 
@@ -82,7 +83,7 @@ def series_report(
     The gap list inside the report shows the first ``LISTED_INTERVALS`` entries; the count is complete
     and ``missing_intervals`` returns the whole table.
     """
-    gaps = missing_intervals(df, ts, step, series, chunk_rows, slot)
+    gaps = materialise(missing_intervals(df, ts, step, series, chunk_rows, slot), "gaps")
     head = gaps.orderBy(ts).limit(LISTED_INTERVALS).agg(F.sort_array(F.collect_list(ts)))
     return df.agg(
         F.lit("series").alias("stage"),

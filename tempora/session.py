@@ -50,14 +50,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/tempora/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str = "table") -> DataFrame:
+def materialise(df: DataFrame, label: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write once below the shared folder and continue from the stored table.
 
     Cuts lineage, survives the loss of executors, and, being Parquet, keeps column pruning and size
     statistics for the steps that follow.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

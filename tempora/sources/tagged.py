@@ -61,17 +61,25 @@ def read_lines(spark: SparkSession, path: str, glob: str = CSV_GLOB) -> DataFram
 
 
 def _structure(lines: DataFrame) -> DataFrame:
-    """One row per file: last header, data rows, lines that are not UTF-8, unreadable archives."""
-    is_header = F.col("__tag") == "I"
+    """One row per file: last header, data rows, lines that are not UTF-8, unreadable archives.
+
+    Header text and error text are grouping keys first, so the pass over all lines is a hashed
+    aggregate on numbers; only its small result is reduced by ``max_by``.
+    """
     error = F.col("error") if "error" in lines.columns else F.lit(None).cast("string")
-    tagged = lines.select(
-        SOURCE_FILE, POSITION, "value", record_tag(F.col("value")).alias("__tag"), error.alias("__error")
-    )
-    return tagged.groupBy(SOURCE_FILE).agg(
-        F.max_by("value", F.when(is_header, F.col(POSITION))).alias("header"),
-        F.count_if(F.col("__tag") == "D").alias("data_rows"),
+    tag = record_tag(F.col("value"))
+    per_text = lines.groupBy(
+        SOURCE_FILE, F.when(tag == "I", F.col("value")).alias("text"), error.alias("error")
+    ).agg(
+        F.max(POSITION).alias("last"),
+        F.count_if(tag == "D").alias("data_rows"),
         F.count_if(~F.is_valid_utf8("value")).alias("undecodable"),
-        F.max("__error").alias("error"),
+    )
+    return per_text.groupBy(SOURCE_FILE).agg(
+        F.max_by("text", F.when(F.col("text").isNotNull(), F.col("last"))).alias("header"),
+        F.sum("data_rows").alias("data_rows"),
+        F.sum("undecodable").alias("undecodable"),
+        F.max("error").alias("error"),
     )
 
 
