@@ -17,7 +17,7 @@ How it is planned:
 
 A slot is never split. Days are tried first; while the fullest slot exceeds ``chunk_rows``, the next
 finer unit is counted instead, down to seconds. On a 30-minute grid a day holds at most 48 rows; with
-distinct microsecond timestamps a second holds at most one million. Callers that allow repeated
+distinct microsecond timestamps a second holds at most one million rows. Callers that allow repeated
 timestamps reduce them to distinct ones first. The input is read by each of these steps; store an
 expensive input first, or name the frame to count with ``plan_from``.
 """
@@ -35,7 +35,7 @@ from tempora.functions.timeline import slot_id
 from tempora.operators.columns import require_columns
 from tempora.session import materialise, sized
 
-CHUNK_ROWS = 1_000_000
+CHUNK_ROWS = 250_000
 SLOT = "day"
 SLOT_UNITS = ["month", "day", "hour", "minute", "second"]
 

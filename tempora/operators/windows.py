@@ -28,20 +28,30 @@ def lag_expressions(target: str, lags: Sequence[int]) -> Build:
 
 
 def rolling_expressions(target: str, windows: Sequence[int]) -> Build:
-    """Statistics of the preceding ``n`` rows; null until all of them hold a value."""
+    """Statistics of the preceding ``n`` rows and how many of these rows hold a value."""
 
     def build(w: WindowSpec) -> dict[str, Column]:
         out: dict[str, Column] = {}
         for n in windows:
             frame = w.rowsBetween(-n, -1)
-            full = F.count(target).over(frame) == n
             for name, fn in (("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max)):
-                out[f"rolling_{name}_{n}"] = F.when(full, fn(target).over(frame))
+                out[f"rolling_{name}_{n}"] = fn(target).over(frame)
+            out[f"__values_{n}"] = F.count(target).over(frame)
         return out
 
     return build
 
 
+def complete_windows_only(df: DataFrame, windows: Sequence[int]) -> DataFrame:
+    """Null out statistics of windows that are not filled; the count is evaluated once per window."""
+    masked = {
+        f"rolling_{name}_{n}": F.when(F.col(f"__values_{n}") == n, F.col(f"rolling_{name}_{n}"))
+        for n in windows
+        for name in ("mean", "std", "min", "max")
+    }
+    return df.withColumns(masked).drop(*[f"__values_{n}" for n in windows])
+
+
 def add_history_features(
     df: DataFrame,
     lags: Sequence[int] | None = LAGS,
@@ -66,7 +76,8 @@ def add_history_features(
     def build(w: WindowSpec) -> dict[str, Column]:
         return {name: column for b in builders for name, column in b(w).items()}
 
-    return ordered_windows(df, build, ts, series, before=reach, chunk_rows=chunk_rows, slot=slot)
+    out = ordered_windows(df, build, ts, series, before=reach, chunk_rows=chunk_rows, slot=slot)
+    return complete_windows_only(out, windows) if windows is not None else out
 
 
 def add_lag_features(df: DataFrame, lags: Sequence[int] = LAGS, **options) -> DataFrame:

@@ -99,10 +99,11 @@ def timestamp_profile(
     Frames have no inherent order; without an ``ordinal`` the sorted order is meant, which only a
     missing timestamp can break.
     """
-    null_owner = F.when(F.col(ts).isNull(), F.struct(F.lit(1).alias("one"), *series))
+    missing = F.col(ts).isNull()
+    null_keys = F.count_distinct(F.when(missing, F.struct(*series))) if series else F.max(missing.cast("int"))
     base = df.agg(
-        F.count_if(F.col(ts).isNull()).alias("invalid_timestamp_count"),
-        F.count_distinct(null_owner).alias("__null_keys"),
+        F.count_if(missing).alias("invalid_timestamp_count"),
+        F.coalesce(null_keys, F.lit(0)).alias("__null_keys"),
         F.min(ts).alias("minimum_timestamp"),
         F.max(ts).alias("maximum_timestamp"),
     )

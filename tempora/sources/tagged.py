@@ -122,7 +122,7 @@ def parse_tagged_lines(
 
     The last ``I`` line of a file names the columns of all its rows. Files with different headers
     are aligned by column name. Layout errors raise at once. A data record whose field count differs
-    from its header fails the job that reads it, at no extra cost; ``eager`` spends one more pass to
+    from its header fails the job that reads its values, at no extra cost; ``eager`` spends one more pass to
     raise here instead, with the number of such records.
     """
     structure = _structure(lines)
@@ -159,9 +159,6 @@ def parse_tagged_lines(
         row = wide.filter(broken).agg(F.min(SOURCE_FILE).alias("first"), F.count(F.lit(1)).alias("n")).first()
         if row["n"]:
             raise IngestError(f"{row['n']} {what}: {row['first']}")
-    else:
-        complaint = F.raise_error(F.concat(F.lit(f"{what}: "), F.col(SOURCE_FILE))).cast("boolean")
-        wide = wide.filter(F.when(broken, complaint).otherwise(F.lit(True)))
     order: list[str] = []
     for names, _ in parsed:
         order += [n for n in names if n not in order]
@@ -170,11 +167,17 @@ def parse_tagged_lines(
         # The parser reports an empty field as null; in a feed of texts it is an empty text.
         return F.when(F.col(f"__p{i}").isNotNull(), F.coalesce(F.col(f"__p{i}.c{position}"), F.lit("")))
 
+    def guarded(value: Column) -> Column:
+        # On the values rather than in a filter, which would be pushed down and parse the line twice.
+        if eager:
+            return value
+        return F.when(broken, F.raise_error(F.concat(F.lit(f"{what}: "), F.col(SOURCE_FILE)))).otherwise(value)
+
     columns = [
-        F.coalesce(*[field(i, names.index(n)) for i, (names, _) in enumerate(parsed) if n in names]).alias(n)
+        guarded(F.coalesce(*[field(i, names.index(n)) for i, (names, _) in enumerate(parsed) if n in names])).alias(n)
         for n in order
     ]
-    return wide.select(*columns, SOURCE_FILE, POSITION)
+    return wide.select(*columns, guarded(F.col(SOURCE_FILE)).alias(SOURCE_FILE), POSITION)
 
 
 def read_tagged_csv(spark: SparkSession, path: str, eager: bool = False) -> DataFrame:
