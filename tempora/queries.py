@@ -193,7 +193,7 @@ def _zip_month(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
 
 def _archives(spark: SparkSession, sf: str) -> DataFrame:
     lines = _tagged_lines(spark, sf).withColumn("month", F.substring("day", 1, 7))
-    return lines.groupBy("month").applyInPandas(_zip_month, "name string, content binary")
+    return materialise(lines.groupBy("month").applyInPandas(_zip_month, "name string, content binary"), "archives")
 
 
 def ingest_nested_zip(spark: SparkSession, sf: str) -> DataFrame:
