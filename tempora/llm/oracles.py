@@ -34,4 +34,19 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op5_exact_topk": OP5}
+OP10 = """
+WITH p AS (SELECT conv_id, conv_id // 2 AS pair_id, CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS place, role, text
+           FROM conversations WHERE conv_id IS NOT NULL),
+d AS (SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.place, b.place) AS place,
+        a.conv_id IS NOT NULL AND b.conv_id IS NOT NULL AND a.role IS NOT DISTINCT FROM b.role AND a.text IS NOT DISTINCT FROM b.text AS same
+      FROM (SELECT * FROM p WHERE side = 'chosen') a FULL JOIN (SELECT * FROM p WHERE side = 'rejected') b
+        ON a.pair_id = b.pair_id AND a.place = b.place),
+n AS (SELECT pair_id, coalesce(min(place) FILTER (NOT same), max(place) + 1) AS n_prompt FROM d GROUP BY pair_id)
+SELECT pair_id, CASE WHEN place < n_prompt THEN 'prompt' ELSE side END AS section, CAST(place AS BIGINT) AS place, role,
+       '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS rendered,
+       place >= n_prompt AND coalesce(role = 'assistant', false) AS learn, CAST(n_prompt AS BIGINT) AS n_prompt
+FROM p JOIN n USING (pair_id) WHERE place >= n_prompt OR side = 'chosen'
+"""
+
+ORACLES = {"op10_preference": OP10, "op1_quality_rules": OP1, "op5_exact_topk": OP5}

@@ -22,9 +22,8 @@ MAX_SYMBOL_PERCENT, MAX_LINE_PERCENT, WORD_CHARS = 10, 30, (2, 12)
 BAD_RATE = 0.5
 
 
-def covered_words(marks: Column, n_words: Column) -> Column:
-    """Words inside the windows whose hash occurs twice or more. ``marks``: hash of the window at each word."""
-    pairs = F.array_sort(F.transform(marks, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+def covered_words(pairs: Column) -> Column:
+    """Words inside the windows whose hash occurs twice or more. ``pairs``: sorted (hash, place) of all windows."""
     again = F.filter(
         F.transform(
             F.arrays_zip(
@@ -71,6 +70,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     step = step.withColumn("__zip", F.arrays_zip(*shifted))
     step = step.select("__id", "__host", "__chars", "__symbols", "__n", "__n_lines", "__dup", F.transform("__zip", lambda z: F.xxhash64(z)).alias("__marks"))
     some = F.size(F.array_distinct("__marks")) < F.size("__marks")
+    pairs = F.array_sort(F.transform("__marks", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    step = step.withColumn("__pairs", F.when(some, pairs))
     return step.select(
         F.col("__id").alias("doc_id"),
         F.col("__host").alias("host"),
@@ -79,7 +80,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
         F.col("__symbols").alias("n_symbols"),
         F.col("__dup").alias("n_dup_lines"),
         F.col("__n_lines").alias("n_lines"),
-        F.when(some, covered_words(F.col("__marks"), F.col("__n"))).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"),
+        F.coalesce(covered_words(F.col("__pairs")), F.lit(0).cast("long")).alias("n_repeat_words"),
     )
 
 

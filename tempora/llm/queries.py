@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tempora.llm.bag_minhash import near_duplicates
 from tempora.llm.byte_cnn import identify_language
+from tempora.llm.host_paths import extract_text
+from tempora.llm.pfair_mix import schedule
+from tempora.llm.preference import format_pairs, neighbour_pairs
 from tempora.llm.quality_hosts import quality_rules
 from tempora.llm.segment_bpe import encode_decode
 from tempora.llm.topk_histogram import top_k
@@ -20,6 +24,17 @@ def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    found = extract_text(table(spark, sf, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Class of each document; ``kept`` marks the one document of its class that stays."""
+    classes = near_duplicates(table(spark, sf, "documents"))
+    return classes.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op4_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     judged = judge_urls(table(spark, sf, "pages"), table(spark, sf, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -49,7 +64,26 @@ def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return identify_language(table(spark, sf, "documents"))
 
 
+def op9_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return schedule(table(spark, sf, "documents"))
+
+
+def op10_preference(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations")
+    return format_pairs(turns, neighbour_pairs(turns))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op4_url_filters, op5_exact_topk, op7_bpe, op8_language)
+    for f in (
+        op1_quality_rules,
+        op2_html_extraction,
+        op3_minhash,
+        op4_url_filters,
+        op5_exact_topk,
+        op7_bpe,
+        op8_language,
+        op9_source_mix,
+        op10_preference,
+    )
 }
