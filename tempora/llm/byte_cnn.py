@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tempora.llm.common import ship, slices
 
@@ -166,32 +166,35 @@ def predict_language(docs: DataFrame, net: ByteNet | None) -> DataFrame:
     ``und`` with score 0 if the text is null, empty or has no letter, or if nothing could be learned; ties go to the
     smaller language. Repeated rows get a row each; a null id is kept and not held out; other columns are not read.
     """
+    found = with_language(docs.select("doc_id", "text"), net)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), F.col("__lang_pred").alias("lang_pred"), F.col("__lang_score").alias("score"))
+
+
+def with_language(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> DataFrame:
+    """All rows and columns with ``__lang_pred`` and ``__lang_score`` added, as ``predict_language`` defines them."""
     ship(docs.sparkSession)
-    picked = docs.select(
-        F.col("doc_id"),
-        held_out("doc_id").alias("held_out"),
-        F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("__text"),
-    )
+    names = docs.columns
+    told = docs.withColumn("__letters", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
     sent = docs.sparkSession.sparkContext.broadcast(net)  # a few thousand weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         if model is not None:
             model.fold()
-        for part in slices(batches, "__text", 1 << 20):
-            texts = part.column("__text").to_pylist()
+        for part in slices(batches, text_col, 1 << 20):
+            texts = part.column(text_col).to_pylist()
             best, score = [NO_LANGUAGE] * len(texts), np.zeros(len(texts))
-            told = [i for i, t in enumerate(texts) if t is not None]
-            if told and model is not None:
+            told = np.flatnonzero(part.column("__letters").to_numpy(zero_copy_only=False))
+            if told.size and model is not None:
                 x, counts = windows_of([texts[i].encode() for i in told])
                 starts = np.cumsum(counts) - counts
                 mean = np.add.reduceat(model.probabilities(x), starts, axis=0) / counts[:, None]
                 for i, k, s in zip(told, mean.argmax(axis=1), mean.max(axis=1)):
                     best[i], score[i] = model.classes[k], min(1.0, float(s))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(best), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(names))), pa.array(best, pa.string()), pa.array(score)], [*names, "__lang_pred", "__lang_score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    added = T.StructType.fromDDL("__lang_pred string, __lang_score double")
+    return told.mapInArrow(run, T.StructType([*docs.schema.fields, *added.fields]))
 
 
 def identify_language(docs: DataFrame, train_on: DataFrame | None = None) -> DataFrame:

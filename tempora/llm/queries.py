@@ -11,6 +11,7 @@ from tempora.llm.pfair_mix import schedule
 from tempora.llm.preference import format_pairs, neighbour_pairs
 from tempora.llm.quality_hosts import quality_rules
 from tempora.llm.segment_bpe import encode_decode
+from tempora.llm.suffix_groups import remove_repeats
 from tempora.llm.topk_histogram import top_k
 from tempora.llm.url_rules import judge_urls
 
@@ -44,6 +45,17 @@ def op5_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(table(spark, sf, "embeddings"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("repeat_bytes").alias("n_bytes"),
+        F.aggregate("repeat_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("repeat_spans").cast("long").alias("n_spans"),
+        F.sha2("repeat_kept", 256).alias("kept_sha256"),
+    )
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -81,6 +93,7 @@ QUERIES = {
         op3_minhash,
         op4_url_filters,
         op5_exact_topk,
+        op6_suffix_dedup,
         op7_bpe,
         op8_language,
         op9_source_mix,
