@@ -16,9 +16,10 @@ f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 a AS (SELECT *, base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines
         OR word_chars < 2 * n_words OR word_chars > 12 * n_words AS fails FROM f),
 h AS (SELECT source, count(*) AS n, count(*) FILTER (fails) AS bad FROM a WHERE source IS NOT NULL GROUP BY source),
-u AS (SELECT sum(bad) / sum(n) AS mean FROM h),
-v AS (SELECT any_value(mean) AS mean, sum(n * (bad / n - mean) ** 2) / sum(n) AS spread FROM h, u),
-s AS (SELECT mean, spread, CASE WHEN spread > 0 THEN greatest(0, mean * (1 - mean) / spread - 1) END AS weight FROM v),
+u AS (SELECT sum(bad) / sum(n) AS mean, sum(n) AS total, sum(n * n) AS squares, count(*) AS hosts FROM h),
+v AS (SELECT any_value(mean) AS mean, least(1, (sum(n * (bad / n - mean) ** 2) / nullif(any_value(mean * (1 - mean)), 0) - any_value(hosts - 1))
+        / nullif(any_value(total - squares / total - (hosts - 1)), 0)) AS inside FROM h, u),
+s AS (SELECT mean, CASE WHEN inside > 0 THEN 1 / inside - 1 END AS weight FROM v),
 j AS (SELECT source, CASE WHEN weight IS NULL THEN mean ELSE (bad + weight * mean) / (n + weight) END >= 0.5 AS host_bad FROM h, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (coalesce(host_bad, false) AND fails) AS kept

@@ -1,7 +1,7 @@
 """Quality rules with host-level verdicts, in DataFrame functions only.
 
 Documents are measured once. Rule failures are counted per domain, each domain's failure rate is shrunk towards the
-others by an empirical beta prior (method of moments over the domains), and domains whose shrunk rate is too high are
+others by an empirical beta prior (moments of the domain rates), and domains whose shrunk rate is too high are
 judged bad. The verdict is joined back: in a bad domain a document must pass every rule, in the others the base rules.
 """
 
@@ -87,20 +87,22 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 def judge_hosts(measured: DataFrame, bad_rate: float = BAD_RATE) -> DataFrame:
     """(host, n_docs, n_failed, shrunk_rate, host_bad) of every domain; documents without a domain have none.
 
-    The prior's mean m is the failure rate of all documents; its weight s follows from the spread of the domain rates,
-    weighted by documents: s = m (1 - m) / variance - 1. Without any spread each domain gets the mean itself.
+    The prior's mean m is the failure rate of all documents. Its weight is 1 / g - 1, where g, the correlation inside a domain,
+    is what the spread of the domain rates leaves after the spread that chance alone gives domains of their sizes. If nothing
+    is left, every domain gets the mean itself; in place of a weight below 0 it is 0.
     """
     counts = measured.where(F.col("host").isNotNull()).groupBy("host").agg(F.count("*").alias("n_docs"), F.count_if("fails").alias("n_failed"))
-    mean = counts.agg((F.sum("n_failed") / F.sum("n_docs")).alias("m")).first()["m"]  # one number
-    if mean is None:
-        return counts.select("host", "n_docs", "n_failed", F.lit(0.0).alias("shrunk_rate"), F.lit(False).alias("host_bad"))
-    rate = F.col("n_failed") / F.col("n_docs")
-    spread = counts.agg((F.sum(F.col("n_docs") * (rate - mean) ** 2) / F.sum("n_docs")).alias("v")).first()["v"]
-    if spread > 0:
-        weight = max(0.0, mean * (1 - mean) / spread - 1)
-        shrunk = (F.col("n_failed") + F.lit(weight * mean)) / (F.col("n_docs") + F.lit(weight))
-    else:
-        shrunk = F.lit(float(mean))
+    size, failed = F.col("n_docs").cast("double"), F.col("n_failed").cast("double")
+    total = counts.agg(F.sum(size).alias("n"), F.sum(failed).alias("f"), F.sum(size * size).alias("nn"), F.count("*").alias("h")).first()  # one row
+    mean = total["f"] / total["n"] if total["h"] else 0.0
+    chance = mean * (1 - mean)
+    room = total["n"] - total["nn"] / total["n"] - (total["h"] - 1) if total["h"] else 0.0
+    inside = 0.0
+    if chance > 0 and room > 0:
+        spread = counts.agg(F.sum(size * (failed / size - mean) ** 2).alias("s")).first()["s"]
+        inside = min(1.0, (spread / chance - (total["h"] - 1)) / room)
+    weight = 1 / inside - 1 if inside > 0 else None
+    shrunk = F.lit(mean) if weight is None else (failed + weight * mean) / (size + weight)
     return counts.select("host", "n_docs", "n_failed", shrunk.alias("shrunk_rate"), (shrunk >= bad_rate).alias("host_bad"))
 
 
