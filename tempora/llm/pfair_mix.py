@@ -108,8 +108,8 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, id_col: s
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """All rows and columns of ``docs``, dealt out and sorted so that the written files, in order, follow the schedule."""
     turns = schedule(docs, weights, id_col, source_col, **options)
-    turns = stored(turns.select(F.col(id_col).alias("__m_id"), F.col(source_col).alias("__m_source"), "mix_slot", "mix_place"), "mix-turns")
+    turns = stored(turns.select(F.col(id_col).alias("__m_id"), F.col(source_col).alias("__m_source"), F.col("mix_slot").alias("__m_slot"), F.col("mix_place").alias("__m_place")), "mix-turns")
     same = F.col(id_col).eqNullSafe(F.col("__m_id")) & (F.coalesce(F.col(source_col), F.lit("")) == F.col("__m_source"))
     joined = docs.join(turns, same).drop("__m_id", "__m_source")
     picked = [F.col(c) for c in docs.columns]
-    return joined.repartitionByRange("mix_slot", "mix_place").sortWithinPartitions("mix_slot", "mix_place").select(*picked)
+    return joined.repartitionByRange("__m_slot", "__m_place").sortWithinPartitions("__m_slot", "__m_place").select(*picked)
