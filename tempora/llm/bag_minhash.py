@@ -24,10 +24,12 @@ from tempora.llm.common import ship, slices, stored
 SHINGLE_WORDS = 5
 #: A pair is similar from this many hundredths on.
 PERCENT = 80
-#: 32 bands of 4 registers: a pair at 0.8 is missed with a probability of (1 - 0.8^4)^32 < 5e-8.
-BANDS, BAND_ROWS = 32, 4
-#: Buckets of at most this many distinct texts are compared in full; larger ones by pivots, one more bit of them a round.
-FULL_BUCKET = 5
+#: 40 bands of 7 registers: a pair at 0.8 is missed with a probability of (1 - 0.8^7)^40 < 1e-4, one at 0.85 of 1e-6.
+BANDS, BAND_ROWS = 40, 7
+#: Buckets of at most this many distinct texts are compared in full; larger ones by pivots, four times as many each round.
+FULL_BUCKET = 8
+#: Candidates that agree in fewer registers than this many standard deviations below the mean at the limit are not read.
+DEVIATIONS = 5
 HASH_BITS = 44
 MASK = np.uint64((1 << HASH_BITS) - 1)
 BYTE_CODES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -128,10 +130,8 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
-    """(doc_id, content, bands array<bigint>), one row a row; ``content`` names the word sequence.
-
-    Rows with a null id or without a word have null content and bands.
-    """
+    """(doc_id, content, bands array<bigint>, marks binary), one row a row; ``content`` names the word sequence and ``marks``
+    has a byte of each register. Rows with a null id or without a word have nulls."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,13 +140,32 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFr
             has = np.array([bool(w) for w in split]) & part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             raw = [b" ".join(split[i]) for i in np.flatnonzero(has)]
             keys, weights = shingles(raw)
-            found = iter(band_keys(signatures(keys, weights, len(raw), bands * rows), bands, rows).tolist())
+            registers = signatures(keys, weights, len(raw), bands * rows)
+            found = iter(band_keys(registers, bands, rows).tolist())
+            bytes_of = iter(mixed(registers.view(np.uint64)).astype(np.uint8))
             names = iter([hashlib.blake2b(r, digest_size=16).hexdigest() for r in raw])
             content = pa.array([next(names) if h else None for h in has], pa.string())
             keys_of = pa.array([next(found) if h else None for h in has], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), content, keys_of], ["doc_id", "content", "bands"])
+            marks = pa.array([next(bytes_of).tobytes() if h else None for h in has], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), content, keys_of, marks], ["doc_id", "content", "bands", "marks"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, content string, bands array<bigint>, marks binary")
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, content string, bands array<bigint>")
+
+def likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) whose registers do not rule out the similarity asked for. ``marks``: (node, marks)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("marks_a", "marks_b"))
+                limit = percent / 100
+                least = limit - DEVIATIONS * (limit * (1 - limit) / a.shape[1]) ** 0.5
+                yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= least))
+
+    a = marks.select(F.col("node").alias("a"), F.col("marks").alias("marks_a"))
+    b = marks.select(F.col("node").alias("b"), F.col("marks").alias("marks_b"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "marks_a", "marks_b").mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -170,33 +189,27 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def fingerprint(edges: DataFrame) -> tuple:
-    """Row count and hash of a set of edges."""
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def star_step(edges: DataFrame) -> DataFrame:
+    """One large star and one small star over edges (u, v) with u > v: the same components, closer to stars around minima.
 
+    Minima are combined before the shuffle, no neighbourhood is gathered, and the step is stored.
+    """
+    # Large star: every neighbour above a node moves to the node's smallest neighbour (or the node itself).
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy(F.col("u").alias("of")).agg(F.min("v").alias("m")).select("of", F.least("of", "m").alias("m"))
+    large = both.where(F.col("v") > F.col("u")).join(least, F.col("u") == F.col("of")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    # Small star: a node's smaller neighbours, and the node, move to the smallest of them.
+    lowest = large.groupBy(F.col("u").alias("of")).agg(F.min("v").alias("m"))
+    met = large.join(lowest, F.col("u") == F.col("of"))
+    small = met.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+    return stored(small.select("e.*").where(F.col("u") != F.col("v")).distinct(), "stars")
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that links (a, b) lead to, for every node with a link.
 
-    Rounds of large star and small star: each node's larger (then smaller) neighbours are joined to the smallest one.
-    Minima are combined before the shuffle, no neighbourhood is gathered, every round is stored.
-    """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(F.col("u") != F.col("v")).distinct(), "links")
-    while True:
-        # Large star: every neighbour above a node moves to the node's smallest neighbour (or the node itself).
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select(F.col("u").alias("of"), F.least("u", "m").alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, F.col("u") == F.col("of")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.where(F.col("u") != F.col("v")).distinct(), "large-star")
-        # Small star: a node's smaller neighbours, and the node, move to the smallest of them.
-        lowest = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "of")
-        met = large.join(lowest, F.col("u") == F.col("of"))
-        small = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(met.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v"))
-        small = stored(small.distinct(), "small-star")
-        if fingerprint(small) == fingerprint(edges):
-            return small.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(small.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
-        edges = small
+def finished(edges: DataFrame) -> bool:
+    """Whether the edges are stars: every node has one smaller neighbour, which has none itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    counts = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return counts.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
 def undecided(buckets: DataFrame) -> DataFrame:
@@ -209,12 +222,12 @@ def candidates(live: DataFrame, round_no: int) -> tuple[DataFrame, DataFrame]:
     """(a, b) to compare now, and the rows of ``live`` that are left for later rounds.
 
     Buckets of up to FULL_BUCKET nodes: all pairs of different labels. Larger ones: pivots, namely the smallest node and
-    the nodes whose hash falls into a share of 2^round / n, meet all nodes of other labels; then they are done with, as
-    every pair that they are part of is decided. A bucket whose nodes never join is thus compared in full in the end.
+    the nodes whose hash falls into a share of (4^round - 1) / n, meet all nodes of other labels; then they are done with,
+    as every pair that they are part of is decided. A bucket whose nodes never join is thus compared in full in the end.
     """
     small = F.col("n") <= FULL_BUCKET
     draw = (F.xxhash64(F.lit(round_no), "node") % (1 << 20) + (1 << 20)) / float(1 << 21)
-    pivot = small | (F.col("node") == F.col("first")) | (draw < (2.0**round_no - 1) / F.col("n"))
+    pivot = small | (F.col("node") == F.col("first")) | (draw < (4.0**round_no - 1) / F.col("n"))
     marked = live.withColumn("pivot", pivot)
     left = marked.where("pivot").select("key", F.col("node").alias("a"), F.col("label").alias("label_a"))
     met = left.join(marked.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("pivot").alias("pivot_b")), "key")
@@ -238,21 +251,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     keys = own.select("node", F.explode("bands").alias("key")).distinct()
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = stored(keys.join(shared, "key").withColumn("label", F.col("node")), "buckets")
-    links = tested = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, label long")
+    nodes = stored(buckets.select("node").distinct(), "nodes")
+    marks = stored(own.join(nodes, "node").groupBy("node").agg(F.min("marks").alias("marks")), "marks")
+    found = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node").where(F.col("text").isNotNull())
+    texts = stored(found.groupBy("node").agg(F.min("text").alias("text")), "texts")
+    tested = spark.createDataFrame([], "a long, b long")
+    edges = spark.createDataFrame([], "u long, v long")
     round_no = 0
     while not (live := stored(undecided(buckets), "undecided")).isEmpty():
         pairs, rest = candidates(live, round_no)
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = docs.join(nodes, F.col("doc_id") == F.col("node"), "left_semi").groupBy(F.col("doc_id").cast("long").alias("node")).agg(F.min("text").alias("text"))
-        found = stored(verified(pairs, stored(texts, "texts"), percent), "similar")
-        links, tested = links.unionByName(found), tested.unionByName(pairs)
-        if not found.isEmpty():
-            labels = stored(components(links), "labels")
-        named = labels.select(F.col("node").alias("of"), F.col("label").alias("new"))
-        buckets = rest.join(named, F.col("node") == F.col("of"), "left").select("key", "node", F.coalesce("new", "node").alias("label"))
+        pairs = stored(likely(pairs.join(tested, ["a", "b"], "left_anti"), marks, percent), "pairs")
+        links = verified(pairs, texts, percent).select(F.col("b").alias("u"), F.col("a").alias("v"))
+        tested = tested.unionByName(pairs)
+        # Labels are minima after one step: finer than components, at worst, which only costs comparisons.
+        edges = star_step(edges.unionByName(links))
+        labels = edges.groupBy(F.col("u").alias("of")).agg(F.min("v").alias("new"))
+        buckets = rest.join(labels, F.col("node") == F.col("of"), "left").select("key", "node", F.coalesce("new", "node").alias("label"))
         round_no += 1
-    named = labels.select(F.col("node").alias("of"), "label")
-    member = sketches.select("doc_id", "content").join(reps, "content", "left").join(named, F.col("node") == F.col("of"), "left")
-    return member.select("doc_id", F.coalesce("label", "node", "doc_id").alias("class_id"))
+    while not finished(edges):
+        edges = star_step(edges)
+    member = sketches.select("doc_id", "content").join(reps, "content", "left").join(edges, F.col("node") == F.col("u"), "left")
+    return member.select("doc_id", F.coalesce("v", "node", "doc_id").alias("class_id"))
