@@ -55,14 +55,13 @@ def tune_boosted(
     seed: int = SEED,
     parallelism: int = 4,
     space: dict[str, list] | None = None,
-    max_rounds: int | None = None,
     max_bins: int = 256,
 ) -> SearchResult:
     """Mean validation MAE over expanding folds picks the winner, refitted on all of ``train``.
 
     Every fit is a distributed job; ``parallelism`` bounds how many are submitted at once. The folds
-    are assembled and stored once and reused by all fits. ``max_rounds`` bounds the rounds of a
-    candidate (a compute budget; the drawn value is reported unchanged otherwise).
+    are assembled and stored once and reused by all fits. A smaller search is a
+    smaller ``space`` or ``n_iter``; drawn values are used as they are.
     """
     if n_iter < 1:
         raise GuardError("search: n_iter must be positive")
@@ -70,8 +69,6 @@ def tune_boosted(
         raise GuardError("search: at least two folds are needed")
     check_fit_input(train, features, target)
     candidates = draw_candidates(space or SEARCH_SPACE, n_iter, seed)
-    if max_rounds:
-        candidates = [{**c, "n_estimators": min(c["n_estimators"], max_rounds)} for c in candidates]
     base = train.select(*series, ts, *features, target)
     vectors = assembler(features).transform(base).select(
         *series, ts, FEATURES, F.col(target).cast("double").alias(target)

@@ -13,8 +13,6 @@ from tempora.schemas import SEED
 # Spark's tree depth limit.
 DEEPEST = 30
 MAX_BINS = 256
-# Parameters of other boosting libraries without a counterpart here: accepted, reported, not used.
-UNMAPPED = ("gamma", "reg_alpha", "reg_lambda")
 
 
 def fit_random_forest(
@@ -29,10 +27,11 @@ def fit_random_forest(
     max_bins: int = MAX_BINS,
     check: bool = True,
 ) -> PipelineModel:
+    """``max_depth=None`` is the deepest that Spark grows, 30 levels."""
     if n_estimators < 1:
         raise GuardError("random forest: n_estimators must be positive")
-    if max_depth is not None and max_depth < 1:
-        raise GuardError("random forest: max_depth must be positive")
+    if max_depth is not None and not 1 <= max_depth <= DEEPEST:
+        raise GuardError(f"random forest: max_depth must lie in 1 to {DEEPEST}")
     if min_samples_leaf < 1:
         raise GuardError("random forest: min_samples_leaf must be positive")
     if check:
@@ -40,7 +39,7 @@ def fit_random_forest(
     subset = "all" if max_features in (1.0, "all") else str(max_features)
     estimator = RandomForestRegressor(
         numTrees=n_estimators,
-        maxDepth=DEEPEST if max_depth is None else min(max_depth, DEEPEST),
+        maxDepth=DEEPEST if max_depth is None else max_depth,
         minInstancesPerNode=min_samples_leaf,
         featureSubsetStrategy=subset,
         maxBins=max_bins,
@@ -53,6 +52,8 @@ def _check_boosting(p: dict) -> None:
     for name in ("n_estimators", "learning_rate", "max_depth"):
         if p[name] <= 0:
             raise GuardError(f"boosted trees: {name} must be positive")
+    if p["max_depth"] > DEEPEST:
+        raise GuardError(f"boosted trees: max_depth must not exceed {DEEPEST}")
     if p["min_child_weight"] < 0:
         raise GuardError("boosted trees: min_child_weight must not be negative")
     for name in ("subsample", "colsample_bytree"):
@@ -61,16 +62,18 @@ def _check_boosting(p: dict) -> None:
 
 
 def boosting_estimator(params: dict, seed: int = SEED, max_bins: int = MAX_BINS) -> GBTRegressor:
-    """Library-neutral parameter names to Spark's. See ``UNMAPPED`` for what has no counterpart."""
-    p = {
+    """Library-neutral parameter names to Spark's; a name without a counterpart (L1, L2, gamma) raises."""
+    known = {
         "n_estimators": 100,
         "learning_rate": 0.3,
         "max_depth": 6,
         "min_child_weight": 1,
         "subsample": 1.0,
         "colsample_bytree": 1.0,
-        **params,
     }
+    if unknown := sorted(set(params) - set(known)):
+        raise GuardError(f"boosted trees: no such parameters: {unknown}")
+    p = {**known, **params}
     _check_boosting(p)
     share = p["colsample_bytree"]
     return GBTRegressor(
@@ -86,12 +89,12 @@ def boosting_estimator(params: dict, seed: int = SEED, max_bins: int = MAX_BINS)
 
 
 def fit_boosted_default(
-    train: DataFrame, features: list[str], target: str, seed: int = SEED, check: bool = True, **overrides
+    train: DataFrame, features: list[str], target: str, seed: int = SEED, check: bool = True, max_bins: int = MAX_BINS, **overrides
 ) -> PipelineModel:
     """100 rounds, rate 0.3, depth 6 unless overridden."""
     if check:
         check_fit_input(train, features, target)
-    return fit(boosting_estimator(overrides, seed), train, features, target)
+    return fit(boosting_estimator(overrides, seed, max_bins), train, features, target)
 
 
 def fit_boosted(
@@ -104,8 +107,6 @@ def fit_boosted(
     min_child_weight: float = 1.0,
     subsample: float = 0.9,
     colsample_bytree: float = 0.9,
-    reg_alpha: float = 0.0,
-    reg_lambda: float = 1.0,
     seed: int = SEED,
     max_bins: int = MAX_BINS,
     check: bool = True,
@@ -117,8 +118,6 @@ def fit_boosted(
         "min_child_weight": min_child_weight,
         "subsample": subsample,
         "colsample_bytree": colsample_bytree,
-        "reg_alpha": reg_alpha,
-        "reg_lambda": reg_lambda,
     }
     estimator = boosting_estimator(params, seed, max_bins)
     if check:

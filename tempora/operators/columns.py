@@ -69,13 +69,14 @@ def model_columns(df: DataFrame, series: tuple[str, ...] = (), ts: str = TS, tar
 
 
 def filter_series(df: DataFrame, value: str, column: str = SERIES, require_match: bool = False) -> DataFrame:
-    """Rows of one series. With ``require_match`` an empty result raises, naming what is available."""
+    """Rows of one series. With ``require_match`` an empty result raises and says how many series there are."""
     require_columns(df, [column], "series filter")
     out = df.filter(F.col(column) == value)
     if require_match and out.isEmpty():
-        # The message names at most 50 keys; the data itself is not touched.
-        seen = [r[0] for r in df.select(column).dropna().distinct().orderBy(column).limit(50).collect()]
-        raise GuardError(f"no rows for {column}={value!r}; available: {seen}")
+        found = df.agg(F.count_distinct(column), F.min(column), F.max(column)).first()
+        raise GuardError(
+            f"no rows for {column}={value!r}; there are {found[0]} others, from {found[1]!r} to {found[2]!r} (distinct_values lists them)"
+        )
     return out
 
 

@@ -46,6 +46,19 @@ def join_one_to_one(
     return left.join(right, keys, how)
 
 
+def join_many_to_one(left: DataFrame, right: DataFrame, keys: list[str], left_keys: list[str], how: str = "left", check: bool = True) -> DataFrame:
+    """Equi-join on ``keys``, unique on the right; the left rows are unique on ``left_keys``, which hold the keys and more.
+
+    Many left rows may share a key (several series, one companion); no row is multiplied.
+    """
+    require_columns(left, [*keys, *left_keys], "join, left side")
+    require_columns(right, keys, "join, right side")
+    if check:
+        require_unique(left, left_keys, "join, left side")
+        require_unique(right, keys, "join, right side")
+    return left.join(right, keys, how).select(*left.columns, *[c for c in right.columns if c not in keys])
+
+
 def attach_weather(
     demand: DataFrame,
     weather: DataFrame,
@@ -53,9 +66,12 @@ def attach_weather(
     columns: list[str] | None = None,
     on_unmatched: str = "report",
     check: bool = True,
+    demand_keys: list[str] | None = None,
 ) -> DataFrame:
     """Left join of the weather columns onto the demand rows.
 
+    ``demand_keys`` names what makes a demand row unique, by default the join keys; with (series, timestamp) there, several
+    series share one weather series.
     ``on_unmatched="error"`` raises when a demand row has no weather or only part of it;
     ``"report"`` leaves the gaps for the merge report.
     """
@@ -68,7 +84,7 @@ def attach_weather(
     if check:
         require_rows(demand, "demand")
         require_rows(weather, "weather")
-    merged = join_one_to_one(demand, narrow, keys, "left", check)
+    merged = join_many_to_one(demand, narrow, keys, demand_keys or keys, "left", check)
     if on_unmatched == "error":
         gaps = [is_missing(merged, c) for c in columns]
         row = merged.agg(
@@ -125,6 +141,7 @@ def split_overlap(parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
 __all__ = [
     "attach_weather",
     "duplicate_count",
+    "join_many_to_one",
     "join_one_to_one",
     "key_coverage",
     "require_unique",

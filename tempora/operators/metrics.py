@@ -12,8 +12,8 @@ from tempora.schemas import BASELINES, TARGET
 def metric_aggregates(actual: Column, predicted: Column) -> list[Column]:
     """MAE, RMSE, MAPE (percent) and R2 as plain aggregates, so Spark combines them map-side.
 
-    A zero actual value makes MAPE undefined and raises at run time. R2 of a constant target is 1
-    for a perfect forecast and 0 otherwise.
+    Missing values, no rows at all, and a zero actual value (which leaves MAPE undefined) raise at run time, in the
+    same aggregate. R2 of a constant target is 1 for a perfect forecast and 0 otherwise.
     """
     error = actual - predicted
     ratio = F.when(actual == 0, F.raise_error("MAPE is undefined: an actual value is zero").cast("double")).otherwise(
@@ -21,20 +21,27 @@ def metric_aggregates(actual: Column, predicted: Column) -> list[Column]:
     )
     residual = F.sum(error * error)
     spread = F.var_pop(actual) * F.count(actual)
-    return [
-        F.avg(F.abs(error)).alias("MAE"),
-        F.sqrt(F.avg(error * error)).alias("RMSE"),
-        (F.avg(ratio) * 100).alias("MAPE"),
-        F.when(spread > 0, 1 - residual / spread).when(residual == 0, 1.0).otherwise(0.0).alias("R2"),
-    ]
+    missing = actual.isNull() | predicted.isNull() | F.isnan(actual) | F.isnan(predicted)
+
+    def guarded(value: Column) -> Column:
+        empty = F.raise_error("metrics: there are no rows").cast("double")
+        incomplete = F.raise_error("metrics: an actual or predicted value is missing").cast("double")
+        return F.when(F.count(F.lit(1)) == 0, empty).when(F.count_if(missing) > 0, incomplete).otherwise(value)
+
+    named = {
+        "MAE": F.avg(F.abs(error)),
+        "RMSE": F.sqrt(F.avg(error * error)),
+        "MAPE": F.avg(ratio) * 100,
+        "R2": F.when(spread > 0, 1 - residual / spread).when(residual == 0, 1.0).otherwise(0.0),
+    }
+    return [guarded(value).alias(name) for name, value in named.items()]
 
 
 def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
-    """One row of metrics; no row when the input is empty."""
+    """One row of metrics; an empty input raises."""
     require_columns(df, [actual, predicted], "metrics")
     a, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    out = df.agg(F.count(F.lit(1)).alias("__n"), *metric_aggregates(a, p))
-    return out.filter("__n > 0").drop("__n")
+    return df.agg(*metric_aggregates(a, p))
 
 
 def evaluate_models(df: DataFrame, actual: str = "actual", models: list[str] | None = None) -> DataFrame:

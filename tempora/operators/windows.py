@@ -112,13 +112,16 @@ def add_differences(
 def order_check(
     df: DataFrame, ts: str, ordinal: str, group: tuple[str, ...] = (), block_rows: int = CHUNK_ROWS
 ) -> DataFrame:
-    """Is ``ts`` non-decreasing in the order of (group, ordinal)? False when any value is missing.
+    """Is ``ts`` non-decreasing in the order of ``ordinal``, inside each group? False when any value is missing.
 
-    ``ordinal`` is a numeric ingest position. It is cut into ranges of ``block_rows``: order inside a
-    range is checked by a window over that range alone, and ranges are then compared through their
-    smallest and largest value, one row per range.
+    ``ordinal`` is a numeric ingest position, dense or not. Its range is cut into as many blocks as the row count asks for:
+    order inside a block is checked by a window over that block, and blocks are compared through their smallest and largest
+    value, one row per block. Positions that are spread very unevenly make uneven blocks.
     """
-    block = F.expr(f"`{ordinal}` div {int(block_rows)}")
+    place = F.col(ordinal).cast("double")
+    span = df.agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi")).first()
+    low, width = span["lo"] or 0.0, max(1.0, ((span["hi"] or 0.0) - (span["lo"] or 0.0) + 1) * block_rows / max(1, span["n"]))
+    block = F.floor((place - low) / width)
     rows = df.select(*group, block.alias("__block"), F.col(ordinal).alias("__ordinal"), F.col(ts).alias("__ts"))
     inside = Window.partitionBy(*group, "__block").orderBy("__ordinal")
     blocks = (
@@ -131,7 +134,7 @@ def order_check(
             F.max("__ts").alias("__hi"),
         )
     )
-    across = Window.partitionBy(F.lit(0)).orderBy(*group, "__block").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*(group or [F.lit(0)])).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     steps = blocks.withColumn("__back", F.col("__lo") < F.max("__hi").over(across))
     return steps.agg(
         (

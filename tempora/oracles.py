@@ -131,8 +131,8 @@ _METRICS = """avg(abs(a - p)) AS "MAE", sqrt(avg((a - p) * (a - p))) AS "RMSE",
 
 BASE = LAG + """,
 base AS (
-  SELECT CAST("OPERATIONAL_DEMAND" AS DOUBLE) AS a, lag_1, lag_48, lag_336
-  FROM lagged WHERE lag_336 IS NOT NULL AND "OPERATIONAL_DEMAND" > 0),
+  SELECT CAST("OPERATIONAL_DEMAND" + 1 AS DOUBLE) AS a, lag_1, lag_48, lag_336
+  FROM lagged WHERE lag_336 IS NOT NULL),
 long AS (
   SELECT 'previous_interval' AS model, a, CAST(lag_1 AS DOUBLE) AS p FROM base
   UNION ALL SELECT 'previous_day', a, CAST(lag_48 AS DOUBLE) FROM base
@@ -155,8 +155,8 @@ training AS (
   WHERE f.lag_336 IS NOT NULL)"""
 )
 
-CLICK = HALF_TYPE + """,
-click AS (SELECT "INTERVAL_DATETIME", "OPERATIONAL_DEMAND" FROM half_t WHERE "REGIONID" = 'click')"""
+STAMPS = HALF_TYPE + """,
+stamps AS (SELECT DISTINCT "INTERVAL_DATETIME" FROM half_t)"""
 
 STAMP = "strftime({}, '%Y/%m/%d %H:%M:%S')"
 
@@ -226,6 +226,56 @@ _RAW_NAMES = """"INTERVAL_DATETIME" AS time, temperature AS temperature_2m, rela
 _JOINED = f"""WITH {HALF_TYPE},{HOURLY},
 joined AS (SELECT h.*, w.temperature FROM half_t h LEFT JOIN hourly w USING ("INTERVAL_DATETIME"))"""
 
+RAW = f"""
+half_t AS (
+  SELECT event_type AS "REGIONID", ts AS "INTERVAL_DATETIME", CAST(sum({CENTS}) AS BIGINT) AS "OPERATIONAL_DEMAND"
+  FROM events GROUP BY 1, 2)"""
+
+# The features of the training table.
+_NAMES = (
+    ["year", "month", "day", "day_of_week", "hour", "minute", "is_weekend"]
+    + [f"lag_{k}" for k in (1, 2, 48, 336)]
+    + [f"rolling_{f}_{n}" for n in (4, 48) for f in ("mean", "std", "min", "max")]
+    + ["time_of_day", "time_sin", "time_cos", "day_of_week_sin", "day_of_week_cos", "month_sin", "month_cos"]
+    + list(WEATHER_COLUMNS)
+)
+_IMPORTANCE = f"SELECT unnest({_NAMES!r}) AS feature, true AS valid, 1.0::DOUBLE AS total"
+_NORMAL = f"""WITH {TRAIN},{split_cte("training", "")}
+SELECT unnest({_NAMES!r}) AS feature, count(*) FILTER (split = 'train') AS train_rows, 0.0::DOUBLE AS deviation FROM labelled"""
+
+
+def _stated(part: str) -> str:
+    """Keys and actual values of one part, every prediction being plausible."""
+    return f"""WITH {TRAIN},{split_cte("training", "")}
+SELECT "INTERVAL_DATETIME", CAST("OPERATIONAL_DEMAND" + 1 AS DOUBLE) AS actual, true AS plausible FROM labelled WHERE split = '{part}'"""
+
+
+def _split_report(ctes: str, features: int, absent: int, series: str) -> str:
+    """Counts, overlaps and order of the parts inside each series, and what follows for the status."""
+    parts = ("train", "validation", "test")
+    edges = ", ".join(
+        f'{fn}("INTERVAL_DATETIME") FILTER (split = ' + f"'{p}') AS {p}_{edge}" for p in parts for fn, edge in (("min", "start"), ("max", "end"))
+    )
+    return f"""{ctes},
+k AS (SELECT {series}"INTERVAL_DATETIME", bool_or(split = 'train') AS a, bool_or(split = 'validation') AS b, bool_or(split = 'test') AS c
+      FROM labelled GROUP BY ALL),
+o AS (SELECT count(*) FILTER (a AND b) AS train_validation, count(*) FILTER (a AND c) AS train_test,
+             count(*) FILTER (b AND c) AS validation_test FROM k),
+e AS (SELECT {series}{edges} FROM labelled GROUP BY {series.rstrip(", ") or "()"}),
+w AS (SELECT bool_and(train_end < validation_start) AS first, bool_and(validation_end < test_start) AS second FROM e),
+n AS (SELECT count(*) AS full_row_count, count(*) FILTER (split = 'train') AS train_row_count,
+             count(*) FILTER (split = 'validation') AS validation_row_count, count(*) FILTER (split = 'test') AS test_row_count,
+             {edges} FROM labelled)
+SELECT full_row_count, train_row_count, validation_row_count, test_row_count, CAST({features} AS INTEGER) AS feature_count,
+       CAST({absent} AS INTEGER) AS missing_features,
+       train_row_count + validation_row_count + test_row_count = full_row_count AS row_total_matches_full_dataset,
+       train_validation, train_test, validation_test, coalesce(first, false) AS train_before_validation,
+       coalesce(second, false) AS validation_before_test, {", ".join(f"{p}_{x}" for p in parts for x in ("start", "end"))},
+       CASE WHEN {absent} > 0 OR train_validation + train_test + validation_test > 0 OR NOT coalesce(first AND second, false)
+              OR least(train_row_count, validation_row_count, test_row_count) = 0 THEN 'FAIL' ELSE 'PASS' END AS status
+FROM n, o, w"""
+
+
 ORACLES: dict[str, str] = {
     "ingest_tagged_csv": f"""WITH {HALF_TYPE}
 SELECT 'D' AS "RECORD_TYPE", '3' AS "VERSION", "REGIONID",
@@ -282,40 +332,41 @@ SELECT * FROM counted WHERE null_count > 0""",
 SELECT h."INTERVAL_DATETIME", h."OPERATIONAL_DEMAND", {", ".join("w." + c for c in WEATHER_COLUMNS)}
 FROM half h LEFT JOIN weather w USING ("INTERVAL_DATETIME")""",
     "join_inner_one_to_one": f"WITH {WEATHER} SELECT * FROM weather",
-    "unmatched_keys": f"""WITH {CLICK},{HOURLY}
-SELECT "INTERVAL_DATETIME" FROM click WHERE "INTERVAL_DATETIME" NOT IN (SELECT "INTERVAL_DATETIME" FROM hourly)""",
-    "extra_keys": f"""WITH {CLICK},{WEATHER}
-SELECT "INTERVAL_DATETIME" FROM weather WHERE "INTERVAL_DATETIME" NOT IN (SELECT "INTERVAL_DATETIME" FROM click)""",
-    "match_rate": f"""WITH {CLICK},{HOURLY},
+    "unmatched_keys": f"""WITH {STAMPS},{HOURLY}
+SELECT "INTERVAL_DATETIME" FROM stamps WHERE "INTERVAL_DATETIME" NOT IN (SELECT "INTERVAL_DATETIME" FROM hourly)""",
+    "extra_keys": f"""WITH {STAMPS},{WEATHER}
+SELECT "INTERVAL_DATETIME" FROM weather WHERE "INTERVAL_DATETIME" NOT IN (SELECT "INTERVAL_DATETIME" FROM stamps)""",
+    "match_rate": f"""WITH {STAMPS},{HOURLY},
 c AS (
   SELECT count(c."INTERVAL_DATETIME") AS left_keys, count(w."INTERVAL_DATETIME") AS right_keys,
          count(*) FILTER (c."INTERVAL_DATETIME" IS NOT NULL AND w."INTERVAL_DATETIME" IS NOT NULL) AS matched,
          count(*) FILTER (w."INTERVAL_DATETIME" IS NULL) AS unmatched,
          count(*) FILTER (c."INTERVAL_DATETIME" IS NULL) AS extra
-  FROM click c FULL JOIN hourly w ON c."INTERVAL_DATETIME" = w."INTERVAL_DATETIME")
+  FROM stamps c FULL JOIN hourly w ON c."INTERVAL_DATETIME" = w."INTERVAL_DATETIME")
 SELECT *, CAST(matched AS DOUBLE) / left_keys AS match_rate FROM c""",
-    "merge_report": f"""WITH {CLICK},{WEATHER},
+    "merge_report": f"""WITH {STAMPS},{WEATHER},
 merged AS (
-  SELECT c."INTERVAL_DATETIME" AS t, {", ".join("w." + c for c in WEATHER_COLUMNS)}, w."INTERVAL_DATETIME" AS wt
-  FROM click c LEFT JOIN weather w ON c."INTERVAL_DATETIME" = w."INTERVAL_DATETIME"),
+  SELECT c."REGIONID" AS r, c."INTERVAL_DATETIME" AS t, {", ".join("w." + c for c in WEATHER_COLUMNS)}, w."INTERVAL_DATETIME" AS wt
+  FROM half_t c LEFT JOIN weather w ON c."INTERVAL_DATETIME" = w."INTERVAL_DATETIME"),
 r AS (
-  SELECT (SELECT count(*) FROM click) AS demand_rows_before_merge,
+  SELECT (SELECT count(*) FROM half_t) AS demand_rows_before_merge,
          (SELECT count(*) FROM weather) AS weather_rows_before_merge, count(*) AS merged_rows,
-         count(wt) AS matched, count(*) - count(wt) AS lost, count(*) - count(DISTINCT t) AS dup,
+         count(DISTINCT wt) AS matched, count(DISTINCT t) - count(DISTINCT wt) AS lost, count(DISTINCT t) AS stamps,
+         count(*) - count(DISTINCT (r, t)) AS dup,
          {" + ".join(f"count(*) - count({c})" for c in WEATHER_COLUMNS)} AS gaps
   FROM merged)
 SELECT demand_rows_before_merge, weather_rows_before_merge, merged_rows,
        merged_rows - demand_rows_before_merge AS row_difference_vs_demand,
        matched AS matched_timestamp_count, lost AS unmatched_demand_timestamp_count,
        weather_rows_before_merge - matched AS extra_weather_timestamp_count,
-       CAST(matched AS DOUBLE) / demand_rows_before_merge AS match_rate,
+       CAST(matched AS DOUBLE) / stamps AS match_rate,
        dup AS duplicate_merged_timestamp_count, gaps AS missing_weather_value_count_after_merge,
-       CASE WHEN CAST(matched AS DOUBLE) / demand_rows_before_merge < 0.99 OR dup > 0 THEN 'FAIL'
+       CASE WHEN CAST(matched AS DOUBLE) / stamps < 0.99 OR dup > 0 THEN 'FAIL'
             WHEN gaps > 0 OR lost > 0 THEN 'PASS_WITH_WARNINGS' ELSE 'PASS' END AS status
 FROM r""",
-    "split_overlap": f"""WITH {HALF_TYPE},
-p AS (SELECT "INTERVAL_DATETIME" AS t, bool_or("REGIONID" = 'click') AS a, bool_or("REGIONID" = 'view') AS b,
-             bool_or("REGIONID" = 'purchase') AS c FROM half_t GROUP BY 1)
+    "split_overlap": f"""WITH {HALF_TYPE},{split_cte("half_t", 'PARTITION BY "REGIONID"')},
+p AS (SELECT "INTERVAL_DATETIME" AS t, bool_or(split = 'train') AS a, bool_or(split = 'validation') AS b,
+             bool_or(split = 'test') AS c FROM labelled GROUP BY 1)
 SELECT count(*) FILTER (a AND b) AS train_validation, count(*) FILTER (a AND c) AS train_test,
        count(*) FILTER (b AND c) AS validation_test FROM p""",
     "table_profile": """SELECT count(*) AS row_count, CAST(11 AS INTEGER) AS column_count,
@@ -405,8 +456,7 @@ SELECT l_orderkey, l_linenumber, {fixed("(l_quantity - m1) / s1", 6)} AS l_quant
        {fixed("(l_extendedprice - m2) / s2", 6)} AS l_extendedprice,
        {fixed("(l_discount - m3) / s3", 6)} AS l_discount, {fixed("(l_tax - m4) / s4", 6)} AS l_tax FROM lineitem CROSS JOIN s""",
     "baseline_metrics": f"""WITH {LAG_TYPE},
-base AS (SELECT CAST("OPERATIONAL_DEMAND" AS DOUBLE) AS a, * FROM lagged_t
-         WHERE lag_336 IS NOT NULL AND "OPERATIONAL_DEMAND" > 0),
+base AS (SELECT CAST("OPERATIONAL_DEMAND" + 1 AS DOUBLE) AS a, * FROM lagged_t WHERE lag_336 IS NOT NULL),
 long AS (
   SELECT 'previous_interval' AS model, a, CAST(lag_1 AS DOUBLE) AS p FROM base
   UNION ALL SELECT 'previous_day', a, CAST(lag_48 AS DOUBLE) FROM base
@@ -444,15 +494,41 @@ SELECT count(*) AS row_count, CAST(36 AS INTEGER) AS column_count, CAST(34 AS IN
        count(*) - count(DISTINCT "INTERVAL_DATETIME") AS duplicate_timestamp_count, true AS is_monotonic_increasing,
        min("INTERVAL_DATETIME") AS minimum_timestamp, max("INTERVAL_DATETIME") AS maximum_timestamp,
        'PASS' AS status FROM training""",
-    "split_report": f"""WITH {HALF},{split_cte("half", "")}
-SELECT count(*) AS full_row_count, count(*) FILTER (split = 'train') AS train_row_count,
-       count(*) FILTER (split = 'validation') AS validation_row_count, count(*) FILTER (split = 'test') AS test_row_count,
-       true AS row_total_matches_full_dataset, CAST(0 AS BIGINT) AS train_validation, CAST(0 AS BIGINT) AS train_test,
-       CAST(0 AS BIGINT) AS validation_test, true AS train_before_validation, true AS validation_before_test,
-       {", ".join(
-           f'{fn}("INTERVAL_DATETIME") FILTER (split = ' + f"'{p}') AS {p}_{edge}"
-           for p in ("train", "validation", "test") for fn, edge in (("min", "start"), ("max", "end"))
-       )}, 'PASS' AS status FROM labelled""",
+    "split_report": _split_report(f"WITH {TRAIN},{split_cte('training', '')}", 34, 0, ""),
+    "split_report_by_series": _split_report(
+        f"""WITH {LAG_TYPE},
+complete AS (SELECT "REGIONID", "INTERVAL_DATETIME" FROM lagged_t WHERE lag_2 IS NOT NULL),"""
+        + split_cte("complete", 'PARTITION BY "REGIONID"'), 3, 1, '"REGIONID", ',
+    ),
+    "lag_features_raw": f"WITH {RAW} SELECT *, {_LAGS} FROM half_t WINDOW w AS (PARTITION BY \"REGIONID\" ORDER BY \"INTERVAL_DATETIME\")",
+    "rolling_features_raw": f"""WITH {RAW} SELECT *, {_rolling(3)} FROM half_t {_windows('PARTITION BY "REGIONID"')}""",
+    "chronological_split_raw": f"""WITH {RAW},{split_cte("half_t", 'PARTITION BY "REGIONID"')}
+SELECT "REGIONID", "INTERVAL_DATETIME", "OPERATIONAL_DEMAND", split FROM labelled""",
+    "missing_intervals_raw": """WITH m AS (
+  SELECT DISTINCT event_type AS "REGIONID", date_trunc('minute', ts) AS "INTERVAL_DATETIME" FROM events),
+edges AS (SELECT "REGIONID", min("INTERVAL_DATETIME") AS a, max("INTERVAL_DATETIME") AS b FROM m GROUP BY 1),
+grid AS (SELECT "REGIONID", unnest(generate_series(a, b, INTERVAL '1 minute')) AS "INTERVAL_DATETIME" FROM edges)
+SELECT * FROM grid EXCEPT SELECT * FROM m""",
+    "missing_interval_details": f"WITH {MISSING} SELECT * FROM missing",
+    "linear_regression_all": _NORMAL,
+    "ridge_regression_all": _NORMAL,
+    "random_forest": _stated("validation"),
+    "gbt_default": _stated("validation"),
+    "gbt_custom": _stated("validation"),
+    "final_forecast": _stated("test"),
+    "rf_importance": _IMPORTANCE,
+    "gbt_importance": _IMPORTANCE,
+    "gbt_tuned": "SELECT CAST(r AS INTEGER) AS rank_test_score, true AS valid FROM range(1, 4) AS t(r)",
+    "model_comparison": f"""WITH {TRAIN},{split_cte("training", "")},
+base AS (SELECT CAST("OPERATIONAL_DEMAND" + 1 AS DOUBLE) AS a, * FROM labelled WHERE split = 'validation'),
+long AS (
+  SELECT 'previous_interval' AS model, a, CAST(lag_1 AS DOUBLE) AS p FROM base
+  UNION ALL SELECT 'previous_day', a, CAST(lag_48 AS DOUBLE) FROM base
+  UNION ALL SELECT 'previous_week', a, CAST(lag_336 AS DOUBLE) FROM base),
+m AS (SELECT model, {_METRICS} FROM long GROUP BY model)
+SELECT model, true AS finite, {rounded(4, "MAE", "RMSE", "MAPE", "R2")} FROM m
+UNION ALL SELECT unnest(['linear_regression', 'ridge_regression', 'random_forest', 'default_boosted', 'tuned_boosted']),
+  true, NULL, NULL, NULL, NULL""",
     "model_output_report": f"""WITH {BASE}
 SELECT 'previous_interval' AS selected_model, true AS selected_model_present_in_comparison,
        (SELECT count(*) FROM comparison) AS comparison_row_count, count(*) AS test_prediction_row_count,

@@ -39,7 +39,7 @@ class Budget:
     search_iterations: int = 25
     search_folds: int = 4
     search_parallelism: int = 4
-    search_max_rounds: int | None = None
+    search_space: dict | None = None
     max_bins: int = 256
 
 
@@ -85,7 +85,7 @@ def fit_candidates(
     with_scaled = scaler.transform(train, SCALED)
     search = tune_boosted(
         train, features, target, ts, series, b.search_iterations, b.search_folds, seed,
-        b.search_parallelism, max_rounds=b.search_max_rounds, max_bins=b.max_bins,
+        b.search_parallelism, space=b.search_space, max_bins=b.max_bins,
     )
     models = {
         "linear_regression": fit_linear(with_scaled, scaled, target),
@@ -93,7 +93,7 @@ def fit_candidates(
         "random_forest": fit_random_forest(
             train, features, target, b.forest_trees, b.forest_depth, seed=seed, max_bins=b.max_bins
         ),
-        "default_boosted": fit_boosted_default(train, features, target, seed, check=False, **b.boosted_default),
+        "default_boosted": fit_boosted_default(train, features, target, seed, False, b.max_bins, **b.boosted_default),
         "tuned_boosted": search.model,
     }
     # Every model adds one column to the same rows; nothing is joined or matched by position.
@@ -151,13 +151,13 @@ def run_forecast(
     columns = WEATHER_COLUMNS if weather_columns is None else weather_columns
     demand, weather = materialise(demand), materialise(weather)
 
-    enforce(series_report(demand, ts, (*series, ts), series=series), f"{checks}/00_existing_demand_validation.json")
+    enforce(series_report(demand, ts, (*series, ts), series=series, details=details), f"{checks}/00_existing_demand_validation.json")
     enforce(demand_report(demand, ts, target, series), f"{checks}/01_demand_validation.json")
     enforce(weather_report(weather, ts, tuple(k for k in keys if k != ts)), f"{checks}/02_weather_validation.json")
     features_only = demand_features(model_columns(demand, series, ts, target), ts, target, series)
-    merged = materialise(attach_weather(features_only, weather, keys, columns, on_unmatched))
+    merged = materialise(attach_weather(features_only, weather, keys, columns, on_unmatched, demand_keys=[*series, ts]))
     write_merge_details(demand, weather, merged, details, keys, columns)
-    enforce(merge_report(demand, weather, merged, keys, columns), f"{checks}/03_merge_validation.json")
+    enforce(merge_report(demand, weather, merged, keys, columns, demand_keys=[*series, ts]), f"{checks}/03_merge_validation.json")
     in_order = merged.select(*features_only.columns, *columns)
     table = materialise(prepare_training(in_order, ts, series))
     enforce(training_report(table, ts, target, series), f"{checks}/04_training_dataset_validation.json")

@@ -122,7 +122,7 @@ def timestamp_profile(
     )
     found = base.withColumn("__h", head.scalar())
     if ordinal:
-        monotonic = order_check(df, ts, ordinal).scalar()
+        monotonic = order_check(df, ts, ordinal, series).scalar()
     else:
         monotonic = F.col("invalid_timestamp_count") == 0
     return found.select(

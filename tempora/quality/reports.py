@@ -22,9 +22,7 @@ from tempora.quality.profiles import (
     timestamp_profile,
 )
 from tempora.schemas import COMPARISON_COLUMNS, MINIMUM_MATCH_RATE, SERIES, TARGET, TS, WEATHER_COLUMNS
-from tempora.session import materialise
-
-LISTED_INTERVALS = 1000
+from tempora.session import materialise, scratch_path
 
 
 def with_status(report: DataFrame, checks: dict[str, Column], warnings: dict[str, Column] | None = None) -> DataFrame:
@@ -77,14 +75,18 @@ def series_report(
     series: tuple[str, ...] = (),
     chunk_rows: int | None = CHUNK_ROWS,
     slot: str = SLOT,
+    details: str | None = None,
 ) -> DataFrame:
     """Rows, range, duplicates, gaps and missing values per column. Informative only: never fails.
 
-    The gap list inside the report shows the first ``LISTED_INTERVALS`` entries; the count is complete
-    and ``missing_intervals`` returns the whole table.
+    Every missing interval is written to ``missing_intervals.csv`` below ``details`` (the shared scratch folder if none is
+    given); the report holds their number and the table's path.
     """
+    from tempora.sinks.tables import write_csv
+
     gaps = materialise(missing_intervals(df, ts, step, series, chunk_rows, slot), "gaps")
-    head = gaps.orderBy(ts).limit(LISTED_INTERVALS).agg(F.sort_array(F.collect_list(ts)))
+    path = f"{details or scratch_path(df.sparkSession, 'gap-details')}/missing_intervals.csv"
+    write_csv(gaps, path, [*series, ts])
     return df.agg(
         F.lit("series").alias("stage"),
         F.count(F.lit(1)).alias("rows"),
@@ -98,7 +100,7 @@ def series_report(
         "end_datetime",
         duplicate_count(df, list(keys)).scalar().alias("duplicate_intervals"),
         gaps.agg(F.count(F.lit(1))).scalar().alias("missing_interval_count"),
-        head.scalar().alias("missing_intervals"),
+        F.lit(path).alias("missing_interval_table"),
         "missing_values",
     )
 
@@ -211,7 +213,9 @@ def merge_report(
     keys: list[str] | None = None,
     columns: list[str] | None = None,
     minimum_match_rate: float = MINIMUM_MATCH_RATE,
+    demand_keys: list[str] | None = None,
 ) -> DataFrame:
+    """Counts, coverage and gaps of the merge. ``demand_keys`` makes a demand row unique, by default the join keys."""
     keys = keys or [TS]
     expected = WEATHER_COLUMNS if columns is None else columns
     for name, df in (("demand", demand), ("weather", weather), ("merged", merged)):
@@ -229,7 +233,7 @@ def merge_report(
             {
                 "demand_rows_before_merge": demand.agg(F.count(F.lit(1))).scalar(),
                 "weather_rows_before_merge": weather.agg(F.count(F.lit(1))).scalar(),
-                "duplicate_merged_timestamp_count": duplicate_count(merged, keys).scalar(),
+                "duplicate_merged_timestamp_count": duplicate_count(merged, demand_keys or keys).scalar(),
                 "coverage": as_struct(key_coverage(demand, weather, keys)),
             }
         )
@@ -319,19 +323,27 @@ def split_report(
     target: str = TARGET,
     keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Totals, overlap, order and leakage checks. ``keys`` adds series columns to the overlap key."""
+    """Totals, overlap, order and leakage checks. ``keys`` are the series: overlap and order are judged inside each one."""
     parts = {"train": train, "validation": validation, "test": test}
     for name, df in {"full": full, **parts}.items():
         require_columns(df, [ts, target], f"split report, {name}")
     absent = [c for c in features if c not in full.columns]
     tagged = None
     for name, df in parts.items():
-        one = df.select(F.lit(name).alias("part"), ts)
+        one = df.select(F.lit(name).alias("part"), *keys, ts)
         tagged = one if tagged is None else tagged.unionByName(one)
-    stats = tagged.agg(
-        *[F.count_if(F.col("part") == p).alias(f"{p}_row_count") for p in parts],
-        *[F.min(F.when(F.col("part") == p, F.col(ts))).alias(f"{p}_start") for p in parts],
-        *[F.max(F.when(F.col("part") == p, F.col(ts))).alias(f"{p}_end") for p in parts],
+    each = tagged.groupBy(*keys).agg(
+        *[F.count_if(F.col("part") == p).alias(f"{p}_n") for p in parts],
+        *[F.min(F.when(F.col("part") == p, F.col(ts))).alias(f"{p}_lo") for p in parts],
+        *[F.max(F.when(F.col("part") == p, F.col(ts))).alias(f"{p}_hi") for p in parts],
+    )
+    stats = each.agg(
+        *[F.coalesce(F.sum(f"{p}_n"), F.lit(0)).alias(f"{p}_row_count") for p in parts],
+        *[F.min(f"{p}_lo").alias(f"{p}_start") for p in parts],
+        *[F.max(f"{p}_hi").alias(f"{p}_end") for p in parts],
+        # A series that lacks a part has no order to break; a part without any row fails below.
+        F.bool_and(F.col("train_hi") < F.col("validation_lo")).alias("__first"),
+        F.bool_and(F.col("validation_hi") < F.col("test_lo")).alias("__second"),
     )
     total = F.col("train_row_count") + F.col("validation_row_count") + F.col("test_row_count")
     report = (
@@ -352,8 +364,8 @@ def split_report(
             F.lit(target not in features).alias("target_excluded_from_features"),
             F.lit(ts not in features).alias("timestamp_excluded_from_features"),
             "timestamp_overlap_counts",
-            F.coalesce(F.col("train_end") < F.col("validation_start"), F.lit(False)).alias("train_before_validation"),
-            F.coalesce(F.col("validation_end") < F.col("test_start"), F.lit(False)).alias("validation_before_test"),
+            F.coalesce("__first", F.lit(False)).alias("train_before_validation"),
+            F.coalesce("__second", F.lit(False)).alias("validation_before_test"),
             F.struct(*[f"{p}_{edge}" for p in parts for edge in ("start", "end")]).alias("boundaries"),
         )
     )

@@ -10,6 +10,8 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -39,7 +41,7 @@ from tempora.operators.windows import (
     order_check,
 )
 from tempora.plans.demand import clean_demand, demand_features
-from tempora.plans.forecast import Budget, final_forecast, fit_candidates, split_table
+from tempora.plans.forecast import BOOSTED, Budget, final_forecast, fit_candidates, split_table
 from tempora.plans.training import training_table
 from tempora.plans.weather import clean_weather, type_weather, weather_features
 from tempora.quality import profiles, reports
@@ -63,17 +65,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGION = (SERIES,)
 HALF_HOUR = 30 * MINUTE
 
-# Fit sizes of the registered model queries; library defaults are the full sizes.
-SMALL = Budget(
-    forest_trees=10,
-    forest_depth=6,
-    boosted_default={"n_estimators": 5, "max_depth": 4},
-    search_iterations=2,
-    search_folds=2,
-    search_parallelism=4,
-    search_max_rounds=4,
-    max_bins=32,
-)
+# Forest and default boosting run at the library's sizes. The full search (25 draws x 4 folds of up to 1200 rounds) is
+# hours of fits on one machine, so the registered search draws 3 candidates from this smaller space, over all folds.
+SEARCH = {"n_estimators": [10, 20], "learning_rate": [0.1, 0.3], "max_depth": [3, 4], "subsample": [0.8, 1.0]}
+BUDGET = Budget(search_iterations=3, search_space=SEARCH)
 
 
 # --- derived inputs ------------------------------------------------------------------------------
@@ -179,8 +174,8 @@ def ingest_tagged_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_tagged_csv(spark, path).select("RECORD_TYPE", "VERSION", SERIES, TS, TARGET, CHANGED)
 
 
-def _zip_month(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
-    """One archive per month holding one archive per day; bounded by the calendar."""
+def _zip_day(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
+    """The archive of one day and series, inside one of its month."""
     outer = io.BytesIO()
     with zipfile.ZipFile(outer, "w", zipfile.ZIP_DEFLATED) as month:
         for day, rows in lines.sort_values(["day", "seq", "value"]).groupby("day"):
@@ -188,12 +183,17 @@ def _zip_month(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
             with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as daily:
                 daily.writestr(f"{day}.CSV", "\r\n".join(rows["value"]))
             month.writestr(f"{day}.zip", inner.getvalue())
-    return pd.DataFrame({"name": [f"{key[0]}.zip"], "content": [outer.getvalue()]})
+    return pd.DataFrame({"name": [f"{key[1][:7]}.zip"], "content": [outer.getvalue()]})
 
 
 def _archives(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _tagged_lines(spark, sf).withColumn("month", F.substring("day", 1, 7))
-    return materialise(lines.groupBy("month").applyInPandas(_zip_month, "name string, content binary"), "archives")
+    """One archive per day and series, each with its own frame of records."""
+    lines = _tagged_lines(spark, sf)
+    series = F.when(F.col("seq") == 2, F.split("value", ",")[4])
+    data = lines.withColumn("series", series).where("seq = 2")
+    frame = lines.where("seq <> 2").join(data.select("day", "series").distinct(), "day").select(*data.columns)
+    parts = data.unionByName(frame).groupBy("series", "day").applyInPandas(_zip_day, "name string, content binary")
+    return materialise(parts, "archives")
 
 
 def ingest_nested_zip(spark: SparkSession, sf: str) -> DataFrame:
@@ -275,7 +275,12 @@ def residuals(spark: SparkSession, sf: str) -> DataFrame:
 
 def _baseline_rows(spark: SparkSession, sf: str) -> DataFrame:
     lagged = add_lag_features(half_total(spark, sf)).dropna()
-    return metrics.baseline_predictions(lagged.filter(F.col(TARGET) > 0))
+    return metrics.baseline_predictions(above_zero(lagged))
+
+
+def above_zero(df: DataFrame) -> DataFrame:
+    """All rows, the target one cent higher: sums of cents may be 0, which has no MAPE."""
+    return df.withColumn(TARGET, F.col(TARGET) + 1)
 
 
 def _comparison(spark: SparkSession, sf: str) -> DataFrame:
@@ -331,26 +336,22 @@ def join_inner_one_to_one(spark: SparkSession, sf: str) -> DataFrame:
     return joins.join_one_to_one(smooth, expand_backwards(source), [TS], "inner", check=False)
 
 
-def _click(spark: SparkSession, sf: str) -> DataFrame:
-    return filter_series(spark, sf).drop(SERIES)
-
-
 def unmatched_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.unmatched_keys(_click(spark, sf), hourly(spark, sf), [TS])
+    return joins.unmatched_keys(half_by_type(spark, sf), hourly(spark, sf), [TS])
 
 
 def extra_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.unmatched_keys(weather(spark, sf), _click(spark, sf), [TS])
+    return joins.unmatched_keys(weather(spark, sf), half_by_type(spark, sf), [TS])
 
 
 def match_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.key_coverage(_click(spark, sf), hourly(spark, sf), [TS])
+    return joins.key_coverage(half_by_type(spark, sf), hourly(spark, sf), [TS])
 
 
 def merge_report(spark: SparkSession, sf: str) -> DataFrame:
-    demand, companion = materialise(_click(spark, sf)), materialise(weather(spark, sf))
-    merged = materialise(joins.attach_weather(demand, companion, check=False))
-    out = reports.merge_report(demand, companion, merged)
+    demand, companion = materialise(half_by_type(spark, sf)), materialise(weather(spark, sf))
+    merged = materialise(joins.attach_weather(demand, companion, demand_keys=[SERIES, TS]))
+    out = reports.merge_report(demand, companion, merged, demand_keys=[SERIES, TS])
     return out.select(
         "demand_rows_before_merge",
         "weather_rows_before_merge",
@@ -367,9 +368,9 @@ def merge_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    half = half_by_type(spark, sf)
-    kinds = {"train": "click", "validation": "view", "test": "purchase"}
-    return joins.split_overlap({k: half.filter(F.col(SERIES) == v).select(TS) for k, v in kinds.items()}, [TS])
+    """Timestamps that the parts of all series share: series end at different times, so their parts overlap."""
+    labelled = chronological_split(half_by_type(spark, sf), series=REGION)
+    return joins.split_overlap({p: split_part(labelled, p).select(TS) for p in ("train", "validation", "test")}, [TS])
 
 
 # --- aggregates --------------------------------------------------------------------------------------
@@ -467,6 +468,40 @@ def interval_continuity(spark: SparkSession, sf: str) -> DataFrame:
     return continuity(half_by_type(spark, sf), TS, HALF_HOUR, REGION)
 
 
+def raw_events(spark: SparkSession, sf: str) -> DataFrame:
+    """One value per event type and instant: rows grow with the table, series are long."""
+    ev = table(spark, sf, "events").groupBy(F.col("event_type").alias(SERIES), F.col("ts").alias(TS))
+    return ev.agg(F.sum(cents()).alias(TARGET))
+
+
+RAW_CHUNK = 500  # rows of a chunk, far below the length of a series
+
+
+def lag_features_raw(spark: SparkSession, sf: str) -> DataFrame:
+    return add_lag_features(raw_events(spark, sf), series=REGION, chunk_rows=RAW_CHUNK)
+
+
+def rolling_features_raw(spark: SparkSession, sf: str) -> DataFrame:
+    out = add_rolling_features(raw_events(spark, sf), series=REGION, chunk_rows=RAW_CHUNK)
+    return rounded(out, ["rolling_std_4", "rolling_std_48"], 3)
+
+
+def chronological_split_raw(spark: SparkSession, sf: str) -> DataFrame:
+    return chronological_split(raw_events(spark, sf), series=REGION)
+
+
+def missing_intervals_raw(spark: SparkSession, sf: str) -> DataFrame:
+    minutes = raw_events(spark, sf).select(SERIES, F.date_trunc("minute", TS).cast("timestamp_ntz").alias(TS)).distinct()
+    return missing_intervals(minutes, step=MINUTE, series=REGION, chunk_rows=RAW_CHUNK)
+
+
+def missing_interval_details(spark: SparkSession, sf: str) -> DataFrame:
+    """The gap table that the series report writes, read back."""
+    half = materialise(half_by_type(spark, sf))
+    path = reports.series_report(half, series=REGION).first()["missing_interval_table"]
+    return spark.read.schema(missing_intervals(half, series=REGION).schema).option("header", "true").csv(path)
+
+
 def chronological_split_query(spark: SparkSession, sf: str) -> DataFrame:
     return chronological_split(half_by_type(spark, sf), series=REGION)
 
@@ -588,12 +623,12 @@ def standard_scale(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    lagged = add_lag_features(half_by_type(spark, sf), series=REGION).dropna().filter(F.col(TARGET) > 0)
+    lagged = above_zero(add_lag_features(half_by_type(spark, sf), series=REGION).dropna())
     return rounded(metrics.evaluate_models(metrics.baseline_predictions(lagged)), ["MAE", "RMSE", "MAPE", "R2"], 4)
 
 
 def _two_lags(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(scaled training part, scaled full frame, features) of a two-feature model."""
+    """(scaled training part, scaled full frame, features) of a two-feature model, whose closed form SQL can state."""
     features = ["lag_1", "lag_2"]
     rows = materialise(add_lag_features(half_total(spark, sf), [1, 2]).dropna())
     labelled = materialise(chronological_split(rows))
@@ -613,7 +648,35 @@ def ridge_regression(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return split_table(training(spark, sf).filter(F.col(TARGET) > 0))
+    return split_table(above_zero(training(spark, sf)))
+
+
+def _normal_equations(spark: SparkSession, sf: str, alpha: float) -> DataFrame:
+    """A fit on all features leaves, for each feature, sum(x * residual) = alpha * weight over the training rows.
+
+    Returns the largest deviation per feature, relative to the sum of |x * residual| and rounded, which is 0 for a solution.
+    """
+    train, features = _train_features(_labelled(spark, sf))
+    scaled = fit_scaler(train, features).transform(train)
+    model = fit_linear(scaled, features, TARGET) if alpha == 0 else fit_ridge(scaled, features, TARGET, alpha)
+    weights = [float(w) for w in model.stages[-1].coefficients]
+    rows = model.transform(scaled)
+    residual = F.col(TARGET) - F.col("prediction")
+    sums = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.struct(F.lit(c).alias("feature"), F.sum(F.col(c) * residual).alias("s"), F.sum(F.abs(F.col(c) * residual)).alias("a"), F.lit(w).alias("w")).alias(f"f{i}") for i, (c, w) in enumerate(zip(features, weights))],
+    )
+    long = sums.select("n", F.inline(F.array(*[f"f{i}" for i in range(len(features))])))
+    off = F.abs(F.col("s") - alpha * F.col("w")) / F.greatest(F.col("a"), F.lit(1.0))
+    return long.select("feature", F.col("n").alias("train_rows"), F.round(off, 4).alias("deviation"))
+
+
+def linear_regression_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _normal_equations(spark, sf, 0.0)
+
+
+def ridge_regression_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _normal_equations(spark, sf, 1.0)
 
 
 def _train_features(labelled: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -621,54 +684,80 @@ def _train_features(labelled: DataFrame) -> tuple[DataFrame, list[str]]:
     return train, col_ops.feature_columns(train)
 
 
+def _stated(predictions: DataFrame, train: DataFrame, reach: float) -> DataFrame:
+    """Keys, actual values and whether the prediction is finite and inside the training range widened by ``reach`` times it."""
+    lo, hi = (float(x) for x in train.agg(F.min(TARGET), F.max(TARGET)).first())
+    p, room = F.col("predicted"), reach * (hi - lo)
+    return predictions.withColumn("plausible", F.coalesce(p.isNotNull() & ~F.isnan(p) & p.between(lo - room, hi + room), F.lit(False))).drop("predicted", "residual")
+
+
+def _stated_importance(importances: DataFrame, features: list[str]) -> DataFrame:
+    """Every feature of the model, its importance being a share: none below 0, the sum 1."""
+    total = importances.agg(F.round(F.sum("importance"), 6)).first()[0]
+    named = train_names(importances.sparkSession, features).join(importances, "feature", "left")
+    return named.select("feature", (F.coalesce("importance", F.lit(0.0)) >= 0).alias("valid"), F.lit(total).alias("total"))
+
+
+def train_names(spark: SparkSession, features: list[str]) -> DataFrame:
+    return spark.createDataFrame([(f,) for f in features], "feature string")
+
+
 def random_forest(spark: SparkSession, sf: str) -> DataFrame:
     labelled = _labelled(spark, sf)
     train, features = _train_features(labelled)
-    model = fit_random_forest(train, features, TARGET, SMALL.forest_trees, SMALL.forest_depth, max_bins=SMALL.max_bins)
-    return predict(model, split_part(labelled, "validation"), [TS], TARGET)
+    model = fit_random_forest(train, features, TARGET)
+    return _stated(predict(model, split_part(labelled, "validation"), [TS], TARGET), train, 0.0)
 
 
 def rf_importance(spark: SparkSession, sf: str) -> DataFrame:
     train, features = _train_features(_labelled(spark, sf))
-    model = fit_random_forest(train, features, TARGET, SMALL.forest_trees, SMALL.forest_depth, max_bins=SMALL.max_bins)
-    return importance_table(model, train)
+    return _stated_importance(importance_table(fit_random_forest(train, features, TARGET), train), features)
 
 
 def gbt_default(spark: SparkSession, sf: str) -> DataFrame:
     labelled = _labelled(spark, sf)
     train, features = _train_features(labelled)
-    model = fit_boosted_default(train, features, TARGET, **SMALL.boosted_default)
-    return predict(model, split_part(labelled, "validation"), [TS], TARGET)
+    model = fit_boosted_default(train, features, TARGET)
+    return _stated(predict(model, split_part(labelled, "validation"), [TS], TARGET), train, 1.0)
 
 
 def gbt_custom(spark: SparkSession, sf: str) -> DataFrame:
     labelled = _labelled(spark, sf)
     train, features = _train_features(labelled)
-    model = fit_boosted(train, features, TARGET, n_estimators=5, learning_rate=0.3, max_depth=4, max_bins=SMALL.max_bins)
-    return predict(model, split_part(labelled, "validation"), [TS], TARGET)
+    model = fit_boosted(train, features, TARGET, n_estimators=20, learning_rate=0.2, max_depth=4)
+    return _stated(predict(model, split_part(labelled, "validation"), [TS], TARGET), train, 1.0)
 
 
 def gbt_importance(spark: SparkSession, sf: str) -> DataFrame:
     train, features = _train_features(_labelled(spark, sf))
-    return importance_table(fit_boosted_default(train, features, TARGET, **SMALL.boosted_default), train)
+    return _stated_importance(importance_table(fit_boosted_default(train, features, TARGET), train), features)
 
 
 def gbt_tuned(spark: SparkSession, sf: str) -> DataFrame:
     train, features = _train_features(_labelled(spark, sf))
-    found = tune_boosted(
-        train, features, n_iter=SMALL.search_iterations, n_splits=SMALL.search_folds,
-        max_rounds=SMALL.search_max_rounds, max_bins=SMALL.max_bins,
-    )
-    return found.results
+    found = tune_boosted(train, features, n_iter=BUDGET.search_iterations, space=BUDGET.search_space).results
+    errors = ("mean_validation_MAE", "std_validation_MAE", "mean_training_MAE", "mean_fit_time")
+    valid = reduce(and_, [F.col(c) >= 0 for c in errors])
+    return found.select(F.col("rank_test_score").cast("int").alias("rank_test_score"), valid.alias("valid"))
 
 
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    return fit_candidates(_labelled(spark, sf), budget=SMALL).comparison
+    """All candidates; the metrics of the three naive ones are exact on both engines."""
+    found = fit_candidates(_labelled(spark, sf), budget=BUDGET).comparison
+    names = ["MAE", "RMSE", "MAPE", "R2"]
+    naive = F.col("model").startswith("previous_")
+    finite = reduce(and_, [F.col(c).isNotNull() & ~F.isnan(c) for c in names])
+    return rounded(found, names, 4).select("model", finite.alias("finite"), *[F.when(naive, F.col(c)).alias(c) for c in names])
 
 
 def final_forecast_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The better of the boosted candidates on validation, refitted and applied to the test part."""
     labelled = _labelled(spark, sf)
-    return final_forecast(labelled, "default_boosted", SMALL.boosted_default, max_bins=SMALL.max_bins).predictions
+    found = fit_candidates(labelled, budget=BUDGET)
+    selected = metrics.select_best(found.comparison, BOOSTED).first()["model"]
+    parameters = found.search.best_parameters if selected == "tuned_boosted" else None
+    result = final_forecast(labelled, selected, parameters, max_bins=BUDGET.max_bins)
+    return _stated(result.predictions, split_part(labelled, "train", "validation"), 1.0)
 
 
 # --- reports -------------------------------------------------------------------------------------------
@@ -733,15 +822,26 @@ def training_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_report(spark: SparkSession, sf: str) -> DataFrame:
-    full = half_total(spark, sf)
-    labelled = chronological_split(full)
+    labelled = _labelled(spark, sf)
+    parts = [split_part(labelled, p) for p in ("train", "validation", "test")]
+    return _split_columns(reports.split_report(labelled.drop("split"), *parts, features=_train_features(labelled)[1]))
+
+
+def split_report_by_series(spark: SparkSession, sf: str) -> DataFrame:
+    full = add_lag_features(half_by_type(spark, sf), [1, 2], series=REGION).dropna()
+    labelled = materialise(chronological_split(materialise(full), series=REGION))
     parts = [split_part(labelled, p) for p in ("train", "validation", "test")]
-    out = reports.split_report(full, *parts, features=[])
+    return _split_columns(reports.split_report(full, *parts, features=["lag_1", "lag_2", "lag_9"], keys=REGION))
+
+
+def _split_columns(out: DataFrame) -> DataFrame:
     return out.select(
         "full_row_count",
         "train_row_count",
         "validation_row_count",
         "test_row_count",
+        "feature_count",
+        F.size("missing_feature_columns").alias("missing_features"),
         "row_total_matches_full_dataset",
         "timestamp_overlap_counts.*",
         "train_before_validation",
@@ -805,10 +905,13 @@ QUERIES: dict[str, Query] = {
     "cv_summary": cv_summary,
     "select_best": select_best,
     "lag_features": lag_features,
+    "lag_features_raw": lag_features_raw,
     "rolling_features": rolling_features,
+    "rolling_features_raw": rolling_features_raw,
     "diff_features": diff_features,
     "interval_continuity": interval_continuity,
     "chronological_split": chronological_split_query,
+    "chronological_split_raw": chronological_split_raw,
     "expanding_folds": expanding_folds_query,
     "is_monotonic": is_monotonic,
     "sorted_output": sorted_output,
@@ -816,6 +919,8 @@ QUERIES: dict[str, Query] = {
     "top_k": top_k,
     "union_by_name": union_by_name,
     "missing_intervals": missing_intervals_query,
+    "missing_interval_details": missing_interval_details,
+    "missing_intervals_raw": missing_intervals_raw,
     "calendar_features": calendar_features,
     "cyclical_features": cyclical_features,
     "weather_features": weather_features_query,
@@ -829,7 +934,9 @@ QUERIES: dict[str, Query] = {
     "standard_scale": standard_scale,
     "baseline_metrics": baseline_metrics,
     "linear_regression": linear_regression,
+    "linear_regression_all": linear_regression_all,
     "ridge_regression": ridge_regression,
+    "ridge_regression_all": ridge_regression_all,
     "random_forest": random_forest,
     "rf_importance": rf_importance,
     "gbt_default": gbt_default,
@@ -844,5 +951,6 @@ QUERIES: dict[str, Query] = {
     "weather_report": weather_report,
     "training_report": training_report,
     "split_report": split_report,
+    "split_report_by_series": split_report_by_series,
     "model_output_report": model_output_report,
 }

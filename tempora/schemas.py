@@ -74,9 +74,6 @@ SEARCH_SPACE = {
     "min_child_weight": [1, 3, 5, 7, 10],
     "subsample": [0.7, 0.8, 0.9, 1.0],
     "colsample_bytree": [0.7, 0.8, 0.9, 1.0],
-    "gamma": [0.0, 0.05, 0.1, 0.2, 0.5],
-    "reg_alpha": [0.0, 0.01, 0.1, 0.5, 1.0],
-    "reg_lambda": [0.5, 1.0, 2.0, 5.0, 10.0],
 }
 
 # --- end of fixed values -----------------------------------------------------------------------

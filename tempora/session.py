@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+import weakref
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Derived key tables up to this many rows are broadcast (tens of MB); larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
+_SHIPPED: weakref.WeakSet = weakref.WeakSet()
 
 
 def build_session(app_name: str = "tempora", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,13 +35,27 @@ def build_session(app_name: str = "tempora", master: str | None = None, **conf:
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context, so that jobs may start from any folder."""
+    sc = spark.sparkContext
+    if sc not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}_lib", "zip", package.parent, package.name)
+        sc.addPyFile(archive)  # read on the driver, served by Spark
+        _SHIPPED.add(sc)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a temp folder only when it is unset (tests)."""
+    """Shared folder named by ``spark.checkpoint.dir``; a temporary folder if it is unset and all runs in one process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tempora-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

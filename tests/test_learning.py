@@ -100,7 +100,11 @@ def test_metric_guards(frame):
     df = frame("actual double, predicted double", [(0.0, 1.0)])
     with pytest.raises(Exception, match="MAPE is undefined"):
         metrics.regression_metrics(df).collect()
-    assert metrics.regression_metrics(df.limit(0)).isEmpty()
+    for odd in ([], [(1.0, None)], [(None, 1.0)], [(1.0, float("nan"))], [(1.0, 1.0), (2.0, 2.0), (10.0, None)]):
+        rows = frame("actual double, predicted double", odd)
+        for compute in (metrics.regression_metrics, metrics.evaluate_models):
+            with pytest.raises(Exception, match="there are no rows" if not odd else "is missing"):
+                compute(rows).collect()
     with pytest.raises(GuardError):
         metrics.evaluate_models(df.select("actual"))
     with pytest.raises(GuardError):
@@ -194,7 +198,7 @@ def test_forest_arguments(matrix, args):
 
 
 def test_boosting_parameter_mapping(spark):
-    e = boosting_estimator({"n_estimators": 7, "learning_rate": 0.2, "max_depth": 3, "min_child_weight": 5, "subsample": 0.8, "colsample_bytree": 0.9, "gamma": 1})
+    e = boosting_estimator({"n_estimators": 7, "learning_rate": 0.2, "max_depth": 3, "min_child_weight": 5, "subsample": 0.8, "colsample_bytree": 0.9})
     assert (e.getMaxIter(), e.getStepSize(), e.getMaxDepth(), e.getMinInstancesPerNode()) == (7, 0.2, 3, 5)
     assert (e.getSubsamplingRate(), e.getFeatureSubsetStrategy()) == (0.8, "0.9")
 

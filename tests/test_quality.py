@@ -182,11 +182,12 @@ def test_model_output_report(frame):
     assert empty["failures"] == ["There are no test predictions."]
 
 
-def test_series_report(frame):
+def test_series_report(frame, spark):
     df = frame(f"REGIONID string, {TS} timestamp_ntz, v int", [("A", T[0], 1), ("A", T[2], None), ("A", T[2], 1)])
     got = row(reports.series_report(df))
     assert (got["rows"], got["duplicate_intervals"], got["missing_interval_count"]) == (3, 1, 3)
-    assert got["missing_intervals"][0] == "2024-01-01T00:30:00"
+    table = spark.read.option("header", True).csv(got["missing_interval_table"])
+    assert [r[0][:19] for r in table.orderBy(TS).collect()] == ["2024-01-01T00:30:00", "2024-01-01T01:00:00", "2024-01-01T01:30:00"][: table.count()] and table.count() == 3
     assert got["missing_values"] == {"REGIONID": 0, TS: 0, "v": 1}
 
 

@@ -59,7 +59,7 @@ def test_guards(frame):
 def test_filter_series_names_what_exists(frame):
     df = frame("REGIONID string, v int", [("A", 1), ("B", 2)])
     assert values(c.filter_series(df, "B")) == [("B", 2)]
-    with pytest.raises(GuardError, match=r"\['A', 'B'\]"):
+    with pytest.raises(GuardError, match="there are 2 others, from 'A' to 'B'"):
         c.filter_series(df, "Z", require_match=True)
 
 
@@ -133,7 +133,7 @@ def test_clean_demand(frame):
     assert clean_demand(df).count() == 2
     with pytest.raises(GuardError, match="OPERATIONAL_DEMAND"):
         clean_demand(frame(schema, [(*a[:2], "n/a", *a[3:])]), "A")
-    with pytest.raises(GuardError, match="available"):
+    with pytest.raises(GuardError, match="there are .* others"):
         clean_demand(df, "C")
     with pytest.raises(GuardError, match="LASTCHANGED"):
         clean_demand(df.drop("LASTCHANGED"))
