@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tempora.errors import GuardError
 from tempora.operators.columns import is_missing, non_numeric_columns, require_columns
+from tempora.session import materialise
 
 FEATURES = "features"
+FIT_ROWS = 50_000
 
 
 def assembler(features: list[str]) -> VectorAssembler:
@@ -38,11 +40,18 @@ def check_fit_input(train: DataFrame, features: list[str], target: str, validati
             raise GuardError(f"fit, {name} part: missing values in {gaps}")
 
 
+def fit_rows(vectors: DataFrame) -> DataFrame:
+    """Stored rows for an iterative fit: every pass reads them, so their plan must not run again, and a pass over few rows
+    should not be cut into many tasks: each sends its own histograms (FIT_ROWS a task; never more tasks than there were)."""
+    stored = materialise(vectors, "vectors")
+    return stored.coalesce(max(1, -(-stored.count() // FIT_ROWS)))
+
+
 def fit(estimator, train: DataFrame, features: list[str], target: str) -> PipelineModel:
     """Assembler plus fitted estimator; the assembler keeps the feature list with the saved model."""
     stage = assembler(features)
     ready = stage.transform(train).select(FEATURES, F.col(target).cast("double").alias(target))
-    model = estimator.setFeaturesCol(FEATURES).setLabelCol(target).fit(ready)
+    model = estimator.setFeaturesCol(FEATURES).setLabelCol(target).fit(fit_rows(ready))
     return PipelineModel([stage, model])
 
 

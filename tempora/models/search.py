@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from tempora.errors import GuardError
-from tempora.models.frames import FEATURES, assembler, check_fit_input, fit
+from tempora.models.frames import FEATURES, assembler, check_fit_input, fit, fit_rows
 from tempora.models.trees import boosting_estimator
 from tempora.operators.metrics import cv_summary
 from tempora.operators.split import expanding_folds
@@ -83,7 +83,7 @@ def tune_boosted(
         rows = folds.filter(F.col("fold") == f)
         estimator = boosting_estimator(candidates[c], seed, max_bins).setFeaturesCol(FEATURES).setLabelCol(target)
         started = time.perf_counter()
-        model = estimator.fit(rows.filter("role = 'train'").select(FEATURES, target))
+        model = estimator.fit(fit_rows(rows.filter("role = 'train'").select(FEATURES, target)))
         took = time.perf_counter() - started
         error = F.abs(F.col(target) - F.col("prediction"))
         mae = model.transform(rows).agg(

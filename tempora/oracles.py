@@ -518,7 +518,7 @@ SELECT * FROM grid EXCEPT SELECT * FROM m""",
     "final_forecast": _stated("test"),
     "rf_importance": _IMPORTANCE,
     "gbt_importance": _IMPORTANCE,
-    "gbt_tuned": "SELECT CAST(r AS INTEGER) AS rank_test_score, true AS valid FROM range(1, 4) AS t(r)",
+    "gbt_tuned": "SELECT CAST(r AS INTEGER) AS rank_test_score, true AS valid FROM range(1, 3) AS t(r)",
     "model_comparison": f"""WITH {TRAIN},{split_cte("training", "")},
 base AS (SELECT CAST("OPERATIONAL_DEMAND" + 1 AS DOUBLE) AS a, * FROM labelled WHERE split = 'validation'),
 long AS (

@@ -66,9 +66,9 @@ REGION = (SERIES,)
 HALF_HOUR = 30 * MINUTE
 
 # Forest and default boosting run at the library's sizes. The full search (25 draws x 4 folds of up to 1200 rounds) is
-# hours of fits on one machine, so the registered search draws 3 candidates from this smaller space, over all folds.
-SEARCH = {"n_estimators": [10, 20], "learning_rate": [0.1, 0.3], "max_depth": [3, 4], "subsample": [0.8, 1.0]}
-BUDGET = Budget(search_iterations=3, search_space=SEARCH)
+# hours of fits on one machine, so the registered search draws 2 candidates from this smaller space, over all folds.
+SEARCH = {"n_estimators": [5, 10], "learning_rate": [0.1, 0.3], "max_depth": [3, 4], "subsample": [0.8, 1.0]}
+BUDGET = Budget(search_iterations=2, search_space=SEARCH)
 
 
 # --- derived inputs ------------------------------------------------------------------------------
@@ -753,9 +753,14 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 def final_forecast_query(spark: SparkSession, sf: str) -> DataFrame:
     """The better of the boosted candidates on validation, refitted and applied to the test part."""
     labelled = _labelled(spark, sf)
-    found = fit_candidates(labelled, budget=BUDGET)
-    selected = metrics.select_best(found.comparison, BOOSTED).first()["model"]
-    parameters = found.search.best_parameters if selected == "tuned_boosted" else None
+    train, features = _train_features(labelled)
+    search = tune_boosted(train, features, n_iter=BUDGET.search_iterations, space=BUDGET.search_space)
+    scored = split_part(labelled, "validation").select(F.col(TARGET).alias("actual"), *features)
+    for name, model in zip(BOOSTED, (fit_boosted_default(train, features, TARGET), search.model)):
+        scored = model.transform(scored).drop("features").withColumnRenamed("prediction", name)
+    comparison = metrics.evaluate_models(scored.select("actual", *BOOSTED))
+    selected = metrics.select_best(comparison, BOOSTED).first()["model"]
+    parameters = search.best_parameters if selected == "tuned_boosted" else None
     result = final_forecast(labelled, selected, parameters, max_bins=BUDGET.max_bins)
     return _stated(result.predictions, split_part(labelled, "train", "validation"), 1.0)
 
