@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     while not (live := stored(undecided(buckets), "undecided")).isEmpty():
         pairs, rest = candidates(live, round_no)
         pairs = stored(likely(pairs.join(tested, ["a", "b"], "left_anti"), marks, percent), "pairs")
-        links = verified(pairs, texts, percent).select(F.col("b").alias("u"), F.col("a").alias("v"))
+        links = stored(verified(pairs, texts, percent).select(F.col("b").alias("u"), F.col("a").alias("v")), "similar")
         tested = tested.unionByName(pairs)
         # Labels are minima after one step: finer than components, at worst, which only costs comparisons.
         edges = star_step(edges.unionByName(links))
