@@ -324,7 +324,8 @@ def counted_spans(rows: DataFrame) -> DataFrame:
 def repeated_spans(keyed: DataFrame, most_sorted: int = SORTED_CONTEXTS) -> DataFrame:
     """(id, twin, start, end): byte spans whose union is what repeated windows cover, several rows a text."""
     found = context_rows(keyed)
-    often = found.groupBy(F.col("anchor").alias("again")).agg(F.count("*").alias("times")).where("times > 1").select("again")
+    # Stored, so that the join below has plain exchanges on both sides and Spark can split a hot anchor.
+    often = stored(found.groupBy(F.col("anchor").alias("again")).agg(F.count("*").alias("times")).where("times > 1").select("again"), "anchors")
     # Contexts are worked out twice, which costs less than a stored table of all of them.
     met = stored(found.join(often, F.col("anchor") == F.col("again"), "left_semi"), "contexts")
     kinds = met.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("place", "id", "twin")).alias("eg"))
