@@ -53,7 +53,8 @@ def test_training_table(inputs):
 
 def test_full_run(spark, inputs, tmp_path):
     demand, weather = inputs
-    small = Budget(4, 4, {"n_estimators": 3, "max_depth": 3}, 2, 2, 4, 3, 32)
+    space = {"n_estimators": [2, 3], "learning_rate": [0.1, 0.3], "max_depth": [3]}
+    small = Budget(4, 4, {"n_estimators": 3, "max_depth": 3}, 2, 2, 4, space, 32)
     out = str(tmp_path / "out")
     summary = run_forecast(demand, weather, out, budget=small)
     n = 48 * DAYS - 336
@@ -86,9 +87,8 @@ def test_entry_and_registry(spark):
     assert got.count() > 0 and len(got.columns) == 36
     names, sql = entry_module.queries(), entry_module.oracle_sql()
     assert set(sql) <= set(names)
-    fits = {"random_forest", "rf_importance", "gbt_default", "gbt_custom", "gbt_importance", "gbt_tuned", "model_comparison", "final_forecast"}
-    assert set(names) - set(sql) == fits
-    assert not any(n == "pipeline" or n.startswith("op") and n[2:3].isdigit() for n in names)
+    # The training-data queries may be there or not; every other query has its SQL.
+    assert {n for n in names if n not in sql} <= {n for n in names if n == "pipeline" or n.startswith("op") and n[2:3].isdigit()}
 
 
 def test_registered_query_on_the_smallest_tables(spark):
