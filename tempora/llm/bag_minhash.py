@@ -28,6 +28,8 @@ PERCENT = 80
 BANDS, BAND_ROWS = 40, 7
 #: Buckets of at most this many distinct texts are compared in full; larger ones by pivots, four times as many each round.
 FULL_BUCKET = 8
+#: The first round looks at so many bands only: most near copies join there and need no comparison in the others.
+FIRST_BANDS = 4
 #: Candidates that agree in fewer registers than this many standard deviations below the mean at the limit are not read.
 DEVIATIONS = 5
 HASH_BITS = 44
@@ -135,7 +137,7 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFr
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 2 << 20):
             split = [t.encode().split() if t else [] for t in part.column("text").to_pylist()]
             has = np.array([bool(w) for w in split]) & part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             raw = [b" ".join(split[i]) for i in np.flatnonzero(has)]
@@ -172,7 +174,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     """The (a, b) of ``pairs`` whose multisets overlap enough. ``texts``: (node, text), one row a node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text_a"):
+        for part in slices(batches, "text_a", 1 << 20):
             n = part.num_rows
             sides = []
             for name in ("text_a", "text_b"):
@@ -213,7 +215,7 @@ def finished(edges: DataFrame) -> bool:
 
 
 def undecided(buckets: DataFrame) -> DataFrame:
-    """(key, node, label, n, first) of the buckets whose nodes have two labels or more."""
+    """(key, band, node, label, n, first) of the buckets whose nodes have two labels or more."""
     about = buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     return buckets.join(about.where(F.col("lo") != F.col("hi")).drop("lo", "hi"), "key")
 
@@ -222,17 +224,20 @@ def candidates(live: DataFrame, round_no: int) -> tuple[DataFrame, DataFrame]:
     """(a, b) to compare now, and the rows of ``live`` that are left for later rounds.
 
     Buckets of up to FULL_BUCKET nodes: all pairs of different labels. Larger ones: pivots, namely the smallest node and
-    the nodes whose hash falls into a share of (4^round - 1) / n, meet all nodes of other labels; then they are done with,
-    as every pair that they are part of is decided. A bucket whose nodes never join is thus compared in full in the end.
+    the nodes whose hash falls into a share of (4^(round - 1) - 1) / n, meet all nodes of other labels; then they are done
+    with, as every pair that they are part of is decided. A bucket whose nodes never join is thus compared in full in the
+    end. Round 0 leaves all but the first bands as they are.
     """
     small = F.col("n") <= FULL_BUCKET
     draw = (F.xxhash64(F.lit(round_no), "node") % (1 << 20) + (1 << 20)) / float(1 << 21)
-    pivot = small | (F.col("node") == F.col("first")) | (draw < (4.0**round_no - 1) / F.col("n"))
-    marked = live.withColumn("pivot", pivot)
+    pivot = small | (F.col("node") == F.col("first")) | (draw < (4.0 ** max(0, round_no - 1) - 1) / F.col("n"))
+    turn = F.col("band") < FIRST_BANDS if round_no == 0 else F.lit(True)
+    marked = live.withColumn("pivot", pivot & turn)
     left = marked.where("pivot").select("key", F.col("node").alias("a"), F.col("label").alias("label_a"))
-    met = left.join(marked.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("pivot").alias("pivot_b")), "key")
-    met = met.where((F.col("label_a") != F.col("label_b")) & (~F.col("pivot_b") | (F.col("a") < F.col("b"))))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), marked.where(~F.col("pivot")).select("key", "node", "label")
+    right = marked.where(turn).select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("pivot").alias("pivot_b"))
+    met = left.join(right, "key").where((F.col("label_a") != F.col("label_b")) & (~F.col("pivot_b") | (F.col("a") < F.col("b"))))
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs, marked.where(~F.col("pivot")).select("key", "band", "node", "label")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
@@ -248,7 +253,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     reps = stored(sketches.where(F.col("content").isNotNull()).groupBy("content").agg(F.min("doc_id").alias("node")), "contents")
     # One row a content has its smallest id; a repeated row has the same bands, so distinct keys leave one.
     own = sketches.join(reps.withColumnRenamed("content", "rep_content"), (F.col("content") == F.col("rep_content")) & (F.col("doc_id") == F.col("node")))
-    keys = own.select("node", F.explode("bands").alias("key")).distinct()
+    keys = own.select("node", F.posexplode("bands").alias("band", "key")).distinct()
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = stored(keys.join(shared, "key").withColumn("label", F.col("node")), "buckets")
     nodes = stored(buckets.select("node").distinct(), "nodes")
@@ -266,7 +271,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
         # Labels are minima after one step: finer than components, at worst, which only costs comparisons.
         edges = star_step(edges.unionByName(links))
         labels = edges.groupBy(F.col("u").alias("of")).agg(F.min("v").alias("new"))
-        buckets = rest.join(labels, F.col("node") == F.col("of"), "left").select("key", "node", F.coalesce("new", "node").alias("label"))
+        buckets = rest.join(labels, F.col("node") == F.col("of"), "left").select("key", "band", "node", F.coalesce("new", "node").alias("label"))
         round_no += 1
     while not finished(edges):
         edges = star_step(edges)
