@@ -47,6 +47,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_parts(spark: SparkSession, parts: Iterator[pa.Table], schema: str, label: str) -> DataFrame:
+    """Write tables that the driver makes one after the other, and read them as one; it holds one at a time."""
+    path = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    spark.createDataFrame([], schema).write.parquet(path)
+    for part in parts:
+        spark.createDataFrame(part, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of a slice hold about ``most_bytes``; a longer text is a slice of its own."""
     for batch in batches:

@@ -5,6 +5,7 @@ import itertools
 import random
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -15,7 +16,7 @@ from tempora.llm import bag_minhash, suffix_groups
 from tempora.llm.bag_minhash import near_duplicates, shingles, signatures
 from tempora.llm.byte_cnn import ByteNet, fit_language, identify_language, predict_language
 from tempora.llm.common import hashed_ranks
-from tempora.llm.pfair_mix import mix_sources, one_period, schedule, whole_shares
+from tempora.llm.pfair_mix import deal, mix_sources, one_period, schedule, whole_shares
 from tempora.llm.preference import format_pairs, neighbour_pairs
 from tempora.llm.suffix_groups import remove_repeats, suffix_array
 from tempora.llm.topk_histogram import top_k
@@ -211,6 +212,31 @@ def test_schedules_follow_the_weights_and_keep_all(spark):
     assert schedule(docs.limit(0)).count() == 0 and mix_sources(docs.limit(0)).count() == 0 and schedule(docs).count() == 1251
 
 
+def test_equal_sources_stay_within_a_block_of_their_target_weight(spark):
+    docs = spark.range(20 * 1200).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 20).alias("source"))
+    rows = schedule(docs, block_docs=4, period=1000).select("mix_slot", "source").distinct().collect()
+    order = [s for _, s in sorted((r["mix_slot"], r["source"]) for r in rows)]
+    assert len(order) == 20 * 300 and [r["mix_slot"] for r in sorted(rows)] == list(range(len(order)))  # several periods of 1024
+    seen = Counter()
+    for slot, source in enumerate(order, 1):
+        seen[source] += 1
+        assert all(abs(seen[f"s{k}"] - Fraction(slot, 20)) < 1 for k in range(20))
+
+
+def test_deals_of_any_weights_keep_the_bound_over_many_blocks():
+    rng = random.Random(4)
+    for case in range(15):
+        weights = {f"s{k}": rng.choice([1, 2, 40, 1e-5, rng.random() + 0.001, rng.randint(1, 9999) ** 0.5]) for k in range(rng.randint(1, 9))}
+        total, blocks = sum(map(Fraction, weights.values())), {s: rng.choice([0, 1, 300, 4000]) for s in weights}
+        last, seen = -1, Counter()
+        for source, block, slot in deal(weights, blocks):
+            share = Fraction(weights[source]) / total
+            assert slot > last and block == seen[source]
+            assert abs(block - slot * share) < 1 and abs(block + 1 - (slot + 1) * share) < 1, weights
+            last, seen[source] = slot, block + 1
+        assert seen == Counter({s: n for s, n in blocks.items() if n})
+
+
 def test_ranks_number_each_key_once(spark):
     table = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"))
     ranks = hashed_ranks(table, "k", ["id"], 5000, "r").groupBy("k").agg(F.count("*").alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi"), F.count_distinct("r").alias("d"))
