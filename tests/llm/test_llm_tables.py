@@ -297,6 +297,23 @@ def test_pipeline_stages_do_what_they_say(spark):
         assert stage(spark, empty, "").count() == 0, name
 
 
+def test_the_pipeline_returns_the_order_of_the_mix(spark, tmp_path, monkeypatch):
+    rng = random.Random(33)
+    texts = [" ".join(f"q{rng.randrange(10**6)}" for _ in range(10 if i < 200 else 400)) for i in range(300)]
+    rows = [(i, t, "xx", "a" if i < 200 else f"s{i % 3}", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [x for x in corpus_pipeline.STAGES if x[0] in ("mix", "encode")])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files of different sizes
+    try:
+        got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    turns = {r["doc_id"]: (r["mix_slot"], r["mix_place"]) for r in schedule(docs).collect()}
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["mix_place"])] == sorted(turns, key=turns.get)
+    assert len({r["mix_place"] >> 43 for r in got}) > 1
+
+
 def test_windows_have_one_anchor_each():
     rng = random.Random(8)
     small = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 60))) for _ in range(40)]
