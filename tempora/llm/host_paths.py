@@ -45,6 +45,10 @@ NOISE = frozenset(
 )
 #: Words that mark the article; they double a container's score.
 SIGNAL = frozenset("article articlebody body content entry main post story text".split())
+#: A container with a NOISE word is article text all the same if it holds this share of the page's text, with a SIGNAL word
+#: or without one; its text then counts for so much in the score.
+SHARE_NAMED, SHARE_UNNAMED, SUSPECT_SCORE = 0.5, 0.9, 0.25
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+))")
@@ -53,9 +57,13 @@ SPACE = re.compile(r"\s+")
 
 
 class Element:
-    """An open or closed element: its generalised path, and whether it is article text at all."""
+    """An open or closed element: its generalised path, whether it is article text at all, and the suspects it lies in.
 
-    __slots__ = ("tag", "path", "noise", "link", "words", "parent", "score")
+    A suspect is a block-level element named by a NOISE word; the page as a whole tells whether it is noise. A name with a
+    part that has a SIGNAL and no NOISE word, and without a part of NOISE words alone ("content has-sidebar"), is no suspect.
+    """
+
+    __slots__ = ("tag", "path", "noise", "link", "words", "parent", "score", "suspects")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         words = named = ""
@@ -68,13 +76,34 @@ class Element:
             hidden = bool(attributes) and "hidden" in attributes.lower().split()
         self.tag, self.parent, self.score = tag, parent, 0.0
         self.words = set(WORD.findall(words)) if words else frozenset()
-        self.noise = bool(parent and parent.noise) or tag in DROPPED or hidden or (tag not in ("body", "html") and not self.words.isdisjoint(NOISE))
+        suspect = tag not in ("body", "html") and not self.words.isdisjoint(NOISE)
+        if suspect and not self.words.isdisjoint(SIGNAL):
+            parts = [set(WORD.findall(part)) for part in words.split()]
+            suspect = not any(not part.isdisjoint(SIGNAL) and part.isdisjoint(NOISE) for part in parts) or any(part and part <= NOISE for part in parts)
+        self.noise = bool(parent and parent.noise) or tag in DROPPED or hidden or (suspect and tag in INLINE)
+        self.suspects = (parent.suspects if parent else ()) + ((self,) if suspect else ())
         self.link = tag == "a" or bool(parent and parent.link)
         # Numbers in classes become 0, so that post-17 and post-18 are one path.
         classes = ".".join(sorted(re.sub(r"[0-9]+", "0", c) for c in named.split()))
         self.path = f"{parent.path if parent else ''}>{tag}" + (f".{classes}" if classes else "")
 
 
+def without_noise(blocks: list[tuple[Element, str]]) -> list[tuple[Element, str]]:
+    """The blocks that lie in no suspect but such as hold most of the page's text; without a SIGNAL word, prose as well."""
+    held: dict[Element, int] = {}
+    prose: set[Element] = set()
+    for element, text in blocks:
+        for e in element.suspects:
+            held[e] = held.get(e, 0) + len(text)
+            if element.tag in PROSE:
+                prose.add(e)
+    if not held:
+        return blocks
+    total = sum(len(text) for _, text in blocks)
+    kept = {e for e, n in held.items() if n >= SHARE_NAMED * total and not e.words.isdisjoint(SIGNAL) or n >= SHARE_UNNAMED * total and e in prose}
+    return [(e, text) for e, text in blocks if kept.issuperset(e.suspects)]
+
+
 def parse(page: str) -> list[tuple[Element, str]]:
     """(innermost container, text) of each block of text that is not noise, in page order.
 
@@ -152,19 +181,19 @@ def parse(page: str) -> list[tuple[Element, str]]:
             continue
         stack.append(element)
     flush()
-    return blocks
+    return without_noise(blocks)
 
 
 def score(blocks: list[tuple[Element, str]]) -> dict[str, float]:
     """Scores by container path: a block counts fully for its own container, half for the next outer one, and so on.
 
-    Text inside links does not count. Article-like names count double.
+    Text inside links does not count. Article-like names count double; text in a suspect counts for less.
     """
     total: dict[str, float] = {}
     for element, text in blocks:
         if element.link:
             continue
-        share, e = float(len(text)), element
+        share, e = len(text) * (SUSPECT_SCORE if element.suspects else 1.0), element
         while e is not None:
             if e.tag in CONTAINERS:
                 liked = e.tag in ("article", "main") or not e.words.isdisjoint(SIGNAL)

@@ -86,6 +86,15 @@ def test_a_page_without_its_frame():
     assert [t for _, t in parse("a < b & c &amp; &#233;&eacute;")] == ["a < b & c & éé"]
 
 
+def test_noise_words_in_the_name_of_the_article_do_not_empty_the_page(spark):
+    long = "<h1>T</h1><p>" + "text " * 30 + "</p>"
+    named = ["<div class='content has-sidebar'>", "<article class='post social-enabled'>", "<div class='elementor-widget-theme-post-content'>", "<div class='layout-with-sidebar'>"]
+    side = "<div class='sidebar'><p>side</p></div><div class='post-comments'><p>bad comment</p></div>"
+    rows = [(i, f"http://h{i}.example/x", f"<body><nav>menu</nav>{open_tag}{long}{side}</body>") for i, open_tag in enumerate(named)]
+    got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 4 and all(r["text"] == "T\n" + ("text " * 30).strip() for r in got), got
+
+
 def test_hosts_elect_a_path_and_pages_without_it_fall_back(spark):
     page = lambda inner: f"<body><nav>menu</nav>{inner}<footer>f</footer></body>"
     long = "<p>" + "text " * 30 + "</p>"
