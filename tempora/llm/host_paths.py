@@ -2,8 +2,9 @@
 
 First pass: every page is parsed, its containers are scored by the text they hold near them, and each container is
 named by its generalised path of tags and classes. Spark sums the scores per host and path and each host elects a path.
-Second pass: every page is parsed again and the text is taken from the container at its host's path; a page that lacks
-it falls back to its own best container.
+Second pass: every page is parsed again and the text is taken from the article around the container at its host's path. A
+page that lacks it falls back to its own best container, as does one of another template: its own best container is the
+best one of several pages of the host, and holds much more text than the elected one.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tempora.llm.common import ship, slices, stored
 
@@ -48,6 +49,8 @@ SIGNAL = frozenset("article articlebody body content entry main post story text"
 #: A container with a NOISE word is article text all the same if it holds this share of the page's text, with a SIGNAL word
 #: or without one; its text then counts for so much in the score.
 SHARE_NAMED, SHARE_UNNAMED, SUSPECT_SCORE = 0.5, 0.9, 0.25
+#: Further templates of a host: paths that are the best of so many of its pages at least; so many paths at most, by pages.
+TEMPLATE_PAGES, TEMPLATES = 2, 64
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
@@ -63,7 +66,7 @@ class Element:
     part that has a SIGNAL and no NOISE word, and without a part of NOISE words alone ("content has-sidebar"), is no suspect.
     """
 
-    __slots__ = ("tag", "path", "noise", "link", "words", "parent", "score", "suspects")
+    __slots__ = ("tag", "path", "noise", "link", "words", "parent", "score", "suspects", "heard", "linked")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         words = named = ""
@@ -75,6 +78,7 @@ class Element:
         else:
             hidden = bool(attributes) and "hidden" in attributes.lower().split()
         self.tag, self.parent, self.score = tag, parent, 0.0
+        self.heard = self.linked = 0  # characters of its blocks, and those inside links
         self.words = set(WORD.findall(words)) if words else frozenset()
         suspect = tag not in ("body", "html") and not self.words.isdisjoint(NOISE)
         if suspect and not self.words.isdisjoint(SIGNAL):
@@ -133,6 +137,8 @@ def parse(page: str) -> list[tuple[Element, str]]:
             while owner.tag in INLINE and owner.parent:
                 owner = owner.parent
         pieces.append(text)
+        owner.heard += len(text)
+        owner.linked += len(text) if top.link else 0
 
     end, n = 0, len(page)
     while at < n:
@@ -210,24 +216,92 @@ def text_at(blocks: list[tuple[Element, str]], path: str) -> tuple[str, bool]:
     return "\n".join(found), bool(found)
 
 
+def nearest(element: Element) -> Element:
+    """The innermost container (or the root) that an element lies in or is."""
+    while element.tag not in CONTAINERS and element.parent:
+        element = element.parent
+    return element
+
+
+def article_at(blocks: list[tuple[Element, str]], path: str) -> tuple[str, bool]:
+    """The blocks at the path, and what else belongs to their article, in page order; whether the path had text.
+
+    Outside the containers at the path, all that is not mostly links belongs to it inside an ``article`` around them, or
+    inside a ``main`` around them that holds no other article. Of the other containers around them, up to the body,
+    only their own prose does: text that lies in no further container.
+    """
+    inside = path + ">"
+    picked = [e.path == path or e.path.startswith(inside) for e, _ in blocks]
+    if not any(picked):
+        return "", False
+    whole: set[Element] = set()
+    around: set[Element] = set()
+    articles = {}  # of each main: the outermost articles in it
+    for (e, _), chosen in zip(blocks, picked):
+        outermost = None
+        while e is not None:
+            if e.tag == "article":
+                outermost = e
+            elif e.tag == "main" and outermost:
+                articles.setdefault(e, set()).add(outermost)
+            if chosen and (e.path == path or path.startswith(e.path + ">")) and e.tag in CONTAINERS:
+                around.add(e)
+            e = e.parent
+    for e in around:
+        if e.tag == "article" or e.tag == "main" and len(articles.get(e, ())) < 2:
+            whole.add(e)
+
+    def belongs(e: Element) -> bool:
+        if 2 * e.linked > e.heard:
+            return False
+        if e.tag in PROSE and nearest(e) in around:
+            return True
+        up: Element | None = e
+        while up is not None:
+            if up in whole:
+                return True
+            up = up.parent
+        return False
+
+    return "\n".join(t for (e, t), chosen in zip(blocks, picked) if chosen or belongs(e)), True
+
+
+def own_best(blocks: list[tuple[Element, str]]) -> str | None:
+    """The path with the highest score on this page; ties to the smaller path."""
+    own = score(blocks)
+    return min(own, key=lambda p: (-own[p], p)) if own else None
+
+
 def host_of(url: str | None) -> str:
     rest = url.partition("://")[2] if url else ""
     return re.split(r"[/?#]", rest, maxsplit=1)[0].lower()
 
 
 def elect_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): per host the container path with the highest score over all its pages; ties to the smaller path."""
+    """(host, path, templates): per host the container path with the highest score over all its pages; ties to the smaller.
+
+    ``templates``: the paths that are the best of TEMPLATE_PAGES of its pages or more, TEMPLATES at most, or null.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "__html"):
             votes: dict[tuple[str, str], list] = {}
             for url, page in zip(part.column("__url").to_pylist(), part.column("__html").to_pylist()):
-                for path, points in score(parse(page or "")).items():
-                    votes.setdefault((host_of(url), path), [0.0])[0] += points
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in votes], pa.string()), pa.array([k[1] for k in votes], pa.string()), pa.array([v[0] for v in votes.values()], pa.float64())], ["host", "path", "points"])
-
-    votes = pages.mapInArrow(run, "host string, path string, points double").groupBy("host", "path").agg(F.sum("points").alias("points"))
-    return votes.groupBy("host").agg(F.min_by("path", F.struct(-F.col("points"), F.col("path"))).alias("path"))
+                own, host = score(parse(page or "")), host_of(url)
+                for path, points in own.items():
+                    votes.setdefault((host, path), [0.0, 0])[0] += points
+                if own:
+                    votes[host, min(own, key=lambda p: (-own[p], p))][1] += 1
+            columns = [[k[0] for k in votes], [k[1] for k in votes], [v[0] for v in votes.values()], [v[1] for v in votes.values()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64(), pa.int64()))], ["host", "path", "points", "pages"])
+
+    votes = pages.mapInArrow(run, "host string, path string, points double, pages long").groupBy("host", "path").agg(F.sum("points").alias("points"), F.sum("pages").alias("pages"))
+    votes = stored(votes, "host-votes")
+    elected = votes.groupBy("host").agg(F.min_by("path", F.struct(-F.col("points"), F.col("path"))).alias("path"))
+    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("pages"), "path"))
+    several = votes.where(F.col("pages") >= TEMPLATE_PAGES).withColumn("__rank", rank).where(F.col("__rank") <= TEMPLATES)
+    templates = several.groupBy(F.col("host").alias("__t")).agg(F.sort_array(F.collect_list("path")).alias("templates"))
+    return elected.join(templates, F.col("host") == F.col("__t"), "left").select("host", "path", F.when(F.size("templates") > 1, F.col("templates")).alias("templates"))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -241,18 +315,21 @@ def extract_text(pages: DataFrame) -> DataFrame:
     picked = pages.select(F.col("page_id"), F.col("url").alias("__url"), F.col("html").alias("__html"))
     elected = stored(elect_paths(picked), "host-paths")
     host = F.coalesce(F.lower(F.regexp_extract("__url", r"^(?s:.*?)://([^/?#]*)", 1)), F.lit(""))
-    joined = picked.withColumn("__host", host).join(elected.select(F.col("host").alias("__h"), F.col("path").alias("__path")), F.col("__host") == F.col("__h"), "left").drop("__h")
+    joined = picked.withColumn("__host", host).join(elected.select(F.col("host").alias("__h"), F.col("path").alias("__path"), F.col("templates").alias("__templates")), F.col("__host") == F.col("__h"), "left").drop("__h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "__html"):
             texts, paths = [], []
-            for page, path in zip(part.column("__html").to_pylist(), part.column("__path").to_pylist()):
+            for page, path, templates in zip(*(part.column(c).to_pylist() for c in ("__html", "__path", "__templates"))):
                 blocks = parse(page or "")
-                text, found = text_at(blocks, path) if path else ("", False)
-                if not found:
-                    own = score(blocks)
-                    path = min(own, key=lambda p: (-own[p], p)) if own else None
-                    text = text_at(blocks, path)[0] if path else "\n".join(t for _, t in blocks)
+                text, found = article_at(blocks, path) if path else ("", False)
+                if not found or templates:
+                    own = own_best(blocks)
+                    if not found:
+                        path = own
+                        text = article_at(blocks, path)[0] if path else "\n".join(t for _, t in blocks)
+                    elif own != path and own in templates and 2 * len(text) < len(other := article_at(blocks, own)[0]):
+                        text, path = other, own
                 texts.append(text)
                 paths.append(path)
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("__url"), part.column("__host"), pa.array(paths, pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "host", "path", "text"])

@@ -110,6 +110,19 @@ def test_hosts_elect_a_path_and_pages_without_it_fall_back(spark):
     assert extract_text(pages).count() == len(rows) and extract_text(pages.limit(0)).count() == 0
 
 
+def test_the_whole_article_around_the_elected_container_is_kept(spark):
+    long, links = "<p>" + "text " * 60 + "</p>", "<ul><li><a href=/a>other page</a></ul>"
+    body = lambda inner: f"<body><nav>menu</nav>{inner}<footer>f</footer></body>"
+    rows = [(i, "http://a.example/x", body(f"<article><h1>T{i}</h1><p>Lead.</p><div class=content>{long}</div>{links}</article>")) for i in range(6)]
+    rows += [(10 + i, "http://a.example/y", body(f"<article><h1>S{i}</h1><div class=content><p>short</p></div></article><section class=story><h1>U</h1>{long}</section>")) for i in range(3)]
+    rows += [(20, "http://b.example/", body(f"<main><h1>M</h1><div class=content>{long}</div></main>")), (21, "http://c.example/", body(f"<div class=page><h1>D</h1><div class=aside2>left</div><div class=content>{long}</div></div>"))]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = ("text " * 60).strip()
+    assert all(got[i] == f"T{i}\nLead.\n{text}" for i in range(6)), got[0]
+    assert all(got[10 + i] == f"U\n{text}" for i in range(3)), got[10]
+    assert got[20] == f"M\n{text}" and got[21] == f"D\n{text}"
+
+
 def test_given_rules_and_url_parts(spark):
     urls = [
         ("http://Blog.Example.NET/en/1?q#f", "blog.example.net", "/en/1", "example.net/en/", "allow"),
