@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tempora.llm.common import ship, slices
 
@@ -126,30 +126,45 @@ class ByteNet:
         return out
 
 
+def labelled(docs: DataFrame) -> DataFrame:
+    """(__id, __text, __lang, __held, __hash of id and text) of the documents with a text and a language."""
+    return docs.select(
+        F.col("doc_id").alias("__id"), F.col("text").alias("__text"), F.col("lang").alias("__lang"), held_out("doc_id").alias("__held"), F.xxhash64("doc_id", "text").alias("__hash")
+    ).where(F.col("__lang").isNotNull() & F.col("__text").isNotNull())
+
+
+def sample_share(usable: DataFrame, sample_docs: int) -> Column | None:
+    """Condition that holds for about a fifth more than ``sample_docs`` different documents of each language; None if there are none."""
+    counts = {r["__lang"]: r["n"] for r in usable.groupBy("__lang").agg(F.approx_count_distinct("__hash").alias("n")).collect()}  # one row a class
+    if not counts:
+        return None
+    share = F.coalesce(*[F.when(F.col("__lang") == k, F.lit(min(1.0, 1.2 * sample_docs / n))) for k, n in sorted(counts.items())])
+    return (F.shiftright("__hash", 33) + F.lit(1 << 30)) / F.lit(float(1 << 31)) < share  # the smallest hashes
+
+
 def fit_language(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS, epochs: int = 4) -> ByteNet | None:
     """Train on a sample of the labelled documents that are not held out; None if there are none.
 
-    At most about ``sample_docs`` documents of each language, picked by a hash of the id, and ``sample_windows`` windows of
-    each, evenly spaced over the text: a bounded sample, cut to windows before it reaches the driver. Texts without a
-    letter and null languages are not learned from. Repeated rows count as often as they occur.
+    ``sample_docs`` documents of each language at most, those with the smallest hashes of id and text, and ``sample_windows``
+    windows of each, evenly spaced over the text: a bounded sample, cut to windows before it reaches the driver. Texts without
+    a letter and null languages are not learned from. Rows that repeat id and text count once.
     """
-    usable = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"), F.col("lang").alias("__lang")).where(
-        F.col("__lang").isNotNull() & F.col("__text").isNotNull() & ~held_out("__id")
-    )
-    counts = {r["__lang"]: r["n"] for r in usable.groupBy("__lang").agg(F.count("*").alias("n")).collect()}  # one row a class
-    if not counts:
+    usable = labelled(docs).where(~F.col("__held"))
+    share = sample_share(usable, sample_docs)
+    if share is None:
         return None
-    share = F.coalesce(*[F.when(F.col("__lang") == k, F.lit(min(1.0, sample_docs / n))) for k, n in sorted(counts.items())])
-    place = F.xxhash64("__id").bitwiseAND((1 << 30) - 1) / F.lit(float(1 << 30))
     size = F.octet_length("__text")
-    picked = usable.where((place < share) & F.col("__text").rlike(r"\p{L}"))
-    piece = F.explode(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(sample_windows - 1)),
-            lambda k: F.substring(F.col("__raw"), (k * F.greatest(F.lit(0), size - WINDOW) / max(1, sample_windows - 1)).cast("int") + 1, F.lit(WINDOW)),
-        )
+    picked = usable.where(share & F.col("__text").rlike(r"\p{L}"))
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.lit(sample_windows - 1)),
+        lambda k: F.substring(F.col("__raw"), (k * F.greatest(F.lit(0), size - WINDOW) / max(1, sample_windows - 1)).cast("int") + 1, F.lit(WINDOW)),
     )
-    rows = picked.withColumn("__raw", F.col("__text").cast("binary")).select("__id", "__lang", piece.alias("__piece")).collect()
+    cut = picked.withColumn("__raw", F.col("__text").cast("binary")).select("__id", "__lang", "__hash", pieces.alias("__pieces"))
+    # Combined map-side: what repeats an id and a text is one row; the others are about the bound already.
+    once = cut.groupBy("__lang", "__hash").agg(F.min(F.struct("__id", "__pieces")).alias("__row"))
+    rank = F.row_number().over(Window.partitionBy("__lang").orderBy("__hash"))
+    bounded = once.withColumn("__rank", rank).where(F.col("__rank") <= sample_docs)
+    rows = bounded.select(F.col("__row.__id").alias("__id"), "__lang", F.explode("__row.__pieces").alias("__piece")).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["__lang"], r["__id"] is None, r["__id"], bytes(r["__piece"])))

@@ -174,6 +174,14 @@ def test_language_of_held_out_texts(spark):
     assert identify_language(docs.limit(0)).count() == 0
 
 
+def test_training_sample_is_bounded_for_null_and_repeated_ids(spark, monkeypatch):
+    rows = [(None, f"some text {i}", "aa", None, None) for i in range(900)] + [(3, f"other text {i}", "bb", None, None) for i in range(900)] + [(4, "same text", "bb", None, None)] * 300
+    docs, seen = spark.createDataFrame(rows, DOCS), []
+    monkeypatch.setattr(ByteNet, "train", lambda self, x, y, epochs=4: seen.append(Counter(y.tolist())))
+    fit_language(docs, sample_docs=50, sample_windows=1)
+    assert len(seen) == 1 and all(40 <= n <= 50 for n in seen[0].values()) and len(seen[0]) == 2
+
+
 def test_periods_keep_every_source_within_a_block():
     rng = random.Random(2)
     for case in range(30):
