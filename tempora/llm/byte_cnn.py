@@ -25,6 +25,8 @@ SAMPLE_WINDOWS = 2
 #: Training steps of 64 windows at least; a small sample is gone through more often.
 LEAST_STEPS = 800
 NO_LANGUAGE = "und"
+#: Share of the right predictions on held-out texts that ``least_score`` leaves below it.
+REJECTED_RIGHT = 0.01
 
 
 def held_out(doc_id: str) -> Column:
@@ -175,6 +177,20 @@ def fit_language(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows
     return net
 
 
+def least_score(docs: DataFrame, net: ByteNet | None, sample_docs: int = SAMPLE_DOCS, rejected: float = REJECTED_RIGHT) -> float:
+    """The score that all but a share ``rejected`` of the right predictions on held-out documents reach; 0 without any.
+
+    Read from about ``sample_docs`` different documents of each language, whole texts; repeated rows count as often as they occur.
+    """
+    held = labelled(docs).where(F.col("__held"))
+    share = sample_share(held, sample_docs) if net is not None else None
+    if share is None:
+        return 0.0
+    told = with_language(held.where(share).select("__lang", F.col("__text").alias("text")), net)
+    low = told.where(F.col("__lang") == F.col("__lang_pred")).agg(F.percentile("__lang_score", rejected)).first()[0]
+    return max(0.0, low - 1e-9) if low is not None else 0.0
+
+
 def predict_language(docs: DataFrame, net: ByteNet | None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): every whole text, no shuffle.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tempora.llm import bag_minhash, suffix_groups
 from tempora.llm.bag_minhash import near_duplicates, shingles, signatures
-from tempora.llm.byte_cnn import ByteNet, fit_language, identify_language, predict_language
+from tempora.llm.byte_cnn import ByteNet, fit_language, identify_language, least_score, predict_language
 from tempora.llm.common import hashed_ranks
 from tempora.llm.pfair_mix import deal, mix_sources, one_period, schedule, whole_shares
 from tempora.llm.preference import format_pairs, neighbour_pairs
@@ -174,6 +174,19 @@ def test_language_of_held_out_texts(spark):
     assert identify_language(docs.limit(0)).count() == 0
 
 
+def test_texts_of_no_learned_language_are_rejected(spark):
+    rng = random.Random(6)
+    words = {"aa": "lorem ipsum dolor sit amet".split(), "bb": "zwei drei vier fünf sechs".split()}
+    rows = [(i, " ".join(rng.choice(words[k]) for _ in range(30)), k, None, None) for i in range(300) for k in [("aa", "bb")[i % 2]]]
+    mixed = [(2000 + i, " ".join(rng.choice(words["aa" if j % 2 else "bb"]) for j in range(40)), None, None, None) for i in range(5)]
+    odd = [(1000, "日本語の文章です。今日は天気がいい。" * 20, None, None, None), (1001, "qzxj vkpw xqjk " * 40, None, None, None), *mixed]
+    docs = spark.createDataFrame(rows + odd, DOCS)
+    least = least_score(docs, fit_language(docs))
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()}
+    assert least > 0.75 and len(kept & set(range(300))) >= 290 and not kept & {r[0] for r in odd}, (least, kept & {r[0] for r in odd})
+    assert least_score(docs.where("lang IS NULL"), None) == 0.0
+
+
 def test_training_sample_is_bounded_for_null_and_repeated_ids(spark, monkeypatch):
     rows = [(None, f"some text {i}", "aa", None, None) for i in range(900)] + [(3, f"other text {i}", "bb", None, None) for i in range(900)] + [(4, "same text", "bb", None, None)] * 300
     docs, seen = spark.createDataFrame(rows, DOCS), []
