@@ -13,7 +13,7 @@ from tempora.llm.quality_hosts import quality_rules
 from tempora.llm.segment_bpe import encode_decode
 from tempora.llm.suffix_groups import remove_repeats
 from tempora.llm.topk_histogram import top_k
-from tempora.llm.url_rules import judge_urls
+from tempora.llm.url_rules import LEAST_BAD, STANDARD_ERRORS, judge_urls
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -37,7 +37,7 @@ def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_url_filters(spark: SparkSession, sf: str) -> DataFrame:
-    judged = judge_urls(table(spark, sf, "pages"), table(spark, sf, "labels"))
+    judged = judge_urls(table(spark, sf, "pages"), table(spark, sf, "labels"), least_bad=LEAST_BAD, standard_errors=STANDARD_ERRORS)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -1,7 +1,7 @@
 """URL filter: given host and path rules, and association rules mined from labelled URLs with FP-growth.
 
 A URL is a set of tokens. The URLs of labelled pages, with an item for a bad label, are mined for token sets that
-predict it; rules with enough support and confidence are kept. Each rule is filed under its rarest token, so a page meets
+predict it; rules with enough support and confidence, and better than chance, are kept. Each rule is filed under its rarest token, so a page meets
 only the rules filed under one of its own tokens, and is blocked by a rule whose tokens it all holds.
 """
 
@@ -15,6 +15,9 @@ from tempora.llm.common import stored
 BAD = "=bad"
 #: Share of the labelled pages that hold a rule's tokens and the bad label; share of bad ones among those with its tokens.
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.5
+#: Of the registered query, whatever the size of the table: bad pages that a rule needs, and how many standard errors its
+#: confidence has to lie above the share of bad pages. The latter is high because thousands of token sets are tried.
+LEAST_BAD, STANDARD_ERRORS = 10, 4.0
 #: (verdict, rule): the host up to the first slash, then the start of the path.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -44,12 +47,13 @@ def given_rule(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, least_bad: int = 1, standard_errors: float = 0.0) -> DataFrame:
     """(antecedent array<string>, confidence, support) of the token sets that predict a bad label.
 
     A page is bad if a label of its id says quality 0 or toxic 1. Labels with a null id, or null in both columns, are left
-    out; several labels of one page count once. Without any labelled page, or any bad one, there are no rules. Support and
-    confidence are the only pruning; a rule is dropped as redundant only if another rule's tokens are part of its own.
+    out; several labels of one page count once. Without any labelled page, or any bad one, there are no rules. Besides support
+    and confidence a rule needs ``least_bad`` bad pages, and a confidence whose Wilson lower bound at ``standard_errors`` is
+    above the share of bad pages.
     """
     bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
     known = labels.where(F.col("doc_id").isNotNull() & (F.col("quality").isNotNull() | F.col("toxic").isNotNull()))
@@ -64,6 +68,12 @@ def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUP
     rules = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD)).select(
         F.array_sort("antecedent").alias("antecedent"), "confidence", "support"
     )
+    if least_bad > 1 or standard_errors > 0:
+        total, share = baskets.agg(F.count("*"), F.avg(F.array_contains("items", BAD).cast("int"))).first()
+        hits, c, z = F.round(F.col("support") * total), F.col("confidence"), standard_errors
+        n = hits / c
+        low = (c + z * z / (2 * n) - z * F.sqrt(c * (1 - c) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        rules = rules.where((hits >= least_bad) & (low > share))
     return stored(rules, "url-rules")
 
 
@@ -77,13 +87,13 @@ def index_rules(rules: DataFrame, pages: DataFrame) -> DataFrame:
     return filed.select("token", "antecedent")
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, least_bad: int = 1, standard_errors: float = 0.0) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, and ``mined`` (a mined rule blocks the URL).
 
     A given rule decides; else a mined rule blocks; else the URL is allowed. Null, empty or malformed URLs have an empty
     host and path, fit no rule, and are allowed. Repeated rows are judged each. Other columns are not read.
     """
-    mined = mine_rules(pages, labels, min_support, min_confidence)
+    mined = mine_rules(pages, labels, min_support, min_confidence, least_bad, standard_errors)
     index = stored(index_rules(mined, pages), "url-rule-index")
     # Same URL, same verdict: URLs are matched once each, and only those that meet a rule come back.
     tokens = pages.where(F.col("url").isNotNull()).select(F.col("url").alias("__url")).distinct().withColumn("__tokens", url_tokens(F.col("__url")))

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tempora.llm import queries
 from tempora.llm.host_paths import extract_text, parse, score, text_at
 from tempora.llm.quality_hosts import judge_hosts, quality_rules
 from tempora.llm.queries import vocabulary_path
@@ -169,6 +170,19 @@ def test_mined_rules_match_all_token_sets(spark):
     assert verdict == {i: any(tokens[i] >= set(x) for x in got) for i, _ in rows}
 
 
+def test_rules_of_chance_block_nothing(spark, monkeypatch):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abc") for _ in range(3))
+    rows = [(i, f"https://{'casino' if i % 10 == 0 else word()}.{word()}.org/{word()}/{word()}") for i in range(1000)]
+    labels = [(i, 0 if i % 10 == 0 or rng.random() < 0.2 else 1, None) for i, _ in rows if i % 2 == 0]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    tables = {"pages": pages, "labels": labels}
+    monkeypatch.setattr(queries, "table", lambda _, __, name: tables[name])
+    got = queries.op4_url_filters(spark, "").where("rule IS NULL").collect()
+    assert len(got) == 1000 and {r["page_id"] for r in got if r["verdict"] == "block"} == {i for i, _ in rows if i % 10 == 0}
+
+
 @pytest.fixture(scope="module")
 def library():
     tokenizers = pytest.importorskip("tokenizers")
