@@ -724,7 +724,7 @@ def gbt_default(spark: SparkSession, sf: str) -> DataFrame:
 def gbt_custom(spark: SparkSession, sf: str) -> DataFrame:
     labelled = _labelled(spark, sf)
     train, features = _train_features(labelled)
-    model = fit_boosted(train, features, TARGET, n_estimators=20, learning_rate=0.2, max_depth=4)
+    model = fit_boosted(train, features, TARGET)
     return _stated(predict(model, split_part(labelled, "validation"), [TS], TARGET), train, 1.0)
 
 

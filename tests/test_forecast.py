@@ -95,3 +95,21 @@ def test_registered_query_on_the_smallest_tables(spark):
     board = entry_module.queries()["evaluate_models"](spark, "/root/testdata/sf0.001")
     assert {r["model"] for r in board.collect()} == {"previous_interval", "previous_day", "previous_week"}
     assert board.filter(F.col("MAE") < 0).isEmpty()
+
+
+def test_the_registered_custom_boosting_has_the_operators_size(spark, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+
+    from tempora import queries
+    from tempora.models import trees
+
+    fitted = []
+    monkeypatch.setattr(queries, "_labelled", lambda *_: None)
+    monkeypatch.setattr(queries, "_train_features", lambda _: (None, ["x"]))
+    monkeypatch.setattr(trees, "check_fit_input", lambda *_: None)
+    monkeypatch.setattr(trees, "fit", lambda estimator, *_: fitted.append(estimator))
+    for name in ("predict", "split_part", "_stated"):
+        monkeypatch.setattr(queries, name, lambda *_: None)
+    queries.gbt_custom(None, "")
+    (e,) = fitted
+    assert isinstance(e, GBTRegressor) and (e.getMaxIter(), e.getStepSize(), e.getMaxDepth()) == (500, 0.05, 6)
