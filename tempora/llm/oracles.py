@@ -50,4 +50,45 @@ SELECT pair_id, CASE WHEN place < n_prompt THEN 'prompt' ELSE side END AS sectio
 FROM p JOIN n USING (pair_id) WHERE place >= n_prompt OR side = 'chosen'
 """
 
-ORACLES = {"op10_preference": OP10, "op1_quality_rules": OP1, "op5_exact_topk": OP5}
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+h AS (SELECT r, i, n, win FROM dw WHERE EXISTS (SELECT 1 FROM bw WHERE bw.n = dw.n AND bw.win = dw.win)),
+c AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM h, range(0, 10) AS s(k) WHERE k < n GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM h JOIN bw USING (n, win) WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
+"""
+
+# crc32 as lists: the byte table from its polynomial, then a fold over the bytes of each text.
+OP13 = r"""
+WITH RECURSIVE k AS (SELECT list(list_reduce(list_prepend(CAST(x AS BIGINT), range(0, 8)),
+              lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY x) AS t FROM range(0, 256) AS g(x)),
+o AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents) GROUP BY 1, 2),
+x AS (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hx FROM o),
+b AS (SELECT run, n, list_transform(range(0, len(hx) // 2), lambda i: CAST(16 * (strpos('0123456789ABCDEF', hx[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', hx[2 * i + 2]) - 1 AS BIGINT)) AS bytes FROM x),
+h AS (SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+              lambda c, y: xor(c // 256, list_extract(t, CAST(xor(c % 256, y) AS BIGINT) + 1))), 4294967295) AS h FROM b, k),
+v AS (SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n FROM h GROUP BY 1),
+w AS (SELECT word, n FROM v WHERE length(word) >= 7 AND n >= 2),
+l AS (SELECT word, n, p, word[1:p - 1] || word[p + 1:] AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM w)),
+e AS (SELECT a.word, b.word AS near, b.n AS near_n FROM l a JOIN l b ON a.less = b.less AND a.p = b.p AND a.word <> b.word
+      UNION SELECT l.word, w.word, w.n FROM l JOIN w ON l.less = w.word
+      UNION SELECT w.word, l.word, l.n FROM l JOIN w ON l.less = w.word),
+g AS (SELECT word, count(*) AS n_near, max(near_n) AS near_n FROM e GROUP BY word),
+m AS (SELECT g.word, n_near, g.near_n, min(near) AS near FROM g JOIN e ON g.word = e.word AND g.near_n = e.near_n GROUP BY ALL),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m.near_n >= 10 * w.n THEN near END AS form, CASE WHEN m.near_n >= 10 * w.n THEN m.near_n END AS form_n
+      FROM w LEFT JOIN m USING (word)),
+s(word, root) AS (SELECT word, word FROM f UNION ALL SELECT s.word, f.form FROM s JOIN f ON s.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n FROM f JOIN s ON f.word = s.word JOIN f AS z ON s.root = z.word AND z.form IS NULL
+"""
+
+ORACLES = {"op10_preference": OP10, "op12_decontamination": OP12, "op13_spelling": OP13, "op1_quality_rules": OP1, "op5_exact_topk": OP5}

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tempora.llm.bag_minhash import near_duplicates
 from tempora.llm.byte_cnn import identify_language
+from tempora.llm.common import stored
 from tempora.llm.host_paths import extract_text
 from tempora.llm.pfair_mix import schedule
 from tempora.llm.preference import format_pairs, neighbour_pairs
 from tempora.llm.quality_hosts import quality_rules
 from tempora.llm.segment_bpe import encode_decode
+from tempora.llm.spelling_bits import spelling_groups
 from tempora.llm.suffix_groups import remove_repeats
+from tempora.llm.token_alignment import align_texts, vocabulary_size, with_pair_counts
 from tempora.llm.topk_histogram import top_k
+from tempora.llm.training_suffixes import is_clean, with_matches
 from tempora.llm.url_rules import LEAST_BAD, STANDARD_ERRORS, judge_urls
 
 
@@ -56,10 +60,10 @@ def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,6 +89,29 @@ def op10_preference(spark: SparkSession, sf: str) -> DataFrame:
     return format_pairs(turns, neighbour_pairs(turns))
 
 
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    byte_vocabulary = vocabulary_path("byte_bpe_50k.json")
+    aligned = align_texts(table(spark, sf, "documents"), byte_vocabulary, vocabulary_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return with_pair_counts(stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned"), vocabulary_size(byte_vocabulary))
+
+
+def op12_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = with_matches(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.col("leak_words").alias("n_words"),
+        F.aggregate("leak_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_hit"),
+        F.size("leak_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leak_items", ","), 256).alias("items_sha256"),
+        (~is_clean()).alias("contaminated"),
+    )
+
+
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_groups(table(spark, sf, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -98,5 +125,8 @@ QUERIES = {
         op8_language,
         op9_source_mix,
         op10_preference,
+        op11_token_alignment,
+        op12_decontamination,
+        op13_spelling,
     )
 }
