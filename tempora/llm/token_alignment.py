@@ -16,7 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import islice
 from pathlib import Path
 
@@ -34,7 +34,7 @@ RADIX = 32
 #: Compressed bytes of runs that one part merges.
 PART_BYTES = 32 << 20
 #: Texts of a slice: bytes that are encoded, ordered and split at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Longer runs of white space are encoded by the slower library, as the faster one's pattern has no room for them.
 LONG_SPACE = regex.compile(r"\s{2000}")
 #: Entries that a run hands to the merge at a time.
@@ -54,7 +54,6 @@ class Tokenizers:
     def __init__(self, byte_json: str, piece_model: bytes):
         import sentencepiece
         import tiktoken
-        from tokenizers import Tokenizer
 
         spec = json.loads(byte_json)
         special = {t["content"] for t in spec["added_tokens"] if t["special"]}
@@ -63,8 +62,7 @@ class Tokenizers:
         self.a_bytes = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
             self.a_bytes[i] = name.encode() if name in special else bytes(chars[c] for c in name)
-        self.slow = Tokenizer.from_str(byte_json)
-        self.slow.encode_special_tokens = True  # their strings are plain text
+        self.byte_json = byte_json
         # Merges come in the order of ids, so ids are ranks; README of the vocabularies gives the pattern.
         import public_tokenizers
 
@@ -81,6 +79,14 @@ class Tokenizers:
         ends = [[f"{i}{mark}" for i in range(size) for mark in marks] for size, marks in ((self.a_size, ",|"), (n, ",;"))]
         self.written = np.array(ends[0] + ends[1], object)
 
+    @cached_property
+    def slow(self):
+        from tokenizers import Tokenizer
+
+        slow = Tokenizer.from_str(self.byte_json)
+        slow.encode_special_tokens = True  # their strings are plain text
+        return slow
+
     def encode(self, text: str) -> tuple[list[int], list[int]] | None:
         """Ids of both sides, or None if either side's bytes are not space + text."""
         if not text:
