@@ -164,38 +164,6 @@ def ordered_windows(
     return out.select(*df.columns, *added)
 
 
-def timestamps_at(
-    df: DataFrame,
-    ranks: Callable[[Column], Column],
-    ts: str,
-    series: tuple[str, ...] = (),
-    slot: str = SLOT,
-) -> DataFrame:
-    """Timestamps found at given 0-based positions of each series, without sorting the series.
-
-    ``ranks`` maps the series row count to an array of positions. The slot holding each position is
-    known from the counts, so only those slots (a few per series) are ordered. Returns one row per
-    series with ``cuts``: a map from the index in the array to the timestamp; positions past the end
-    are absent.
-    """
-    counts, slot = fitted_counts(df, ts, series, slot, CHUNK_ROWS)
-    asked = counts.select(
-        *series, _SLOT, _ROWS, _START, F.posexplode(ranks(F.col(_TOTAL))).alias("__i", "__rank")
-    )
-    offset = F.col("__rank") - F.col(_START)
-    wanted = asked.filter((offset >= 0) & (offset < F.col(_ROWS)))
-    holders = wanted.groupBy(*series, _SLOT).agg(F.collect_list(F.struct("__i", offset.alias("__offset"))).alias("__asked"))
-    inside = join_on_slot(df.select(*series, ts), sized(holders, "holders"), ts, series, slot)
-    position = F.row_number().over(Window.partitionBy(*series, _SLOT).orderBy(F.col(ts).asc_nulls_last())) - 1
-    found = (
-        inside.withColumn("__pos", position)
-        .select(*series, ts, "__pos", F.explode("__asked").alias("__a"))
-        .filter(F.col("__a.__offset") == F.col("__pos"))
-    )
-    entry = F.struct(F.col("__a.__i").alias("i"), F.col(ts).alias("ts"))
-    return found.groupBy(*series).agg(F.map_from_entries(F.collect_list(entry)).alias("cuts"))
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str = "left") -> DataFrame:
     """Equi-join that also matches null keys, keeping the left key columns."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tempora.errors import GuardError
-from tempora.operators.chunks import SLOT, attach_cuts, timestamps_at
+from tempora.operators.chunks import attach_cuts
 from tempora.operators.columns import require_columns
 from tempora.operators.joins import require_unique
+from tempora.operators.ranges import order_statistics
 from tempora.schemas import TRAIN_RATIO, TS, VALIDATION_RATIO
 
 
@@ -22,7 +23,6 @@ def chronological_split(
     validation_ratio: float = VALIDATION_RATIO,
     ts: str = TS,
     series: tuple[str, ...] = (),
-    slot: str = SLOT,
     check: bool = False,
 ) -> DataFrame:
     """Add ``split``: the earliest rows train, then validation, the rest test, per series.
@@ -42,7 +42,7 @@ def chronological_split(
         train_end = _truncated_share(n, train_ratio)
         return F.array(train_end, train_end + _truncated_share(n, validation_ratio))
 
-    cuts = timestamps_at(df, ranks, ts, series, slot)
+    cuts = order_statistics(df, ranks, ts, series)
     rows = attach_cuts(df, cuts, series)
     t, first, second = F.col(ts), F.try_element_at("cuts", F.lit(0)), F.try_element_at("cuts", F.lit(1))
     label = F.when(t < first, "train").when(t < second, "validation").otherwise("test")
@@ -60,7 +60,7 @@ def split_part(df: DataFrame, *parts: str) -> DataFrame:
 
 
 def expanding_folds(
-    df: DataFrame, n_splits: int = 4, ts: str = TS, series: tuple[str, ...] = (), slot: str = SLOT
+    df: DataFrame, n_splits: int = 4, ts: str = TS, series: tuple[str, ...] = ()
 ) -> DataFrame:
     """Add ``fold`` and ``role``: fold i trains on everything before its test block.
 
@@ -75,7 +75,7 @@ def expanding_folds(
         size = F.floor(n / F.lit(n_splits + 1)).cast("bigint")
         return F.array(*[n - F.lit(n_splits - i) * size for i in range(n_splits)])
 
-    rows = attach_cuts(df, timestamps_at(df, ranks, ts, series, slot), series)
+    rows = attach_cuts(df, order_statistics(df, ranks, ts, series), series)
     member = rows.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
     start = F.try_element_at("cuts", F.col("fold"))
     end = F.try_element_at("cuts", F.col("fold") + 1)

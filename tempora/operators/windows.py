@@ -7,9 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tempora.errors import GuardError
-from tempora.operators.chunks import CHUNK_ROWS, SLOT, ordered_windows
+from tempora.functions.timeline import shift
+from tempora.operators.chunks import CHUNK_ROWS, SLOT, null_safe_join, ordered_windows
 from tempora.operators.columns import require_columns
+from tempora.operators.ranges import ranged_blocks, row_index
 from tempora.schemas import LAGS, ROLLING_WINDOWS, TARGET, TS
+from tempora.session import materialise
 
 Build = Callable[[WindowSpec], dict[str, Column]]
 
@@ -109,23 +112,58 @@ def add_differences(
     return ordered_windows(df, build, ts, series, before=reach, chunk_rows=chunk_rows, slot=slot)
 
 
+def add_time_lags(df: DataFrame, lags: dict[str, int], target: str = TARGET, ts: str = TS, series: tuple[str, ...] = ()) -> DataFrame:
+    """The target's value exactly so many microseconds earlier, one output per ``{name: distance}``; null where no row stands.
+
+    An equi-join on moved timestamps: any distance costs the same, and no series is ordered. All distances share one
+    aggregate by (series, ts). Where a timestamp repeats, the largest value counts. Rows without a timestamp keep nulls.
+    """
+    require_columns(df, [*series, ts, target], "time lags")
+    _positive(list(lags.values()), "time lags")
+    names = list(lags)
+    which = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(lags[n]).cast("bigint").alias("far")) for i, n in enumerate(names)]))
+    moved = df.filter(F.col(ts).isNotNull()).select(*series, F.col(ts).alias("__ts"), F.col(target).alias("__y"), which.alias("__lag"))
+    moved = moved.withColumn("__at", shift("__ts", "__lag.far").cast(df.schema[ts].dataType))
+    return _attach_lags(df, moved, names, series, F.col(ts), "__at")
+
+
+def add_far_lags(
+    df: DataFrame, lags: Sequence[int], target: str = TARGET, ts: str = TS, series: tuple[str, ...] = (), block_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """Target values ``k`` rows earlier, for any ``k``: an equi-join on the rows' positions, so no halo has to be carried along.
+
+    Equals ``add_lag_features``, which is cheaper as long as the reach is small against ``chunk_rows``.
+    """
+    require_columns(df, [*series, ts, target], "far lags")
+    ks = _positive(lags, "lags")
+    indexed = materialise(row_index(df, ts, series, "__index", block_rows), "far-lags")
+    which = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k).cast("bigint").alias("far")) for i, k in enumerate(ks)]))
+    moved = indexed.select(*series, "__index", F.col(target).alias("__y"), which.alias("__lag")).withColumn("__at", F.col("__index") + F.col("__lag.far"))
+    return _attach_lags(indexed, moved, [f"lag_{k}" for k in ks], series, F.col("__index"), "__at").drop("__index")
+
+
+def _attach_lags(df: DataFrame, moved: DataFrame, names: list[str], series: tuple[str, ...], key: Column, at: str) -> DataFrame:
+    values = [F.max(F.when(F.col("__lag.i") == i, F.col("__y"))).alias(n) for i, n in enumerate(names)]
+    found = moved.groupBy(*series, F.col(at).alias("__key")).agg(*values)
+    return null_safe_join(df.withColumn("__key", key), found, (*series, "__key"), "left").select(*df.columns, *names)
+
+
 def order_check(
-    df: DataFrame, ts: str, ordinal: str, group: tuple[str, ...] = (), block_rows: int = CHUNK_ROWS
+    df: DataFrame, ts: str, ordinal: str | Sequence[str], group: tuple[str, ...] = (), block_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Is ``ts`` non-decreasing in the order of ``ordinal``, inside each group? False when any value is missing.
 
-    ``ordinal`` is a numeric ingest position, dense or not. Its range is cut into as many blocks as the row count asks for:
-    order inside a block is checked by a window over that block, and blocks are compared through their smallest and largest
-    value, one row per block. Positions that are spread very unevenly make uneven blocks.
+    ``ordinal`` is an ingest position, of one column or several, dense or not. Rows are dealt into blocks at sampled quantiles of
+    it: order inside a block is checked by a window over that block, and blocks are compared through their smallest and
+    largest value, one row per block.
     """
-    place = F.col(ordinal).cast("double")
-    span = df.agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi")).first()
-    low, width = span["lo"] or 0.0, max(1.0, ((span["hi"] or 0.0) - (span["lo"] or 0.0) + 1) * block_rows / max(1, span["n"]))
-    block = F.floor((place - low) / width)
-    rows = df.select(*group, block.alias("__block"), F.col(ordinal).alias("__ordinal"), F.col(ts).alias("__ts"))
-    inside = Window.partitionBy(*group, "__block").orderBy("__ordinal")
+    places = [ordinal] if isinstance(ordinal, str) else list(ordinal)
+    named = [f"__ordinal_{i}" for i in range(len(places))]
+    rows = df.select(*group, *[F.col(c).alias(n) for c, n in zip(places, named, strict=True)], F.col(ts).alias("__ts"))
+    inside = Window.partitionBy(*group, "__block").orderBy(*named)
     blocks = (
-        rows.withColumn("__back", F.col("__ts") < F.lag("__ts").over(inside))
+        ranged_blocks(rows, named, block_rows)
+        .withColumn("__back", F.col("__ts") < F.lag("__ts").over(inside))
         .groupBy(*group, "__block")
         .agg(
             F.count_if("__back").alias("__backs"),

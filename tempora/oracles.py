@@ -480,6 +480,26 @@ SELECT count(*) AS row_count, CAST(2 AS INTEGER) AS column_count, CAST(0 AS BIGI
        count(*) FILTER ("OPERATIONAL_DEMAND" <= 0) AS non_positive_count,
        CAST(min("OPERATIONAL_DEMAND") AS DOUBLE) AS minimum, CAST(max("OPERATIONAL_DEMAND") AS DOUBLE) AS maximum,
        avg("OPERATIONAL_DEMAND") AS mean, 'PASS' AS status FROM half""",
+    "demand_report_dirty": f"""WITH {HALF},
+k AS (SELECT *, epoch_us("INTERVAL_DATETIME") // 1800000000 AS k FROM half),
+d AS (SELECT CASE WHEN k % 13 <> 0 THEN CASE WHEN k % 17 = 0 THEN "INTERVAL_DATETIME" - INTERVAL '30 minutes' ELSE "INTERVAL_DATETIME" END END AS t,
+        CASE WHEN k % 7 <> 0 THEN CASE WHEN k % 11 = 0 THEN 'inf'::DOUBLE ELSE "OPERATIONAL_DEMAND" END END AS y, k * 7919 % 1000003 AS place FROM k),
+o AS (SELECT *, lag(t) OVER (ORDER BY place) AS before FROM d),
+c AS (SELECT count(*) AS row_count, count(*) FILTER (t IS NULL) AS invalid_timestamp_count,
+        count(*) - count(DISTINCT t) - CAST(count(*) FILTER (t IS NULL) > 0 AS BIGINT) AS duplicate_timestamp_count,
+        count(*) FILTER (t IS NULL OR t < before) = 0 AS is_monotonic_increasing, count(*) FILTER (y IS NULL) AS missing_or_non_numeric_count,
+        count(*) FILTER (isinf(y)) AS infinite_count, count(*) FILTER (y <= 0) AS non_positive_count, min(y) AS minimum FROM o)
+SELECT *, CAST((row_count = 0)::INT + (invalid_timestamp_count > 0)::INT + (duplicate_timestamp_count > 0)::INT
+          + (missing_or_non_numeric_count > 0)::INT + (infinite_count > 0)::INT AS INTEGER) AS faults,
+       CASE WHEN faults > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM c""",
+    "training_report_dirty": f"""WITH {TRAIN},
+k AS (SELECT *, -(epoch_us("INTERVAL_DATETIME") // 1800000000) AS place FROM training),
+d AS (SELECT CASE WHEN place % 5 <> 0 THEN lag_1 END AS lag_1, CASE WHEN place % 9 = 0 THEN 'inf'::DOUBLE ELSE temperature END AS temperature,
+        "INTERVAL_DATETIME" AS t, lag("INTERVAL_DATETIME") OVER (ORDER BY place) AS before FROM k),
+c AS (SELECT count(*) AS row_count, CAST(35 AS INTEGER) AS feature_count, count(*) - count(lag_1) AS missing_value_count, count(*) - count(lag_1) AS missing_lags,
+        count(*) FILTER (isinf(temperature)) AS infinite_temperatures, count(*) FILTER (t < before) = 0 AS is_monotonic_increasing FROM d)
+SELECT *, CAST((row_count = 0)::INT + (missing_value_count > 0)::INT + (infinite_temperatures > 0)::INT + (NOT is_monotonic_increasing)::INT AS INTEGER) AS faults,
+       CASE WHEN faults > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM c""",
     "weather_report": f"""WITH {WEATHER},
 d AS (SELECT *, {_DERIVED} FROM weather WINDOW w AS (ORDER BY "INTERVAL_DATETIME"))
 SELECT count(*) AS row_count, CAST(22 AS INTEGER) AS column_count, CAST(21 AS INTEGER) AS weather_feature_count,
@@ -501,6 +521,12 @@ complete AS (SELECT "REGIONID", "INTERVAL_DATETIME" FROM lagged_t WHERE lag_2 IS
         + split_cte("complete", 'PARTITION BY "REGIONID"'), 3, 1, '"REGIONID", ',
     ),
     "lag_features_raw": f"WITH {RAW} SELECT *, {_LAGS} FROM half_t WINDOW w AS (PARTITION BY \"REGIONID\" ORDER BY \"INTERVAL_DATETIME\")",
+    "lag_by_time": f"""WITH {HALF_TYPE}
+SELECT a.*, h."OPERATIONAL_DEMAND" AS hour_before, d."OPERATIONAL_DEMAND" AS day_before FROM half_t a
+LEFT JOIN half_t h ON h."REGIONID" = a."REGIONID" AND h."INTERVAL_DATETIME" = a."INTERVAL_DATETIME" - INTERVAL '1 hour'
+LEFT JOIN half_t d ON d."REGIONID" = a."REGIONID" AND d."INTERVAL_DATETIME" = a."INTERVAL_DATETIME" - INTERVAL '1 day'""",
+    "lag_far": f"""WITH {RAW} SELECT *, lag("OPERATIONAL_DEMAND", 501) OVER w AS lag_501, lag("OPERATIONAL_DEMAND", 1500) OVER w AS lag_1500
+FROM half_t WINDOW w AS (PARTITION BY "REGIONID" ORDER BY "INTERVAL_DATETIME")""",
     "rolling_features_raw": f"""WITH {RAW} SELECT *, {_rolling(3)} FROM half_t {_windows('PARTITION BY "REGIONID"')}""",
     "chronological_split_raw": f"""WITH {RAW},{split_cte("half_t", 'PARTITION BY "REGIONID"')}
 SELECT "REGIONID", "INTERVAL_DATETIME", "OPERATIONAL_DEMAND", split FROM labelled""",

@@ -20,11 +20,12 @@ from tempora.schemas import CHANGED, DEMAND_NUMERIC_COLUMNS, LAGS, ROLLING_WINDO
 from tempora.sources.tagged import POSITION
 
 
-def clean_demand(df: DataFrame, region: str | None = None, check: bool = True) -> DataFrame:
+def clean_demand(df: DataFrame, region: str | None = None, check: bool = True, keep_position: bool = False) -> DataFrame:
     """Typed, de-duplicated demand: one row per (series, timestamp), the latest correction wins.
 
     ``region=None`` keeps all series; they are processed side by side. The ingest position, when present,
-    breaks ties between equally recent corrections and is dropped afterwards.
+    breaks ties between equally recent corrections; it is dropped afterwards, unless ``keep_position`` asks for it: with
+    the source file it is the order that ``demand_report`` can check.
     """
     needed = [SERIES, TS, *DEMAND_NUMERIC_COLUMNS, CHANGED, SOURCE_FILE]
     require_columns(df, needed, "demand cleaning")
@@ -33,7 +34,9 @@ def clean_demand(df: DataFrame, region: str | None = None, check: bool = True) -
     typed = coerce_demand_types(picked)
     unique = drop_exact_duplicates(typed, position)
     ties = (SOURCE_FILE, position) if position else (SOURCE_FILE,)
-    latest = latest_per_key(unique, (SERIES, TS), CHANGED, ties).drop(POSITION)
+    latest = latest_per_key(unique, (SERIES, TS), CHANGED, ties)
+    if not keep_position:
+        latest = latest.drop(POSITION)
     if check:
         require_no_missing(latest, [TS, TARGET], "demand cleaning")
     return latest

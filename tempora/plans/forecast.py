@@ -20,10 +20,11 @@ from tempora.plans.demand import demand_features
 from tempora.plans.training import prepare_training
 from tempora.quality.reports import demand_report, enforce, merge_report, model_output_report, series_report
 from tempora.quality.reports import split_report, training_report, weather_report
-from tempora.schemas import BASELINES, SEED, TARGET, TRAIN_RATIO, TS, VALIDATION_RATIO, WEATHER_COLUMNS
+from tempora.schemas import BASELINES, SEED, SOURCE_FILE, TARGET, TRAIN_RATIO, TS, VALIDATION_RATIO, WEATHER_COLUMNS
 from tempora.session import materialise
 from tempora.sinks.reports import plain, write_report
 from tempora.sinks.tables import write_csv, write_merge_details, write_training_table
+from tempora.sources.tagged import POSITION
 
 BOOSTED = ["default_boosted", "tuned_boosted"]
 SCALED = "scaled_"
@@ -152,7 +153,8 @@ def run_forecast(
     demand, weather = materialise(demand), materialise(weather)
 
     enforce(series_report(demand, ts, (*series, ts), series=series, details=details), f"{checks}/00_existing_demand_validation.json")
-    enforce(demand_report(demand, ts, target, series), f"{checks}/01_demand_validation.json")
+    ingested = (SOURCE_FILE, POSITION) if {SOURCE_FILE, POSITION} <= set(demand.columns) else None
+    enforce(demand_report(demand, ts, target, series, ingested), f"{checks}/01_demand_validation.json")
     enforce(weather_report(weather, ts, tuple(k for k in keys if k != ts)), f"{checks}/02_weather_validation.json")
     features_only = demand_features(model_columns(demand, series, ts, target), ts, target, series)
     merged = materialise(attach_weather(features_only, weather, keys, columns, on_unmatched, demand_keys=[*series, ts]))

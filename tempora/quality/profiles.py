@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tempora.functions.timeline import DAY, HOUR, MINUTE, SECOND
@@ -90,7 +92,7 @@ def timestamp_profile(
     df: DataFrame,
     ts: str,
     series: tuple[str, ...] = (),
-    ordinal: str | None = None,
+    ordinal: str | Sequence[str] | None = None,
     chunk_rows: int | None = CHUNK_ROWS,
     slot: str = SLOT,
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tempora.errors import DataQualityError
@@ -110,7 +112,7 @@ def demand_report(
     ts: str = TS,
     target: str = TARGET,
     series: tuple[str, ...] = (),
-    ordinal: str | None = None,
+    ordinal: str | Sequence[str] | None = None,
     chunk_rows: int | None = CHUNK_ROWS,
     slot: str = SLOT,
 ) -> DataFrame:
@@ -145,7 +147,7 @@ def weather_report(
     df: DataFrame,
     ts: str = TS,
     series: tuple[str, ...] = (),
-    ordinal: str | None = None,
+    ordinal: str | Sequence[str] | None = None,
     chunk_rows: int | None = CHUNK_ROWS,
     slot: str = SLOT,
 ) -> DataFrame:
@@ -278,7 +280,7 @@ def training_report(
     ts: str = TS,
     target: str = TARGET,
     series: tuple[str, ...] = (),
-    ordinal: str | None = None,
+    ordinal: str | Sequence[str] | None = None,
     chunk_rows: int | None = CHUNK_ROWS,
     slot: str = SLOT,
 ) -> DataFrame:

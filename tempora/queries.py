@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tempora.functions.calendar import calendar_columns, cyclical_columns
-from tempora.functions.timeline import HOUR, MINUTE
+from tempora.functions.timeline import DAY, HOUR, MINUTE, micros, shift
 from tempora.models.frames import importance_table, predict
 from tempora.models.linear import fit_linear, fit_ridge
 from tempora.models.search import tune_boosted
@@ -35,9 +35,11 @@ from tempora.operators.timeseries import (
 )
 from tempora.operators.windows import (
     add_differences,
+    add_far_lags,
     add_history_features,
     add_lag_features,
     add_rolling_features,
+    add_time_lags,
     order_check,
 )
 from tempora.plans.demand import clean_demand, demand_features
@@ -486,6 +488,15 @@ def rolling_features_raw(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out, ["rolling_std_4", "rolling_std_48"], 3)
 
 
+def lag_by_time(spark: SparkSession, sf: str) -> DataFrame:
+    return add_time_lags(half_by_type(spark, sf), {"hour_before": HOUR, "day_before": DAY}, series=REGION)
+
+
+def lag_far(spark: SparkSession, sf: str) -> DataFrame:
+    """Lags beyond the chunks that the raw windows use."""
+    return add_far_lags(raw_events(spark, sf), [RAW_CHUNK + 1, 3 * RAW_CHUNK], series=REGION, block_rows=RAW_CHUNK)
+
+
 def chronological_split_raw(spark: SparkSession, sf: str) -> DataFrame:
     return chronological_split(raw_events(spark, sf), series=REGION)
 
@@ -793,6 +804,41 @@ def demand_report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _slot_number() -> Column:
+    return F.floor(micros(TS) / HALF_HOUR)
+
+
+def demand_report_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    """Planted faults: missing and infinite values, missing and repeated timestamps, rows ingested out of order."""
+    k = F.col("k")
+    rows = half_total(spark, sf).withColumn("k", _slot_number())
+    value = F.when(k % 7 == 0, None).when(k % 11 == 0, F.lit(float("inf"))).otherwise(F.col(TARGET).cast("double"))
+    stamp = F.when(k % 13 == 0, None).when(k % 17 == 0, shift(TS, -HALF_HOUR)).otherwise(F.col(TS))
+    dirty = rows.select(stamp.alias(TS), value.alias(TARGET), (k * 7919 % 1000003).alias("place"))
+    out = reports.demand_report(materialise(dirty), ordinal="place")
+    counters = ["invalid_timestamp_count", "duplicate_timestamp_count", "is_monotonic_increasing"]
+    values = ["missing_or_non_numeric_count", "infinite_count", "non_positive_count", "minimum"]
+    return out.select("row_count", *[f"timestamp.{c}" for c in counters], *[f"target.{c}" for c in values], F.size("failures").alias("faults"), "status")
+
+
+def training_report_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    """Planted faults: a missing lag, an infinite temperature, rows in the wrong order."""
+    k = F.col("place")
+    rows = training(spark, sf).withColumn("place", -_slot_number())
+    lag, heat = F.when(k % 5 != 0, F.col("lag_1")), F.when(k % 9 == 0, F.lit(float("inf"))).otherwise(F.col("temperature"))
+    out = reports.training_report(materialise(rows.withColumns({"lag_1": lag, "temperature": heat})), ordinal="place")
+    return out.select(
+        "row_count",
+        "feature_count",
+        "missing_value_count",
+        F.coalesce(F.try_element_at("missing_values_by_column", F.lit("lag_1")), F.lit(0).cast("long")).alias("missing_lags"),
+        F.coalesce(F.try_element_at("infinite_values_by_column", F.lit("temperature")), F.lit(0).cast("long")).alias("infinite_temperatures"),
+        "timestamp.is_monotonic_increasing",
+        F.size("failures").alias("faults"),
+        "status",
+    )
+
+
 def weather_report(spark: SparkSession, sf: str) -> DataFrame:
     out = reports.weather_report(materialise(weather_features(weather(spark, sf))))
     return out.select(
@@ -911,6 +957,8 @@ QUERIES: dict[str, Query] = {
     "select_best": select_best,
     "lag_features": lag_features,
     "lag_features_raw": lag_features_raw,
+    "lag_by_time": lag_by_time,
+    "lag_far": lag_far,
     "rolling_features": rolling_features,
     "rolling_features_raw": rolling_features_raw,
     "diff_features": diff_features,
@@ -953,8 +1001,10 @@ QUERIES: dict[str, Query] = {
     "timestamp_profile": timestamp_profile,
     "series_report": series_report,
     "demand_report": demand_report,
+    "demand_report_dirty": demand_report_dirty,
     "weather_report": weather_report,
     "training_report": training_report,
+    "training_report_dirty": training_report_dirty,
     "split_report": split_report,
     "split_report_by_series": split_report_by_series,
     "model_output_report": model_output_report,
