@@ -282,6 +282,8 @@ SELECT 'D' AS "RECORD_TYPE", '3' AS "VERSION", "REGIONID",
        {STAMP.format('"INTERVAL_DATETIME"')} AS "INTERVAL_DATETIME",
        CAST("OPERATIONAL_DEMAND" AS VARCHAR) AS "OPERATIONAL_DEMAND",
        {STAMP.format('"INTERVAL_DATETIME"')} AS "LASTCHANGED" FROM half_t""",
+    "ingest_quoted_breaks": """SELECT CAST(event_id AS VARCHAR) AS "ID", CASE WHEN event_id % 3 = 0
+       THEN event_type || chr(10) || 'D,x,"quoted" ' || event_id || chr(10) ELSE event_type END AS "NOTE", 'z' AS "END" FROM events""",
     "ingest_nested_zip": f"""WITH {HALF_TYPE}
 SELECT "REGIONID", "INTERVAL_DATETIME", CAST("OPERATIONAL_DEMAND" AS DOUBLE) AS "OPERATIONAL_DEMAND",
        "INTERVAL_DATETIME" AS "LASTCHANGED",

@@ -176,6 +176,19 @@ def ingest_tagged_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_tagged_csv(spark, path).select("RECORD_TYPE", "VERSION", SERIES, TS, TARGET, CHANGED)
 
 
+def ingest_quoted_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Records whose quoted note goes over several lines, some of which look like records."""
+    path = scratch_path(spark, "notes")
+    ev = table(spark, sf, "events").select(F.to_date("ts").alias("day"), F.col("event_id").alias("seq"), "event_type")
+    note = F.concat(F.lit('"'), "event_type", F.lit('\nD,x,""quoted"" '), F.col("seq").cast("string"), F.lit('\n"'))
+    record = F.concat_ws(",", F.lit("D,NOTES,ACTUAL,3"), "seq", F.when(F.col("seq") % 3 == 0, note).otherwise(F.col("event_type")), F.lit("z"))
+    head = ev.select("day").distinct().select("day", F.lit(-1).cast("bigint").alias("seq"), F.lit("I,NOTES,ACTUAL,3,ID,NOTE,END").alias("value"))
+    lines = ev.select("day", "seq", record.alias("value")).unionByName(head).select("day", "seq", F.posexplode(F.split("value", "\n")).alias("line", "value"))
+    dealt = lines.repartition("day").sortWithinPartitions("day", "seq", "line")
+    dealt.select("value").write.option("quote", "\u0000").option("sep", "\u0001").option("emptyValue", "").csv(path)
+    return read_tagged_csv(spark, path).select("ID", "NOTE", "END")
+
+
 def _zip_day(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
     """The archive of one day and series, inside one of its month."""
     outer = io.BytesIO()
@@ -922,6 +935,7 @@ def model_output_report(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "ingest_tagged_csv": ingest_tagged_csv,
+    "ingest_quoted_breaks": ingest_quoted_breaks,
     "ingest_nested_zip": ingest_nested_zip,
     "ingest_summary": ingest_summary_query,
     "ingest_columnar_json": ingest_columnar_json,

@@ -86,7 +86,7 @@ def parse_archives(archives: DataFrame, eager: bool = False) -> DataFrame:
 
     Archives are expanded twice, once for the layout and once for the data; nothing is staged.
     """
-    return parse_tagged_lines(expand_archives(archives), eager=eager)
+    return parse_tagged_lines(expand_archives(archives), eager=eager, split_lines=BATCH_LINES)
 
 
 def read_archives(spark: SparkSession, path: str, eager: bool = False) -> DataFrame:

@@ -2,19 +2,21 @@
 
 Files are read as lines, so a large file splits over tasks, and parsed with Spark's CSV expression.
 Two passes: the first finds the headers and checks the layout (one row per file after map-side
-aggregation), the second parses. A quoted field must not contain a line break.
+aggregation), the second parses. If the first meets a line that ends inside a quoted field, records that go over several lines
+are put together before both (``sources.records``).
 """
 
 from __future__ import annotations
 
 import csv
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tempora.errors import IngestError
 from tempora.schemas import RECORD_COLUMNS, SOURCE_FILE
+from tempora.session import materialise
+from tempora.sources.records import ends_open, whole_records
 
 CORRUPT = "__corrupt"
 POSITION = "_position"
@@ -48,6 +50,7 @@ def read_lines(spark: SparkSession, path: str, glob: str = CSV_GLOB) -> DataFram
 
     ``_position`` orders the lines of one file: the offset of the split, then the row inside the
     task (the low 33 bits of the generated id). One number, so that aggregates on it stay hashed.
+    Line breaks inside a field count as they stand between lines: each becomes one ``\\n``.
     """
     lines = spark.read.text(path, pathGlobFilter=glob)
     return lines.select(
@@ -74,22 +77,24 @@ def _structure(lines: DataFrame) -> DataFrame:
         F.max(POSITION).alias("last"),
         F.count_if(tag == "D").alias("data_rows"),
         F.count_if(~F.is_valid_utf8("value")).alias("undecodable"),
+        F.count_if(ends_open(F.col("value"))).alias("open_lines"),
     )
     return per_text.groupBy(SOURCE_FILE).agg(
         F.max_by("text", F.when(F.col("text").isNotNull(), F.col("last"))).alias("header"),
         F.sum("data_rows").alias("data_rows"),
         F.sum("undecodable").alias("undecodable"),
+        F.sum("open_lines").alias("open_lines"),
         F.max("error").alias("error"),
     )
 
 
-def _checked_headers(structure: DataFrame, check_encoding: bool) -> dict[str, int]:
-    """Header text -> number of files. Distinct headers are schema versions of the feed, not data."""
+def _headers(structure: DataFrame) -> list:
+    """One row per distinct header text. Distinct headers are schema versions of the feed, not data."""
 
     def first(condition: Column) -> Column:
         return F.min(F.when(condition, F.col(SOURCE_FILE)))
 
-    found = (
+    return (
         structure.groupBy("header")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -97,10 +102,15 @@ def _checked_headers(structure: DataFrame, check_encoding: bool) -> dict[str, in
             first(F.col("error").isNotNull()).alias("unreadable"),
             first(F.col("undecodable") > 0).alias("undecodable"),
             first(F.col("data_rows") == 0).alias("empty"),
+            F.sum("open_lines").alias("open_lines"),
         )
         .collect()
     )
 
+
+def _checked(found: list, check_encoding: bool) -> dict[str, int]:
+    """Header text -> number of files, once the layout is right."""
+
     def stop(files: list[str | None], what: str) -> None:
         named = sorted(f for f in files if f)
         if named:
@@ -116,24 +126,33 @@ def _checked_headers(structure: DataFrame, check_encoding: bool) -> dict[str, in
 
 
 def parse_tagged_lines(
-    lines: DataFrame, check_encoding: bool = False, eager: bool = False, expected_files: set[str] | None = None
+    lines: DataFrame, check_encoding: bool = False, eager: bool = False, listing: list[str] | None = None, split_lines: int = 1 << 33
 ) -> DataFrame:
     """Data rows as text columns plus SOURCE_FILE and _position.
 
     The last ``I`` line of a file names the columns of all its rows. Files with different headers
     are aligned by column name. Layout errors raise at once. A data record whose field count differs
     from its header fails the job that reads its values, at no extra cost; ``eager`` spends one more pass to
-    raise here instead, with the number of such records.
+    raise here instead, with the number of such records. ``listing`` names the files that must be there;
+    ``_position`` div ``split_lines`` numbers the splits of a file, in which broken records are looked for side by side.
     """
     structure = _structure(lines)
-    headers = _checked_headers(structure, check_encoding)
+    found = _headers(structure)
+    if any(r["open_lines"] for r in found):
+        broken = structure.filter("open_lines > 0").select(SOURCE_FILE)
+        lines = whole_records(lines, materialise(broken, "broken-files"), POSITION, split_lines)
+        structure = _structure(lines)
+        found = _headers(structure)
+    headers = _checked(found, check_encoding)
     if not headers:
         raise IngestError("no CSV input found")
-    if expected_files and len(expected_files) != sum(headers.values()):
-        seen = {unquote(r[0]) for r in structure.select(SOURCE_FILE).collect()}
-        empty = sorted({unquote(f) for f in expected_files} - seen)
+    if listing is not None and len(listing) != sum(headers.values()):
+        # Files without a line have no row anywhere else. Listed names are escaped as in addresses.
+        plain_name = F.url_decode(F.replace(F.col(SOURCE_FILE), F.lit("+"), F.lit("%2B"))).alias("__name")
+        listed = lines.sparkSession.createDataFrame([(f,) for f in listing], f"{SOURCE_FILE} string").select(plain_name)
+        empty = listed.join(structure.select(plain_name), "__name", "left_anti").agg(F.min("__name")).first()[0]
         if empty:
-            raise IngestError(f"no header record ('I'): {empty[0]}")
+            raise IngestError(f"no header record ('I'): {empty}")
     data = lines.filter(record_tag(F.col("value")) == "D")
     known = sorted(headers)
     if len(known) > 1:
@@ -183,9 +202,9 @@ def parse_tagged_lines(
 def read_tagged_csv(spark: SparkSession, path: str, eager: bool = False) -> DataFrame:
     """All ``.csv`` files (any letter case) directly below ``path``, or one file. Strict UTF-8."""
     lines = read_lines(spark, path)
-    # Empty files yield no line, so only the listing (already on the driver) knows them.
-    listed = {name.rsplit("/", 1)[-1] for name in lines.inputFiles()}
-    return parse_tagged_lines(lines, check_encoding=True, eager=eager, expected_files=listed)
+    # Empty files yield no line, so only the listing, which Spark holds on the driver anyway, knows them.
+    listing = [name.rsplit("/", 1)[-1] for name in lines.inputFiles()]
+    return parse_tagged_lines(lines, check_encoding=True, eager=eager, listing=listing)
 
 
 def ingest_summary(df: DataFrame) -> DataFrame:
