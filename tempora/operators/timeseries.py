@@ -12,6 +12,10 @@ from tempora.operators.columns import require_columns
 from tempora.schemas import TS
 
 
+#: Grid points of a gap that are expanded at once.
+GAP_PIECE = 100_000
+
+
 def resample_sum(
     df: DataFrame, ts: str, value: Column, step: int, name: str, out_ts: str = TS, series: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -65,6 +69,19 @@ def require_continuous(df: DataFrame, ts: str, step: int, series: tuple[str, ...
         raise GuardError(f"{stage}: {bad} intervals differ from {step // MINUTE} minutes")
 
 
+def gap_pieces(gaps: DataFrame, series: tuple[str, ...] = (), piece: int | None = None) -> DataFrame:
+    """(series, series_start, __first, __last): gaps cut into pieces of at most ``piece`` grid points, dealt over all tasks.
+
+    One wrong timestamp can make a gap of any length; its points then come from many tasks, each holding one piece at a time.
+    """
+    piece = piece or GAP_PIECE
+    numbered = gaps.select(*series, "series_start", "__first", "__last", F.explode(F.expr(f"sequence(0L, (__last - __first) div {piece})")).alias("__piece"))
+    tasks = int(gaps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = numbered.repartition(tasks, *series, "__first", "__piece")  # a stated number is not merged again, small as the rows are
+    start = F.col("__first") + F.col("__piece") * piece
+    return dealt.select(*series, "series_start", start.alias("__first"), F.least(F.col("__last"), start + (piece - 1)).alias("__last"))
+
+
 def missing_intervals(
     df: DataFrame,
     ts: str = TS,
@@ -93,9 +110,8 @@ def missing_intervals(
     first = F.expr(f"({micros_sql(ts)} - {start}) div {step} + 1")
     last = F.expr(f"({micros_sql('__next')} - {start} - 1) div {step}")
     gaps = ahead.filter(F.col("__next").isNotNull()).withColumns({"__first": first, "__last": last})
-    points = gaps.filter("__first <= __last").select(
-        *series, "series_start", F.explode(F.sequence("__first", "__last")).alias("__k")
-    )
+    pieces = gap_pieces(gaps.filter("__first <= __last"), series)
+    points = pieces.select(*series, "series_start", F.explode(F.sequence("__first", "__last")).alias("__k"))
     return points.select(*series, shift("series_start", f"__k * {step}L").alias(ts))
 
 

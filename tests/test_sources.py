@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tempora.errors import IngestError
 from tempora.plans.demand import clean_demand
 from tempora.schemas import HOURLY_VARIABLES
-from tempora.sources.archives import read_archives
+from tempora.sources.archives import expand_archives, read_archives
 from tempora.sources.columnar import check_request, read_columnar_json
 from tempora.sources.tagged import header_names, ingest_summary, read_tagged_csv
 
@@ -219,3 +219,31 @@ def test_columnar_invalid_json(spark, tmp_path):
 def test_request_rules(args):
     with pytest.raises(ValueError):
         check_request(*args)
+
+
+def test_one_archive_keeps_many_tasks_busy(spark, tmp_path):
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(12):
+            z.writestr(f"n{i}.csv", report(data("B", i, i)))
+    with zipfile.ZipFile(tmp_path / "all.zip", "w") as z:
+        for i, kind in enumerate([zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA]):
+            z.writestr(f"m{i}.csv", report(*[data("A", i, k) for k in range(300)]), compress_type=kind)
+        z.writestr("inner.zip", inner.getvalue())
+        z.writestr("empty.txt", "")
+    content = (tmp_path / "all.zip").read_bytes()
+    lines = expand_archives(spark.createDataFrame([("all.zip", content)], "name string, content binary"))
+    assert lines.select(F.input_file_name()).distinct().count() > 1  # written by several tasks
+    got = read_archives(spark, str(tmp_path)).groupBy("SOURCE_FILE").count().collect()
+    assert {r["SOURCE_FILE"]: r["count"] for r in got} == {f"all.zip/m{i}.csv": 300 for i in range(4)} | {f"all.zip/inner.zip/n{i}.csv": 1 for i in range(12)}
+
+
+@pytest.mark.parametrize("kind", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_damaged_members(spark, tmp_path, kind):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", kind) as z:
+        z.writestr("x.csv", report(*[data("A", 1, k * 7919 % 1000) for k in range(50)]))
+    raw = bytearray((tmp_path / "a.zip").read_bytes())
+    raw[90:110] = bytes(20)
+    (tmp_path / "a.zip").write_bytes(raw)
+    with pytest.raises(IngestError, match="not a valid ZIP archive: a.zip"):
+        read_archives(spark, str(tmp_path))

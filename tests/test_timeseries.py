@@ -3,12 +3,14 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tempora.errors import DataQualityError, GuardError
 from tempora.functions.timeline import HOUR, MINUTE, floor_to, micros, shift, slot_id
 from tempora.operators.timeseries import (
     continuity,
     expand_backwards,
+    gap_pieces,
     missing_intervals,
     require_continuous,
     upsample,
@@ -171,3 +173,21 @@ def test_weather_features(frame):
     assert [r["is_moderate_rain"] for r in got] == [0, 1, 1, 1]
     assert [r["is_heavy_rain"] for r in got] == [0, 0, 1, 0]
     assert len(CONTINUOUS_WEATHER) == 6
+
+
+def test_long_gaps_come_in_pieces_from_many_tasks(spark):
+    gaps = spark.createDataFrame([("a", 5, 10**8 + 4), ("b", 7, 7), ("c", 1, 250)], "k string, __first long, __last long")
+    gaps = gaps.withColumn("series_start", F.lit("2024-01-01").cast("timestamp_ntz"))
+    pieces = gap_pieces(gaps, ("k",), 100_000).withColumn("n", F.expr("__last - __first + 1")).withColumn("task", F.spark_partition_id())
+    got = {r["k"]: (r["pieces"], r["points"], r["longest"], r["lo"], r["hi"]) for r in pieces.groupBy("k").agg(F.count("*").alias("pieces"), F.sum("n").alias("points"), F.max("n").alias("longest"), F.min("__first").alias("lo"), F.max("__last").alias("hi")).collect()}
+    assert got == {"a": (1000, 10**8, 100_000, 5, 10**8 + 4), "b": (1, 1, 1, 7, 7), "c": (1, 250, 250, 1, 250)}
+    assert pieces.select("task").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_gap_pieces_do_not_change_the_points(spark, monkeypatch):
+    monkeypatch.setattr("tempora.operators.timeseries.GAP_PIECE", 3)
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m),) for m in (0, 30, 700, 735, 2000)], "ts timestamp_ntz")
+    got = sorted(r["ts"] for r in missing_intervals(df, "ts").collect())
+    grid = [dt.datetime(2024, 1, 1) + dt.timedelta(minutes=30 * k) for k in range(1, 67)]
+    here = {r["ts"] for r in df.collect()}
+    assert got == [t for t in grid if t not in here and t < dt.datetime(2024, 1, 1) + dt.timedelta(minutes=2000)]
