@@ -494,6 +494,47 @@ c AS (SELECT count(*) AS row_count, count(*) FILTER (t IS NULL) AS invalid_times
 SELECT *, CAST((row_count = 0)::INT + (invalid_timestamp_count > 0)::INT + (duplicate_timestamp_count > 0)::INT
           + (missing_or_non_numeric_count > 0)::INT + (infinite_count > 0)::INT AS INTEGER) AS faults,
        CASE WHEN faults > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM c""",
+    "fault_messages": f"""WITH {HALF_TYPE},{HALF[1:]},
+k AS (SELECT *, epoch_us("INTERVAL_DATETIME") // 1800000000 AS k FROM half),
+d AS (SELECT CASE WHEN k % 13 <> 0 THEN "INTERVAL_DATETIME" END AS t, CASE WHEN k % 7 <> 0 THEN "OPERATIONAL_DEMAND" END AS y FROM k),
+c AS (SELECT count(*) AS n, count(*) - count(t) AS no_t, count(*) - count(y) AS no_y,
+        count(*) - count(DISTINCT t) - CAST(count(*) > count(t) AS BIGINT) AS dup FROM d),
+s AS (SELECT count(*) FILTER (step <> INTERVAL '30 minutes') AS uneven FROM (
+        SELECT "INTERVAL_DATETIME" - lag("INTERVAL_DATETIME") OVER (PARTITION BY "REGIONID" ORDER BY "INTERVAL_DATETIME") AS step FROM half_t)),
+f AS (SELECT 'absent_columns' AS fault, 'events: required columns are absent: [~absent~]' AS message
+UNION ALL SELECT 'missing_values', 'demand: missing values in {{~INTERVAL_DATETIME~: ' || no_t || ', ~OPERATIONAL_DEMAND~: ' || no_y || '}}' FROM c
+UNION ALL SELECT 'repeated_keys', 'events: ' || (count(*) - count(DISTINCT (user_id, event_type))) || ' repeated key values in [~user_id~, ~event_type~]' FROM events
+UNION ALL SELECT 'no_rows', 'events: no rows'
+UNION ALL SELECT 'right_side', 'join, right side: ' || (count(*) - count(DISTINCT "INTERVAL_DATETIME")) || ' repeated key values in [~INTERVAL_DATETIME~]' FROM half_t
+UNION ALL SELECT 'unknown_series', 'no rows for REGIONID=~absent~; there are ' || count(DISTINCT "REGIONID") || ' others, from ~' || min("REGIONID")
+       || '~ to ~' || max("REGIONID") || '~ (distinct_values lists them)' FROM half_t
+UNION ALL SELECT 'fit_gaps', 'fit, training part: missing values in [~lag_336~]'
+UNION ALL SELECT 'fit_text', 'fit, training part: not numeric: [~event_type~]'
+UNION ALL SELECT 'uneven_steps', 'series: ' || uneven || ' intervals differ from 30 minutes' FROM s
+UNION ALL SELECT 'failing_report', 'demand: ' || concat_ws(' ', CASE WHEN no_t > 0 THEN 'Some timestamps are missing or unreadable.' END,
+       CASE WHEN dup > 0 THEN 'Some timestamps occur more than once.' END, CASE WHEN no_y > 0 THEN 'Some target values are missing or not numeric.' END) FROM c
+UNION ALL SELECT 'published', 'False'
+UNION ALL SELECT 'saved_report', CASE WHEN no_t + no_y + dup > 0 THEN 'FAIL ' ELSE 'PASS ' END || n FROM c)
+SELECT fault, replace(message, '~', chr(39)) AS message FROM f""",
+    "weather_requests": f"""WITH {HOURLY},
+n AS (SELECT count(*) AS every, count(*) FILTER (day("INTERVAL_DATETIME") = 10) AS tenth FROM hourly)
+SELECT 'all' AS request, every AS n_rows, NULL::VARCHAR AS message FROM n UNION ALL SELECT 'place', tenth, NULL FROM n UNION ALL SELECT 'nowhere', 0, NULL
+UNION ALL SELECT 'north', 0, 'latitude must lie between -90 and 90' UNION ALL SELECT 'west', 0, 'longitude must lie between -180 and 180'
+UNION ALL SELECT 'order', 0, 'start must not be later than end' UNION ALL SELECT 'nothing', 0, 'at least one variable is needed'""",
+    "strict_types": """SELECT o_orderkey, o_orderdate AS stamp, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS iso,
+  CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS price FROM orders""",
+    "published_outputs": f"""WITH {TRAIN},
+part_w AS (SELECT * FROM weather WHERE hour("INTERVAL_DATETIME") <> 3),
+m AS (SELECT h."INTERVAL_DATETIME" AS t, {" OR ".join(f"s.{c} IS NULL" for c in WEATHER_COLUMNS)} AS gap, s."INTERVAL_DATETIME" AS st
+      FROM half h LEFT JOIN part_w s ON h."INTERVAL_DATETIME" = s."INTERVAL_DATETIME")
+SELECT 'unmatched_demand_timestamps' AS output, count(*) AS n_rows, min(t) AS "first" FROM m WHERE st IS NULL
+UNION ALL SELECT 'extra_weather_timestamps', count(*), min("INTERVAL_DATETIME") FROM part_w WHERE "INTERVAL_DATETIME" NOT IN (SELECT "INTERVAL_DATETIME" FROM half)
+UNION ALL SELECT 'merged_rows_with_missing_weather', count(*), min(t) FROM m WHERE gap
+UNION ALL SELECT 'training_parquet', count(*), min("INTERVAL_DATETIME") FROM training
+UNION ALL SELECT 'training_csv', count(*), min("INTERVAL_DATETIME") FROM training
+UNION ALL SELECT 'same_predictions', count(*), min("INTERVAL_DATETIME") FROM training
+UNION ALL SELECT 'report', count(*), min("INTERVAL_DATETIME") FROM half
+UNION ALL SELECT 'manifest', count(*), NULL FROM training""",
     "training_report_dirty": f"""WITH {TRAIN},
 k AS (SELECT *, -(epoch_us("INTERVAL_DATETIME") // 1800000000) AS place FROM training),
 d AS (SELECT CASE WHEN place % 5 <> 0 THEN lag_1 END AS lag_1, CASE WHEN place % 9 = 0 THEN 'inf'::DOUBLE ELSE temperature END AS temperature,

@@ -21,8 +21,9 @@ from tempora.plans.training import prepare_training
 from tempora.quality.reports import demand_report, enforce, merge_report, model_output_report, series_report
 from tempora.quality.reports import split_report, training_report, weather_report
 from tempora.schemas import BASELINES, SEED, SOURCE_FILE, TARGET, TRAIN_RATIO, TS, VALIDATION_RATIO, WEATHER_COLUMNS
-from tempora.session import materialise
+from tempora.session import materialise, scratch_scope
 from tempora.sinks.reports import plain, write_report
+from tempora.sinks.runs import RunFolder
 from tempora.sinks.tables import write_csv, write_merge_details, write_training_table
 from tempora.sources.tagged import POSITION
 
@@ -224,3 +225,12 @@ def run_forecast(
     return summary
 
 
+def published_forecast(demand: DataFrame, weather: DataFrame, output: str, **options) -> dict:
+    """``run_forecast`` as one unit: all outputs in a run folder of their own, published by a manifest at the end.
+
+    Scratch tables go when the run has ended well. A failing report raises, leaves the reports saved so far in the run's folder and
+    publishes nothing. Returns the manifest; its ``summary`` is that of the run.
+    """
+    run = RunFolder(demand.sparkSession, output)
+    with scratch_scope(demand.sparkSession):
+        return run.publish(run_forecast(demand, weather, run.root, **options))

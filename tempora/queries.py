@@ -16,9 +16,11 @@ from operator import and_
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tempora.errors import DataQualityError, GuardError
 from tempora.functions.calendar import calendar_columns, cyclical_columns
+from tempora.functions.casts import strict_double, strict_timestamp
 from tempora.functions.timeline import DAY, HOUR, MINUTE, micros, shift
-from tempora.models.frames import importance_table, predict
+from tempora.models.frames import check_fit_input, importance_table, load_model, predict, save_model
 from tempora.models.linear import fit_linear, fit_ridge
 from tempora.models.search import tune_boosted
 from tempora.models.trees import fit_boosted, fit_boosted_default, fit_random_forest
@@ -30,6 +32,7 @@ from tempora.operators.timeseries import (
     continuity,
     expand_backwards,
     missing_intervals,
+    require_continuous,
     resample_sum,
     upsample_linear,
 )
@@ -57,8 +60,9 @@ from tempora.schemas import (
     TS,
     WEATHER_COLUMNS,
 )
-from tempora.session import materialise, scratch_path
-from tempora.sinks.tables import read_csv_like, write_csv
+from tempora.session import materialise, scratch_path, scratch_scope
+from tempora.sinks.runs import MANIFEST, RunFolder, path_exists, published, read_json_report
+from tempora.sinks.tables import read_csv_like, write_csv, write_merge_details, write_parquet, write_training_table
 from tempora.sources.archives import parse_archives
 from tempora.sources.columnar import read_columnar_json
 from tempora.sources.tagged import POSITION, ingest_summary, read_tagged_csv
@@ -834,6 +838,107 @@ def demand_report_dirty(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("row_count", *[f"timestamp.{c}" for c in counters], *[f"target.{c}" for c in values], F.size("failures").alias("faults"), "status")
 
 
+def _dirty(spark: SparkSession, sf: str) -> DataFrame:
+    k = _slot_number()
+    rows = half_total(spark, sf)
+    return materialise(rows.select(F.when(k % 13 != 0, F.col(TS)).alias(TS), F.when(k % 7 != 0, F.col(TARGET).cast("double")).alias(TARGET)))
+
+
+def _told(action: Callable[[], object]) -> str | None:
+    try:
+        action()
+    except (GuardError, DataQualityError, ValueError) as problem:
+        return str(problem)
+    return None
+
+
+def fault_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """What guards and a failing report say about planted faults; a refused report is saved all the same, and nothing is published."""
+    ev, half, total, dirty = table(spark, sf, "events"), materialise(half_by_type(spark, sf)), half_total(spark, sf), _dirty(spark, sf)
+    run = RunFolder(spark, scratch_path(spark, "refused"))
+    saved = run.path("verification/demand.json")
+    lagged = materialise(add_lag_features(total, [336]))
+    told = {
+        "absent_columns": _told(lambda: col_ops.require_columns(ev, ["ts", "absent"], "events")),
+        "missing_values": _told(lambda: col_ops.require_no_missing(dirty, [TS, TARGET], "demand")),
+        "repeated_keys": _told(lambda: joins.require_unique(ev, ["user_id", "event_type"], "events")),
+        "no_rows": _told(lambda: col_ops.require_rows(ev.filter("event_id < 0"), "events")),
+        "right_side": _told(lambda: joins.join_one_to_one(total, half, [TS])),
+        "unknown_series": _told(lambda: col_ops.filter_series(half, "absent", require_match=True)),
+        "fit_gaps": _told(lambda: check_fit_input(lagged, ["lag_336"], TARGET)),
+        "fit_text": _told(lambda: check_fit_input(ev, ["event_type"], "value")),
+        "uneven_steps": _told(lambda: require_continuous(half, TS, HALF_HOUR, REGION)),
+        "failing_report": _told(lambda: reports.enforce(reports.demand_report(dirty), saved)),
+        "published": str(path_exists(spark, f"{run.output}/{MANIFEST}")),
+    }
+    report = read_json_report(spark, saved, "row_count long, status string")
+    kept = report.select(F.lit("saved_report").alias("fault"), F.concat_ws(" ", "status", "row_count").alias("message"))
+    return spark.createDataFrame(list(told.items()), "fault string, message string").unionByName(kept)
+
+
+def weather_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that accepted requests read, and what refused ones are told."""
+    path = _payload_path(spark, sf)
+    wanted = {
+        "all": {},
+        "place": {"latitude": 10.0},
+        "nowhere": {"latitude": -90.0, "longitude": 180.0},
+        "north": {"latitude": 90.5},
+        "west": {"longitude": -181.0},
+        "order": {"start": "2024-01-02", "end": "2024-01-01"},
+        "nothing": {"variables": []},
+    }
+
+    def answer(name: str, options: dict) -> DataFrame:
+        message = _told(lambda: read_columnar_json(spark, path, multi_line=False, **options))
+        rows = spark.range(0) if message else read_columnar_json(spark, path, multi_line=False, **options)[0]
+        return rows.agg(F.lit(name).alias("request"), F.count(F.lit(1)).alias("n_rows"), F.lit(message).cast("string").alias("message"))
+
+    return reduce(DataFrame.unionByName, [answer(k, v) for k, v in wanted.items()])
+
+
+def strict_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Strict casts of well-formed text, ISO text of timestamps, and NaN as null."""
+    orders = table(spark, sf, "orders")
+    price = F.when(F.col("o_orderkey") % 10 == 0, F.lit("NaN")).otherwise(F.col("o_totalprice").cast("string"))
+    text = orders.select("o_orderkey", F.col("o_orderdate").cast("string").alias("stamp"), price.alias("price"))
+    typed = text.select("o_orderkey", strict_timestamp("stamp").alias("stamp"), strict_double("price").alias("price"))
+    return typed.select("o_orderkey", "stamp", F.date_format("stamp", "yyyy-MM-dd'T'HH:mm:ss").alias("iso"), "price")
+
+
+def published_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail tables, report, training table and model of a run: written, published, and read back through the manifest."""
+    output = scratch_path(spark, "outputs")
+    run = RunFolder(spark, output)
+    with scratch_scope(spark) as scratch:
+        demand, companion = materialise(half_total(spark, sf)), materialise(weather(spark, sf).filter(F.hour(TS) != 3))
+        merged = materialise(joins.attach_weather(demand, companion))
+        write_merge_details(demand, companion, merged, run.path("details"))
+        reports.enforce(reports.demand_report(demand), run.path("verification/demand.json"))
+        rows = materialise(training(spark, sf))
+        write_training_table(rows, run.root)
+        model = fit_linear(rows, ["lag_1", "lag_48"], TARGET)
+        save_model(model, run.path("models/linear"))
+        write_parquet(predict(model, rows, [TS], TARGET), run.path("predictions"))
+        run.publish({"rows": rows.count()})
+    found = published(spark, output)
+    root = found["folder"]
+    csv = spark.read.option("header", True)
+    details = ["unmatched_demand_timestamps", "extra_weather_timestamps", "merged_rows_with_missing_weather"]
+    tables = {name: csv.csv(f"{root}/details/{name}").select(TS) for name in details}
+    again = spark.read.parquet(f"{root}/training_dataset.parquet")
+    scored = predict(load_model(f"{root}/models/linear"), again, [TS], TARGET, "again").join(spark.read.parquet(f"{root}/predictions").select(TS, "predicted"), TS)
+    tables |= {"training_parquet": again, "training_csv": csv.csv(f"{root}/training_dataset.csv"), "same_predictions": scored.filter("abs(again - predicted) < 1e-6")}
+    first = F.min(F.col(TS).cast("timestamp_ntz")).alias("first")
+    counted = [df.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("n_rows"), first) for name, df in tables.items()]
+    report = read_json_report(spark, f"{root}/verification/demand.json", "row_count long, timestamp struct<minimum_timestamp:string>")
+    stamp = F.col("timestamp.minimum_timestamp").cast("timestamp_ntz").alias("first")
+    counted.append(report.select(F.lit("report").alias("output"), F.col("row_count").alias("n_rows"), stamp))
+    told = -1 if path_exists(spark, scratch) else found["summary"]["rows"]
+    counted.append(spark.range(1).select(F.lit("manifest").alias("output"), F.lit(told).cast("long").alias("n_rows"), F.lit(None).cast("timestamp_ntz").alias("first")))
+    return reduce(DataFrame.unionByName, counted)
+
+
 def training_report_dirty(spark: SparkSession, sf: str) -> DataFrame:
     """Planted faults: a missing lag, an infinite temperature, rows in the wrong order."""
     k = F.col("place")
@@ -1019,6 +1124,10 @@ QUERIES: dict[str, Query] = {
     "weather_report": weather_report,
     "training_report": training_report,
     "training_report_dirty": training_report_dirty,
+    "fault_messages": fault_messages,
+    "weather_requests": weather_requests,
+    "strict_types": strict_types,
+    "published_outputs": published_outputs,
     "split_report": split_report,
     "split_report_by_series": split_report_by_series,
     "model_output_report": model_output_report,

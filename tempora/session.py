@@ -6,6 +6,8 @@ import shutil
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Derived key tables up to this many rows are broadcast (tens of MB); larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
+_SCOPES: list[str] = []
 
 
 def build_session(app_name: str = "tempora", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,8 +67,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/tempora/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, inside the scratch scope if one is open."""
+    return "/".join([checkpoint_root(spark).rstrip("/"), "tempora", *_SCOPES[-1:], f"{label}-{uuid.uuid4().hex}"])
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Stored steps of the block share one folder, removed when the block ends well: frames made inside are read no more then.
+
+    After an error the folder stays, for a look at what the step had read.
+    """
+    from tempora.sinks.runs import remove_path
+
+    _SCOPES.append(f"scope-{uuid.uuid4().hex}")
+    folder = f"{checkpoint_root(spark).rstrip('/')}/tempora/{_SCOPES[-1]}"
+    try:
+        yield folder
+    finally:
+        _SCOPES.pop()
+    remove_path(spark, folder)
 
 
 def materialise(df: DataFrame, label: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -126,9 +126,16 @@ def read_columnar_json(
     start: str | dt.date | None = None,
     end: str | dt.date | None = None,
     multi_line: bool = True,
+    latitude: float | None = None,
+    longitude: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(observations, metadata) of the documents at ``path``."""
+    """(observations, metadata) of the documents at ``path``; with a place, of that place's documents only."""
     variables = HOURLY_VARIABLES if variables is None else variables
-    check_request(start, end, None, None, variables)
+    check_request(start, end, latitude, longitude, variables)
     payloads = read_payloads(spark, path, variables, multi_line)
-    return payload_rows(payloads, variables, start, end), payload_metadata(payloads)
+    place = {k: v for k, v in (("latitude", latitude), ("longitude", longitude)) if v is not None}
+    for name, value in place.items():
+        payloads = payloads.filter(F.col(name) == F.lit(float(value)))
+    # A place without documents has no rows; a path without any is an error.
+    check = not place or not payloads.isEmpty()
+    return payload_rows(payloads, variables, start, end, check), payload_metadata(payloads)

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from tempora.plans.demand import clean_demand
-from tempora.plans.forecast import Budget, run_forecast
+from tempora.errors import DataQualityError, GuardError
+from tempora.plans.forecast import Budget, published_forecast, run_forecast
 from tempora.plans.training import training_table
 from tempora.plans.weather import clean_weather, weather_features
 from tempora.schemas import DERIVED_WEATHER_COLUMNS, HOURLY_VARIABLES, TARGET, TS, WEATHER_COLUMNS
+from tempora.session import materialise, scratch_path, scratch_scope
+from tempora.sinks.runs import RunFolder, path_exists, published
 
 START = dt.datetime(2025, 6, 1)
 DAYS = 16
@@ -113,3 +116,37 @@ def test_the_registered_custom_boosting_has_the_operators_size(spark, monkeypatc
     queries.gbt_custom(None, "")
     (e,) = fitted
     assert isinstance(e, GBTRegressor) and (e.getMaxIter(), e.getStepSize(), e.getMaxDepth()) == (500, 0.05, 6)
+
+
+def test_a_refused_run_publishes_nothing(spark, tmp_path):
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=30 * (i // 2)), 1.0) for i in range(40)]
+    demand = spark.createDataFrame(rows, "INTERVAL_DATETIME timestamp_ntz, OPERATIONAL_DEMAND double")
+    with pytest.raises(DataQualityError):
+        published_forecast(demand, demand.limit(0), str(tmp_path))
+    (folder,) = (tmp_path / "runs").iterdir()
+    saved = spark.read.text(str(folder / "verification/01_demand_validation.json"), wholetext=True).first()[0]
+    assert json.loads(saved)["failures"] == ["Some timestamps occur more than once."]
+    assert not (tmp_path / "manifest.json").exists()
+    with pytest.raises(GuardError, match="no published run"):
+        published(spark, str(tmp_path))
+
+
+def test_publishing_names_one_run_at_a_time(spark, tmp_path):
+    first, second = RunFolder(spark, str(tmp_path)), RunFolder(spark, f"{tmp_path}/")
+    first.publish({"status": "PASS"})
+    assert published(spark, str(tmp_path))["run"] == first.id
+    second.publish({"status": "PASS", "at": dt.datetime(2024, 1, 1)})
+    found = published(spark, str(tmp_path))
+    assert found["run"] == second.id and found["folder"] == second.root and found["summary"]["at"] == "2024-01-01T00:00:00"
+
+
+def test_scratch_goes_when_the_block_ends_well(spark):
+    with scratch_scope(spark) as folder:
+        kept = materialise(spark.range(5)).agg({"id": "sum"}).first()[0]
+        assert kept == 10 and path_exists(spark, folder)
+    assert not path_exists(spark, folder)
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark) as folder:
+        materialise(spark.range(5))
+        1 / 0
+    assert path_exists(spark, folder)
+    assert "scope-" not in scratch_path(spark, "later")
