@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from tempora.errors import GuardError
 from tempora.models.frames import FEATURES, assembler, check_fit_input, fit, fit_rows
-from tempora.models.trees import boosting_estimator
+from tempora.models.trees import DEFAULT_ROUNDS, boosting_estimator
 from tempora.operators.metrics import cv_summary
-from tempora.operators.split import expanding_folds
+from tempora.operators.split import fold_blocks
 from tempora.schemas import SEARCH_SPACE, SEED, TARGET, TS
 from tempora.session import materialise
 
 
+ROUNDS = "n_estimators"
+
+
 def draw_candidates(space: dict[str, list], n: int, seed: int = SEED) -> list[dict]:
     """``n`` different parameter sets, reproducible by seed (all of them when fewer exist)."""
     sizes = [len(v) for v in space.values()]
@@ -36,6 +39,14 @@ def draw_candidates(space: dict[str, list], n: int, seed: int = SEED) -> list[di
     return out
 
 
+def same_but_rounds(candidates: list[dict]) -> list[list[int]]:
+    """Positions of the candidates, together where only the number of rounds differs."""
+    families: dict[str, list[int]] = {}
+    for i, c in enumerate(candidates):
+        families.setdefault(json.dumps({k: v for k, v in c.items() if k != ROUNDS}, sort_keys=True), []).append(i)
+    return list(families.values())
+
+
 @dataclass
 class SearchResult:
     model: PipelineModel
@@ -59,9 +70,10 @@ def tune_boosted(
 ) -> SearchResult:
     """Mean validation MAE over expanding folds picks the winner, refitted on all of ``train``.
 
-    Every fit is a distributed job; ``parallelism`` bounds how many are submitted at once. The folds
-    are assembled and stored once and reused by all fits. A smaller search is a
-    smaller ``space`` or ``n_iter``; drawn values are used as they are.
+    Every fit is a distributed job; ``parallelism`` bounds how many are submitted at once. Rows are assembled and stored once, by
+    block of time, and every fold reads the blocks it needs. Candidates that differ only in their rounds share one
+    fit of the most rounds: its first trees are the smaller models, which one pass scores together; the fit's time is shared out
+    by rounds. A smaller search is a smaller ``space`` or ``n_iter``; drawn values are used as they are.
     """
     if n_iter < 1:
         raise GuardError("search: n_iter must be positive")
@@ -73,28 +85,27 @@ def tune_boosted(
     vectors = assembler(features).transform(base).select(
         *series, ts, FEATURES, F.col(target).cast("double").alias(target)
     )
-    # Stored by fold and role: each fit reads its own part only.
-    folds = materialise(
-        expanding_folds(materialise(vectors), n_splits, ts, series), "folds", partition_by=("fold", "role")
-    )
+    # One copy for all folds; partitions by block, so that a fold reads its own part only.
+    blocks = materialise(fold_blocks(materialise(vectors), n_splits, ts, series), "blocks", partition_by=("block",))
+    families = same_but_rounds(candidates)
 
-    def score(task: tuple[int, int]) -> tuple[int, int, float, float, float]:
-        c, f = task
-        rows = folds.filter(F.col("fold") == f)
-        estimator = boosting_estimator(candidates[c], seed, max_bins).setFeaturesCol(FEATURES).setLabelCol(target)
+    def score(task: tuple[list[int], int]) -> list[tuple[int, int, float, float, float]]:
+        members, f = task
+        rounds = [int(candidates[c].get(ROUNDS, DEFAULT_ROUNDS)) for c in members]
+        longest = {**candidates[members[0]], ROUNDS: max(rounds)}
+        estimator = boosting_estimator(longest, seed, max_bins).setFeaturesCol(FEATURES).setLabelCol(target)
+        train_part = fit_rows(blocks.filter(F.col("block") <= f).select(FEATURES, target))
         started = time.perf_counter()
-        model = estimator.fit(fit_rows(rows.filter("role = 'train'").select(FEATURES, target)))
+        model = estimator.fit(train_part)
         took = time.perf_counter() - started
-        error = F.abs(F.col(target) - F.col("prediction"))
-        mae = model.transform(rows).agg(
-            F.avg(F.when(F.col("role") == "test", error)).alias("test"),
-            F.avg(F.when(F.col("role") == "train", error)).alias("train"),
-        ).first()
-        return c, f, mae["test"], mae["train"], took
-
-    tasks = [(c, f) for c in range(len(candidates)) for f in range(n_splits)]
+        test_part = blocks.filter(F.col("block") == f + 1).select(FEATURES, target)
+        # Mean absolute error after each round.
+        tested, trained = (model.evaluateEachIteration(part, "absolute") for part in (test_part, train_part))
+        return [(c, f, float(tested[n - 1]), float(trained[n - 1]), took * n / max(rounds)) for c, n in zip(members, rounds, strict=True)]
+
+    tasks = [(members, f) for members in families for f in range(n_splits)]
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        scores = pool.map(score, tasks, chunksize=1)
+        scores = [s for found in pool.map(score, tasks, chunksize=1) for s in found]
     spark = train.sparkSession
     table = spark.createDataFrame(
         scores, "candidate int, fold int, validation_MAE double, training_MAE double, fit_time double"

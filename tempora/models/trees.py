@@ -61,10 +61,13 @@ def _check_boosting(p: dict) -> None:
             raise GuardError(f"boosted trees: {name} must lie in (0, 1]")
 
 
+DEFAULT_ROUNDS = 100
+
+
 def boosting_estimator(params: dict, seed: int = SEED, max_bins: int = MAX_BINS) -> GBTRegressor:
     """Library-neutral parameter names to Spark's; a name without a counterpart (L1, L2, gamma) raises."""
     known = {
-        "n_estimators": 100,
+        "n_estimators": DEFAULT_ROUNDS,
         "learning_rate": 0.3,
         "max_depth": 6,
         "min_child_weight": 1,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tempora.errors import GuardError
@@ -59,6 +61,28 @@ def split_part(df: DataFrame, *parts: str) -> DataFrame:
     return df.filter(F.col("split").isin(*parts)).drop("split")
 
 
+def _fold_ranks(n_splits: int) -> Callable[[Column], Column]:
+    def ranks(n: Column) -> Column:
+        size = F.floor(n / F.lit(n_splits + 1)).cast("bigint")
+        return F.array(*[n - F.lit(n_splits - i) * size for i in range(n_splits)])
+
+    return ranks
+
+
+def fold_blocks(df: DataFrame, n_splits: int = 4, ts: str = TS, series: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``block``: fold f of :func:`expanding_folds` trains on the blocks up to f and is tested on block f + 1.
+
+    Each row once, whatever the number of folds. Series with fewer than ``n_splits + 1`` rows have no folds and no rows here.
+    """
+    require_columns(df, [*series, ts], "folds")
+    if n_splits < 2:
+        raise GuardError("folds: at least two are needed")
+    rows = attach_cuts(df, order_statistics(df, _fold_ranks(n_splits), ts, series), series)
+    starts = [F.try_element_at("cuts", F.lit(i)) for i in range(n_splits)]
+    passed = sum((F.coalesce((F.col(ts) >= s).cast("int"), F.lit(0)) for s in starts), F.lit(0))
+    return rows.filter(F.col(ts).isNotNull() & starts[0].isNotNull()).withColumn("block", passed).select(*df.columns, "block")
+
+
 def expanding_folds(
     df: DataFrame, n_splits: int = 4, ts: str = TS, series: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -71,11 +95,7 @@ def expanding_folds(
     if n_splits < 2:
         raise GuardError("folds: at least two are needed")
 
-    def ranks(n: Column) -> Column:
-        size = F.floor(n / F.lit(n_splits + 1)).cast("bigint")
-        return F.array(*[n - F.lit(n_splits - i) * size for i in range(n_splits)])
-
-    rows = attach_cuts(df, order_statistics(df, ranks, ts, series), series)
+    rows = attach_cuts(df, order_statistics(df, _fold_ranks(n_splits), ts, series), series)
     member = rows.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
     start = F.try_element_at("cuts", F.col("fold"))
     end = F.try_element_at("cuts", F.col("fold") + 1)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import numpy as np
 import pytest
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 from tempora.errors import GuardError
 from tempora.models.frames import check_fit_input, importance_table, load_model, predict, save_model
 from tempora.models.linear import fit_linear, fit_ridge
+from tempora.models import search
 from tempora.models.search import draw_candidates, tune_boosted
 from tempora.models.trees import boosting_estimator, fit_boosted, fit_boosted_default, fit_random_forest
 from tempora.operators import metrics
 from tempora.operators.scaling import fit_scaler, scale_with
-from tempora.operators.split import chronological_split, expanding_folds, split_part
+from tempora.operators.split import chronological_split, expanding_folds, fold_blocks, split_part
 from tempora.schemas import SEARCH_SPACE
 
 START = dt.datetime(2024, 1, 1)
@@ -234,3 +236,37 @@ def test_search(matrix):
     for bad in ({"n_iter": 0}, {"n_splits": 1}):
         with pytest.raises(GuardError):
             tune_boosted(df, ["a"], "y", "ts", **bad)
+
+
+def test_candidates_that_differ_in_rounds_share_a_fit(spark, monkeypatch):
+    rnd = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(hours=i), float(i % 7), rnd.random(), 3.0 * (i % 7) + rnd.random()) for i in range(120)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, a double, b double, y double")
+    fits = []
+    plain = search.boosting_estimator
+    monkeypatch.setattr(search, "boosting_estimator", lambda p, *rest: fits.append(dict(p)) or plain(p, *rest))
+    space = {"n_estimators": [2, 5, 9], "learning_rate": [0.2], "max_depth": [2], "subsample": [1.0]}
+    found = tune_boosted(df, ["a", "b"], "y", "ts", n_iter=3, n_splits=2, space=space, max_bins=16)
+    assert [f["n_estimators"] for f in fits[:2]] == [9, 9] and len(fits) == 3  # two folds, one refit
+    # Each score is what a fit of just these rounds gives.
+    blocks = fold_blocks(df, 2, "ts").cache()
+    for r in found.results.collect():
+        p, maes = json.loads(r["params"]), []
+        for f in range(2):
+            train = blocks.filter(F.col("block") <= f).drop("block")
+            model = fit_boosted_default(train, ["a", "b"], "y", max_bins=16, check=False, **p)
+            error = F.avg(F.abs(F.col("actual") - F.col("predicted")))
+            maes.append(predict(model, blocks.filter(F.col("block") == f + 1), ["ts"], "y").agg(error).first()[0])
+        assert r["mean_validation_MAE"] == pytest.approx(sum(maes) / 2)
+
+
+def test_fold_blocks_hold_each_row_once(spark):
+    rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for k, n in (("a", 23), ("b", 11), ("short", 3)) for i in range(n)] + [("a", None)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz").cache()
+    blocks = fold_blocks(df, 4, "ts", ("k",)).cache()
+    assert blocks.count() == 34
+    for f in range(4):
+        want = {(r["k"], r["ts"]): r["role"] for r in expanding_folds(df, 4, "ts", ("k",)).filter(F.col("fold") == f).collect()}
+        got = {(r["k"], r["ts"]): "train" if r["block"] <= f else "test" for r in blocks.filter(F.col("block") <= f + 1).collect()}
+        assert got == want
