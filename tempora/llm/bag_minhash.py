@@ -7,7 +7,9 @@ agree in a register with a probability equal to their weighted Jaccard similarit
 point is later than every register of its document, so most shingles need one or two points.
 
 Signatures are cut into bands. Documents that share a band are compared with pivots of their bucket, by the exact
-overlap of their multisets, until each bucket's documents are in one class or all compared.
+overlap of their multisets, until each bucket's documents are in one class or all compared. After the first pivots, pairs
+whose multisets cannot overlap enough are left out: shingles that no other undecided document has count for nothing, and
+the others are counted in groups, so that the sum of the groups' lesser counts bounds the overlap from above.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tempora.llm.common import ship, slices, stored
 
@@ -30,6 +32,8 @@ BANDS, BAND_ROWS = 40, 7
 FULL_BUCKET = 8
 #: The first round looks at so many bands only: most near copies join there and need no comparison in the others.
 FIRST_BANDS = 4
+#: From this round on, overlaps are bounded before pairs are made, by the counts of so many groups of shingles.
+BOUND_ROUND, GROUPS = 2, 16
 #: Candidates that agree in fewer registers than this many standard deviations below the mean at the limit are not read.
 DEVIATIONS = 5
 HASH_BITS = 44
@@ -220,9 +224,41 @@ def undecided(buckets: DataFrame) -> DataFrame:
     return buckets.join(about.where(F.col("lo") != F.col("hi")).drop("lo", "hi"), "key")
 
 
-def candidates(live: DataFrame, round_no: int) -> tuple[DataFrame, DataFrame]:
+def shared_counts(texts: DataFrame) -> DataFrame:
+    """(node, total, shared array<int>): a text's shingles, and those of each group that another row of ``texts`` has too.
+
+    A shingle of one text is found by its count, combined map-side, whose only node is then its owner: nothing is joined
+    back, and a shingle of all texts is one row a task. ``texts``: (node, text), one row a node.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 2 << 20):
+            keys, counts = shingles([t.encode() for t in part.column("text").to_pylist()])
+            ends = np.searchsorted(keys >> np.uint64(HASH_BITS), np.arange(part.num_rows + 1, dtype=np.uint64)).astype(np.int32)
+            owner, item = (keys >> np.uint64(HASH_BITS)).astype(np.int64), (keys & MASK).astype(np.int64)
+            sums = np.bincount(owner * GROUPS + item % GROUPS, counts, part.num_rows * GROUPS).astype(np.int32).reshape(-1, GROUPS)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (item, counts.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([part.column("node"), *lists, pa.array(list(sums), pa.list_(pa.int32()))], ["node", "items", "counts", "sums"])
+
+    bags = stored(texts.select("node", "text").mapInArrow(run, "node long, items array<bigint>, counts array<int>, sums array<int>"), "bags")
+    rows = bags.select("node", F.explode(F.arrays_zip("items", "counts")).alias("x")).select("node", F.col("x.items").alias("item"), F.col("x.counts").alias("w"))
+    alone = rows.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("w").alias("w")).where("n = 1")
+    lost = [F.sum(F.when(F.col("item") % GROUPS == g, F.col("w")).otherwise(0)).alias(f"lost_{g}") for g in range(GROUPS)]
+    shared = F.array(*[(F.col("sums")[g] - F.coalesce(f"lost_{g}", F.lit(0))).cast("int") for g in range(GROUPS)])
+    total = sum((F.col("sums")[g].cast("long") for g in range(GROUPS)), F.lit(0).cast("long"))
+    return bags.select("node", "sums").join(alone.groupBy("node").agg(*lost), "node", "left").select("node", total.alias("total"), shared.alias("shared"))
+
+
+def may_reach(common: Column, total_a: Column, total_b: Column, percent: int) -> Column:
+    """Whether an overlap of ``common`` shingles would make two texts similar."""
+    return 100 * common >= percent * (total_a + total_b - common)
+
+
+def candidates(live: DataFrame, round_no: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(a, b) to compare now, and the rows of ``live`` that are left for later rounds.
 
+    If ``live`` has ``total`` and ``shared``, pairs that these rule out are not made; they need no comparison.
+
     Buckets of up to FULL_BUCKET nodes: all pairs of different labels. Larger ones: pivots, namely the smallest node and
     the nodes whose hash falls into a share of (4^(round - 1) - 1) / n, meet all nodes of other labels; then they are done
     with, as every pair that they are part of is decided. A bucket whose nodes never join is thus compared in full in the
@@ -233,9 +269,14 @@ def candidates(live: DataFrame, round_no: int) -> tuple[DataFrame, DataFrame]:
     pivot = small | (F.col("node") == F.col("first")) | (draw < (4.0 ** max(0, round_no - 1) - 1) / F.col("n"))
     turn = F.col("band") < FIRST_BANDS if round_no == 0 else F.lit(True)
     marked = live.withColumn("pivot", pivot & turn)
-    left = marked.where("pivot").select("key", F.col("node").alias("a"), F.col("label").alias("label_a"))
-    right = marked.where(turn).select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("pivot").alias("pivot_b"))
-    met = left.join(right, "key").where((F.col("label_a") != F.col("label_b")) & (~F.col("pivot_b") | (F.col("a") < F.col("b"))))
+    more = [c for c in ("total", "shared") if c in live.columns]
+    left = marked.where("pivot").select("key", F.col("node").alias("a"), F.col("label").alias("label_a"), *[F.col(c).alias(f"{c}_a") for c in more])
+    right = marked.where(turn).select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("pivot").alias("pivot_b"), *[F.col(c).alias(f"{c}_b") for c in more])
+    fits = (F.col("label_a") != F.col("label_b")) & (~F.col("pivot_b") | (F.col("a") < F.col("b")))
+    if more:
+        most = sum((F.least(F.col("shared_a")[g], F.col("shared_b")[g]).cast("long") for g in range(GROUPS)), F.lit(0).cast("long"))
+        fits = fits & may_reach(most, F.col("total_a"), F.col("total_b"), percent)
+    met = left.join(right, "key").where(fits)
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs, marked.where(~F.col("pivot")).select("key", "band", "node", "label")
 
@@ -262,9 +303,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     texts = stored(found.groupBy("node").agg(F.min("text").alias("text")), "texts")
     tested = spark.createDataFrame([], "a long, b long")
     edges = spark.createDataFrame([], "u long, v long")
-    round_no = 0
+    round_no, bounds = 0, None
     while not (live := stored(undecided(buckets), "undecided")).isEmpty():
-        pairs, rest = candidates(live, round_no)
+        if round_no == BOUND_ROUND:
+            # What is live now was in large buckets only, with texts of other labels: all that it can still be similar to.
+            counts = stored(shared_counts(texts.join(live.select("node").distinct(), "node")), "bounds")
+            own_most = sum((F.col("shared")[g].cast("long") for g in range(GROUPS)), F.lit(0).cast("long"))
+            bounds = counts.where(may_reach(own_most, F.col("total"), own_most, percent))
+        if bounds is not None:
+            live = live.join(bounds, "node")
+        pairs, rest = candidates(live, round_no, percent)
         pairs = stored(likely(pairs.join(tested, ["a", "b"], "left_anti"), marks, percent), "pairs")
         links = stored(verified(pairs, texts, percent).select(F.col("b").alias("u"), F.col("a").alias("v")), "similar")
         tested = tested.unionByName(pairs)
