@@ -353,8 +353,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     twin = F.xxhash64(text)
-    keyed = docs.select(F.col(id_col).alias("id"), twin.alias("twin"), text.alias("text")).where(F.octet_length(text) >= WINDOW)
-    spans = repeated_spans(keyed, most_sorted)
+    every = docs.select(F.col(id_col).alias("id"), twin.alias("twin"), text.alias("text")).where(F.octet_length(text) >= WINDOW)
+    # Rows that repeat both id and text lose all; one of them stands for the others, so that contexts and spans do not multiply.
+    again = every.groupBy("id", "twin").agg(F.count("*").alias("copies"), F.max(F.octet_length("text")).alias("bytes")).where("copies > 1")
+    again = stored(again.select(F.col("id").alias("again"), F.col("twin").alias("again_twin"), F.col("bytes").cast("long").alias("bytes")), "repeated-rows")
+    repeated = F.col("id").eqNullSafe(F.col("again")) & (F.col("twin") == F.col("again_twin"))
+    example = every.join(again, repeated, "left_semi").groupBy("id", "twin").agg(F.min("text").alias("text"))
+    keyed = every.join(again, repeated, "left_anti").unionByName(stored(example, "repeated-texts"))
+    spans = repeated_spans(keyed, most_sorted).join(again, repeated, "left_anti")
+    spans = spans.unionByName(again.select(F.col("again").alias("id"), F.col("again_twin").alias("twin"), F.lit(0).cast("long").alias("start"), F.col("bytes").alias("end")))
     lists = spans.groupBy(F.col("id").alias("__of"), F.col("twin").alias("__of_twin")).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     lists = stored(lists, "spans")
     names = docs.columns

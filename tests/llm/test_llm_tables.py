@@ -86,6 +86,32 @@ def test_classes_of_near_copies_match_all_pairs(spark, monkeypatch):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_bounded_pairs_lose_no_link(spark, monkeypatch):
+    """One bucket-filling group around the limit, many of them below it to all others: pivots, bounds and further rounds."""
+    monkeypatch.setattr(bag_minhash, "FULL_BUCKET", 2)
+    rng = random.Random(11)
+    rows = list(enumerate(near_copies(rng, 2, 60, 100, 12)))
+    monkeypatch.setattr(bag_minhash, "DEVIATIONS", 40)  # registers rule out nothing: what is left out is left out by bounds
+    rounds = []
+    real = bag_minhash.candidates
+    monkeypatch.setattr(bag_minhash, "candidates", lambda live, no, percent: rounds.append("shared" in live.columns) or real(live, no, percent))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=40, rows=4).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == classes(rows)
+    assert any(rounds) and len(set(classes(rows).values())) > 2
+
+
+def test_shared_counts_bound_every_overlap(spark):
+    rng = random.Random(3)
+    rows = list(enumerate([*near_copies(rng, 1, 12, 60, 9), "one two three", "same " * 40, "same " * 30]))
+    found = {r["node"]: r for r in bag_minhash.shared_counts(spark.createDataFrame(rows, "node long, text string")).collect()}
+    bags = {i: bag(t) for i, t in rows}
+    for i, b in bags.items():
+        others = set().union(*[set(x) for j, x in bags.items() if j != i])
+        assert found[i]["total"] == sum(b.values()) and sum(found[i]["shared"]) == sum(n for w, n in b.items() if w in others)
+    for i, j in itertools.combinations(bags, 2):
+        assert sum(map(min, found[i]["shared"], found[j]["shared"])) >= sum((bags[i] & bags[j]).values())
+
+
 def removed(rows, window=200):
     counts = Counter()
     raw = [(t or "").encode() for _, t in rows]
@@ -345,3 +371,13 @@ def test_windows_have_one_anchor_each():
             starts[t, s] += 1
             assert s <= at <= s + 5
     assert starts == Counter((t, s) for t, r in enumerate(small) for s in range(len(r) - 8))
+
+
+def test_rows_that_repeat_id_and_text_do_not_multiply(spark):
+    rng = random.Random(5)
+    whole = "".join(rng.choice("abcdefghij ") for _ in range(1000))
+    rows = [(None, whole)] * 3000 + [(1, whole[:500] + "x" * 300), (2, whole[700:] + "short"), (3, "unlike " + whole[:150]), (4, None)]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    counts = {(r["doc_id"], len(r["repeat_kept"]), len(r["repeat_spans"])): r["n"] for r in got.groupBy("doc_id", "repeat_kept", "repeat_spans").agg(F.count("*").alias("n")).collect()}
+    # 300 letters x hold 200-byte strings that repeat inside the text, so nothing of row 1 is left.
+    assert counts == {(None, 0, 1): 3000, (1, 0, 1): 1, (2, 5, 1): 1, (3, 157, 0): 1, (4, 0, 0): 1}
