@@ -28,8 +28,8 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: 40 bands of 7 registers: a pair at 0.8 is missed with a probability of (1 - 0.8^7)^40 < 1e-4, one at 0.85 of 1e-6.
 BANDS, BAND_ROWS = 40, 7
-#: Buckets of at most this many distinct texts are compared in full; larger ones by pivots, four times as many each round.
-FULL_BUCKET = 8
+#: Buckets of at most this many distinct texts are compared in full; larger ones by pivots, so many times as many each round.
+FULL_BUCKET, GROWTH = 8, 16
 #: The first round looks at so many bands only: most near copies join there and need no comparison in the others.
 FIRST_BANDS = 4
 #: From this round on, overlaps are bounded before pairs are made, by the counts of so many groups of shingles.
@@ -260,13 +260,13 @@ def candidates(live: DataFrame, round_no: int, percent: int) -> tuple[DataFrame,
     If ``live`` has ``total`` and ``shared``, pairs that these rule out are not made; they need no comparison.
 
     Buckets of up to FULL_BUCKET nodes: all pairs of different labels. Larger ones: pivots, namely the smallest node and
-    the nodes whose hash falls into a share of (4^(round - 1) - 1) / n, meet all nodes of other labels; then they are done
+    the nodes whose hash falls into a share of (GROWTH^(round - 1) - 1) / n, meet all nodes of other labels; then they are done
     with, as every pair that they are part of is decided. A bucket whose nodes never join is thus compared in full in the
     end. Round 0 leaves all but the first bands as they are.
     """
     small = F.col("n") <= FULL_BUCKET
     draw = (F.xxhash64(F.lit(round_no), "node") % (1 << 20) + (1 << 20)) / float(1 << 21)
-    pivot = small | (F.col("node") == F.col("first")) | (draw < (4.0 ** max(0, round_no - 1) - 1) / F.col("n"))
+    pivot = small | (F.col("node") == F.col("first")) | (draw < (float(GROWTH) ** max(0, round_no - 1) - 1) / F.col("n"))
     turn = F.col("band") < FIRST_BANDS if round_no == 0 else F.lit(True)
     marked = live.withColumn("pivot", pivot & turn)
     more = [c for c in ("total", "shared") if c in live.columns]
@@ -278,7 +278,7 @@ def candidates(live: DataFrame, round_no: int, percent: int) -> tuple[DataFrame,
         fits = fits & may_reach(most, F.col("total_a"), F.col("total_b"), percent)
     met = left.join(right, "key").where(fits)
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs, marked.where(~F.col("pivot")).select("key", "band", "node", "label")
+    return pairs, marked.where(~F.col("pivot")).select("key", "band", "node", "label", *more)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
@@ -303,15 +303,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     texts = stored(found.groupBy("node").agg(F.min("text").alias("text")), "texts")
     tested = spark.createDataFrame([], "a long, b long")
     edges = spark.createDataFrame([], "u long, v long")
-    round_no, bounds = 0, None
+    round_no = 0
     while not (live := stored(undecided(buckets), "undecided")).isEmpty():
         if round_no == BOUND_ROUND:
             # What is live now was in large buckets only, with texts of other labels: all that it can still be similar to.
             counts = stored(shared_counts(texts.join(live.select("node").distinct(), "node")), "bounds")
             own_most = sum((F.col("shared")[g].cast("long") for g in range(GROUPS)), F.lit(0).cast("long"))
             bounds = counts.where(may_reach(own_most, F.col("total"), own_most, percent))
-        if bounds is not None:
-            live = live.join(bounds, "node")
+            live = stored(live.join(bounds, "node"), "undecided")  # the rows of later rounds keep their bounds
         pairs, rest = candidates(live, round_no, percent)
         pairs = stored(likely(pairs.join(tested, ["a", "b"], "left_anti"), marks, percent), "pairs")
         links = stored(verified(pairs, texts, percent).select(F.col("b").alias("u"), F.col("a").alias("v")), "similar")
@@ -319,7 +318,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
         # Labels are minima after one step: finer than components, at worst, which only costs comparisons.
         edges = star_step(edges.unionByName(links))
         labels = edges.groupBy(F.col("u").alias("of")).agg(F.min("v").alias("new"))
-        buckets = rest.join(labels, F.col("node") == F.col("of"), "left").select("key", "band", "node", F.coalesce("new", "node").alias("label"))
+        buckets = rest.join(labels, F.col("node") == F.col("of"), "left").drop("of", "label").withColumn("label", F.coalesce("new", "node")).drop("new")
         round_no += 1
     while not finished(edges):
         edges = star_step(edges)
