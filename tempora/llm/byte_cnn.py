@@ -7,13 +7,14 @@ For prediction, embedding and filters are folded into one table per filter offse
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tempora.llm.common import ship, slices
+from tempora.llm.common import ship, slices, stored
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -27,6 +28,8 @@ LEAST_STEPS = 800
 NO_LANGUAGE = "und"
 #: Share of the right predictions on held-out texts that ``least_score`` leaves below it.
 REJECTED_RIGHT = 0.01
+#: Parts of a range that are counted side by side to find a quantile, and values that are ordered instead.
+QUANTILE_PARTS = 4096
 
 
 def held_out(doc_id: str) -> Column:
@@ -177,17 +180,47 @@ def fit_language(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows
     return net
 
 
-def least_score(docs: DataFrame, net: ByteNet | None, sample_docs: int = SAMPLE_DOCS, rejected: float = REJECTED_RIGHT) -> float:
+def value_at(values: DataFrame, column: str, rank: int, n: int) -> float:
+    """The value at a 0-based position in the order of ``column``, of ``n`` rows without nulls.
+
+    Counts of equal parts of the range name the part that holds the position, which is cut again until it is small.
+    """
+    value = F.col(column)
+    while n > QUANTILE_PARTS:
+        lo, hi = values.agg(F.min(value), F.max(value)).first()
+        if lo == hi:
+            return lo
+        part = F.floor((value - lo) / (hi - lo) * QUANTILE_PARTS)
+        for k, n in sorted(map(tuple, values.groupBy(part.alias("part")).count().collect())):  # QUANTILE_PARTS + 1 rows at most
+            if rank < n:
+                break
+            rank -= n
+        values = values.where(part == k)
+    return sorted(r[0] for r in values.select(value).collect())[rank]  # QUANTILE_PARTS rows at most
+
+
+def exact_quantile(values: DataFrame, column: str, share: float) -> float | None:
+    """What ``percentile`` gives, without its buffer of all values; None if there are none. ``values`` is read several times."""
+    known = values.where(F.col(column).isNotNull())
+    n = known.count()
+    if not n:
+        return None
+    at = share * (n - 1)
+    below, above = math.floor(at), math.ceil(at)
+    low, high = (value_at(known, column, rank, n) for rank in (below, above))
+    return low if low == high else (above - at) * low + (at - below) * high
+
+
+def least_score(docs: DataFrame, net: ByteNet | None, rejected: float = REJECTED_RIGHT) -> float:
     """The score that all but a share ``rejected`` of the right predictions on held-out documents reach; 0 without any.
 
-    Read from about ``sample_docs`` different documents of each language, whole texts; repeated rows count as often as they occur.
+    Read from every held-out document, whole texts; repeated rows count as often as they occur.
     """
-    held = labelled(docs).where(F.col("__held"))
-    share = sample_share(held, sample_docs) if net is not None else None
-    if share is None:
+    if net is None:
         return 0.0
-    told = with_language(held.where(share).select("__lang", F.col("__text").alias("text")), net)
-    low = told.where(F.col("__lang") == F.col("__lang_pred")).agg(F.percentile("__lang_score", rejected)).first()[0]
+    held = labelled(docs).where(F.col("__held")).select("__lang", F.col("__text").alias("text"))
+    right = with_language(held, net).where(F.col("__lang") == F.col("__lang_pred"))
+    low = exact_quantile(stored(right.select("__lang_score"), "scores"), "__lang_score", rejected)
     return max(0.0, low - 1e-9) if low is not None else 0.0
 
 

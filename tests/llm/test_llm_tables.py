@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tempora.llm import bag_minhash, suffix_groups
 from tempora.llm.bag_minhash import near_duplicates, shingles, signatures
+from tempora.llm import byte_cnn
 from tempora.llm.byte_cnn import ByteNet, fit_language, identify_language, least_score, predict_language
 from tempora.llm.common import hashed_ranks
 from tempora.llm.pfair_mix import deal, mix_sources, one_period, schedule, whole_shares
@@ -213,6 +214,25 @@ def test_texts_of_no_learned_language_are_rejected(spark):
     assert least_score(docs.where("lang IS NULL"), None) == 0.0
 
 
+def test_least_score_reads_every_held_out_document(spark, monkeypatch):
+    told = lambda df, net: df.withColumns({"__lang_pred": F.lit("aa"), "__lang_score": F.col("text").cast("double")})
+    monkeypatch.setattr(byte_cnn, "with_language", told)
+    n = 30_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") * 7919 % n / n).cast("string").alias("text"), F.lit("aa").alias("lang"))
+    scores = [i * 7919 % n / n for i in range(n) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert len(scores) > 5000 and least_score(docs, ByteNet(["aa"])) == pytest.approx(np.percentile(scores, 1) - 1e-9, abs=1e-12)
+
+
+def test_exact_quantiles_without_ordering_all_values(spark, monkeypatch):
+    monkeypatch.setattr(byte_cnn, "QUANTILE_PARTS", 4)
+    rng = random.Random(3)
+    for values in ([0.5], [0.25] * 40, [rng.random() for _ in range(300)], [rng.choice([0.1, 0.1 + 2**-52, 0.9]) for _ in range(60)]):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+        for share in (0.0, 0.01, 0.5, 1.0):
+            assert byte_cnn.exact_quantile(df, "v", share) == df.agg(F.percentile("v", share)).first()[0], (values, share)
+    assert byte_cnn.exact_quantile(df.limit(0), "v", 0.5) is None
+
+
 def test_training_sample_is_bounded_for_null_and_repeated_ids(spark, monkeypatch):
     rows = [(None, f"some text {i}", "aa", None, None) for i in range(900)] + [(3, f"other text {i}", "bb", None, None) for i in range(900)] + [(4, "same text", "bb", None, None)] * 300
     docs, seen = spark.createDataFrame(rows, DOCS), []
