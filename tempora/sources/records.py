@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tempora.errors import IngestError
 from tempora.schemas import SOURCE_FILE
+from tempora.session import materialise, sized
 
 #: Fields with their commas, then a quoted field that does not end. Quotes count at the start of a field only; a doubled one
 #: stands for itself.
@@ -38,28 +39,37 @@ def _composed(df: DataFrame, partition: list[str], order: str) -> DataFrame:
 
 
 def whole_records(lines: DataFrame, broken: DataFrame, position: str, split_lines: int) -> DataFrame:
-    """``lines`` with one row per record in the files that ``broken`` names: texts joined by line feeds, at their first position."""
+    """``lines`` with one row per record in the files that ``broken`` names: texts joined by line feeds, at their first position.
+
+    Lines are ordered once, inside their split, and stored with what they are in either state that the split may begin in; one row a
+    split then tells which holds. The records are stored as well: their readers pass over them several times.
+    """
     files, rest = lines.join(broken, SOURCE_FILE, "left_semi"), lines.join(broken, SOURCE_FILE, "left_anti")
-    split = F.floor(F.col(position) / F.lit(split_lines)).cast("long")
+    split, row = F.expr(f"`{position}` div {split_lines}"), F.expr(f"cast(`{position}` % {split_lines} as bigint)")
     value = F.col("value")
-    mapped = files.withColumns({"__split": split, "__out": ends_open(value), "__in": ends_open(F.concat(F.lit('"'), value))})
-    inside = _composed(mapped, [SOURCE_FILE, "__split"], position)
-    # One row a split: the map of all its lines, then the state in which it begins.
-    last = F.max_by(F.struct("__fixed", "__flip"), position)
-    splits = inside.groupBy(SOURCE_FILE, "__split").agg(last.alias("m")).select(SOURCE_FILE, "__split", F.coalesce("m.__fixed", "m.__flip").alias("__out"), F.coalesce(F.col("m.__fixed"), ~F.col("m.__flip")).alias("__in"))
+    mapped = files.withColumns({"__split": split, "__row": row, "__out": ends_open(value), "__in": ends_open(F.concat(F.lit('"'), value))})
+    inside = _composed(mapped, [SOURCE_FILE, "__split"], "__row")
+    by_split = Window.partitionBy(SOURCE_FILE, "__split").orderBy("__row")
+    upto = by_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    states = ("out", "in")
+    # Where a line ends, whether it is the first of a record, and the records of the split so far: for each state before the split.
+    inside = inside.withColumns({"__ends_out": F.coalesce("__fixed", "__flip"), "__ends_in": F.coalesce(F.col("__fixed"), ~F.col("__flip"))})
+    inside = inside.withColumns({f"__first_{s}": F.coalesce(~F.lag(f"__ends_{s}", 1).over(by_split), F.lit(s == "out")) for s in states})
+    inside = inside.withColumns({f"__number_{s}": F.sum(F.col(f"__first_{s}").cast("long")).over(upto) for s in states})
+    kept = [f"__{what}_{s}" for what in ("ends", "first", "number") for s in states]
+    inside = materialise(inside.select(*lines.columns, "__split", "__row", *kept), "lines")
+    # One row a split: the map of all its lines and their records, then the state in which it begins.
+    last = [F.max_by(f"__ends_{s}", "__row").alias(f"__{s}") for s in states]
+    splits = inside.groupBy(SOURCE_FILE, "__split").agg(*last, *[F.max(f"__number_{s}").alias(f"__n_{s}") for s in states])
     by_file = Window.partitionBy(SOURCE_FILE).orderBy("__split")
-    begun = _composed(splits, [SOURCE_FILE], "__split")
-    begins = begun.select(SOURCE_FILE, "__split", F.lag(F.coalesce("__fixed", "__flip"), 1, False).over(by_file).alias("__begins"))
-    at = inside.join(begins, [SOURCE_FILE, "__split"])
-    by_split = Window.partitionBy(SOURCE_FILE, "__split").orderBy(position)
-    at = at.withColumn("__ends", F.coalesce(F.col("__fixed"), F.col("__begins") != F.col("__flip")))
-    at = at.withColumn("__first", ~F.lag("__ends", 1).over(by_split)).withColumn("__first", F.coalesce("__first", ~F.col("__begins")))
-    at = at.withColumn("__number", F.sum(F.col("__first").cast("long")).over(by_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    begun = _composed(splits, [SOURCE_FILE], "__split").withColumn("__begins", F.lag(F.coalesce("__fixed", "__flip"), 1, False).over(by_file))
     # A split that begins inside a record goes on with the last record of the splits before.
-    records = at.groupBy(SOURCE_FILE, "__split").agg(F.max("__number").alias("n"))
+    counted = begun.withColumn("__n", F.when(F.col("__begins"), F.col("__n_in")).otherwise(F.col("__n_out")))
     before = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    owner = F.last(F.when(F.col("n") > 0, F.struct(F.col("__split").alias("split"), F.col("n").alias("number"))), ignorenulls=True).over(before)
-    at = at.join(records.select(SOURCE_FILE, "__split", owner.alias("__owner")), [SOURCE_FILE, "__split"])
+    owner = F.last(F.when(F.col("__n") > 0, F.struct(F.col("__split").alias("split"), F.col("__n").alias("number"))), ignorenulls=True).over(before)
+    starts = sized(counted.select(SOURCE_FILE, "__split", "__begins", owner.alias("__owner")), "splits")
+    at = inside.join(starts, [SOURCE_FILE, "__split"])
+    at = at.withColumns({f"__{what}": F.when(F.col("__begins"), F.col(f"__{what}_in")).otherwise(F.col(f"__{what}_out")) for what in ("ends", "first", "number")})
     own = F.struct(F.col("__split").alias("split"), F.col("__number").alias("number"))
     at = at.withColumn("__record", F.when(F.col("__number") > 0, own).otherwise(F.col("__owner")))
     whole = F.col("__first") & ~F.col("__ends")
@@ -72,4 +82,5 @@ def whole_records(lines: DataFrame, broken: DataFrame, position: str, split_line
     pieces = F.sort_array(F.collect_list(F.struct(position, "value")))
     grouped = parts.groupBy(SOURCE_FILE, "__record").agg(F.min(position).alias(position), pieces.alias("p"), *[F.max(c).alias(c) for c in others])
     joined = grouped.withColumn("value", F.array_join(F.transform("p", lambda p: p["value"]), "\n"))
-    return rest.unionByName(at.filter(whole).select(*lines.columns)).unionByName(joined.select(*lines.columns))
+    records = materialise(at.filter(whole).select(*lines.columns).unionByName(joined.select(*lines.columns)), "records")
+    return rest.unionByName(records)

@@ -72,3 +72,14 @@ def test_line_maps(spark):
     cases = {'a,b': False, '"a","b"': False, '"a': True, 'a,"b': True, 'a"b,"c': True, 'a"b': False, '"a""': True, '"a"""': False, ',"': True, '"a"x,"': True, "": False, '"a, b': True}
     rows = spark.createDataFrame([(k,) for k in cases], "v string")
     assert {r["v"]: r["o"] for r in rows.select("v", records.ends_open(rows["v"]).alias("o")).collect()} == cases
+
+
+def test_lines_are_ordered_and_joined_once(spark, tmp_path):
+    """What reads the records goes over stored ones: the windows and groups that made them do not run again."""
+    text = made(random_rows(random.Random(9), 60))
+    (tmp_path / "a.csv").write_text(text, encoding="utf-8", newline="")
+    (tmp_path / "b.csv").write_text(HEAD + "D,d,a,1,plain,row,1\n")
+    found = read_tagged_csv(spark, str(tmp_path))
+    assert got(found) == [*plain(text), ["D", "d", "a", "1", "plain", "row", "1"]]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
