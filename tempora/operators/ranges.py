@@ -12,6 +12,9 @@ from tempora.session import materialise, sized
 
 #: Bins of one histogram of a series, and the rows of a bin that are ordered instead of being cut again.
 BINS, LEAF_ROWS = 4096, 65_536
+#: Blocks that a table is dealt into, unless they would hold over CHUNK_ROWS rows: each costs a task, a stored file and its
+#: share of the sampled borders, all of which the driver hears of.
+MOST_BLOCKS = 512
 
 
 def _windows(asked: DataFrame, series: tuple[str, ...]) -> DataFrame:
@@ -87,9 +90,11 @@ def order_statistics(
 def ranged_blocks(df: DataFrame, order: Sequence[str], block_rows: int = CHUNK_ROWS) -> DataFrame:
     """``df`` dealt into blocks of about ``block_rows`` rows that follow one another in ``order``, with the block's number.
 
-    Borders are quantiles that Spark samples, so positions may be as uneven as they like; equal ones share a block.
+    Blocks are larger where more than MOST_BLOCKS of them would be needed. Borders are quantiles that Spark samples, so positions
+    may be as uneven as they like; equal ones share a block.
     """
-    blocks = max(1, -(-df.select(*order).count() // block_rows))
+    rows = df.select(*order).count()
+    blocks = max(1, min(-(-rows // block_rows), max(MOST_BLOCKS, -(-rows // CHUNK_ROWS))))
     return df.repartitionByRange(blocks, *order).withColumn("__block", F.spark_partition_id())
 
 

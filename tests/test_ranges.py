@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tempora.operators.ranges import order_statistics, ranged_blocks, row_index
+from tempora.operators.ranges import MOST_BLOCKS, order_statistics, ranged_blocks, row_index
 from tempora.operators.split import chronological_split, expanding_folds
 from tempora.operators.windows import add_far_lags, add_lag_features, add_time_lags, order_check
 from tempora.quality.reports import demand_report, training_report
@@ -100,3 +100,12 @@ def test_reports_see_rows_out_of_order(spark):
     report = training_report(df, ordinal="place").first()
     assert report["status"] == "FAIL" and "order" in " ".join(report["failures"])
     assert training_report(df.withColumn("place", -F.col("place")), ordinal="place").first()["status"] == "PASS"
+
+
+def test_many_small_blocks_do_not_make_as_many_tasks(spark):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3000).alias("n"))
+    assert ranged_blocks(df, ["n"], 1).select("__block").distinct().count() <= MOST_BLOCKS
+    assert ranged_blocks(df, ["n"], 300).rdd.getNumPartitions() == 10
+    indexed = row_index(df, "n", block_rows=1)
+    assert indexed.count() == 3000 and indexed.filter("n <> row_index").isEmpty()
+    assert order_check(df, "n", "n", block_rows=1).first()[0]
