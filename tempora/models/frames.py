@@ -41,10 +41,11 @@ def check_fit_input(train: DataFrame, features: list[str], target: str, validati
 
 
 def fit_rows(vectors: DataFrame) -> DataFrame:
-    """Stored rows for an iterative fit: every pass reads them, so their plan must not run again, and a pass over few rows
-    should not be cut into many tasks: each sends its own histograms (FIT_ROWS a task; never more tasks than there were)."""
+    """Stored rows for an iterative fit: every pass reads them, so their plan must not run again. A pass over few rows should not be
+    cut into many tasks, as each sends its own histograms; many rows are dealt out evenly, however few files hold them (FIT_ROWS a task)."""
     stored = materialise(vectors, "vectors")
-    return stored.coalesce(max(1, -(-stored.count() // FIT_ROWS)))
+    tasks = max(1, -(-stored.count() // FIT_ROWS))
+    return stored.coalesce(1) if tasks == 1 else stored.repartition(tasks)
 
 
 def fit(estimator, train: DataFrame, features: list[str], target: str) -> PipelineModel:

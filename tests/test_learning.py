@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tempora.errors import GuardError
-from tempora.models.frames import check_fit_input, importance_table, load_model, predict, save_model
+from tempora.models import frames
+from tempora.models.frames import check_fit_input, fit_rows, importance_table, load_model, predict, save_model
 from tempora.models.linear import fit_linear, fit_ridge
 from tempora.models import search
 from tempora.models.search import draw_candidates, tune_boosted
@@ -270,3 +271,11 @@ def test_fold_blocks_hold_each_row_once(spark):
         want = {(r["k"], r["ts"]): r["role"] for r in expanding_folds(df, 4, "ts", ("k",)).filter(F.col("fold") == f).collect()}
         got = {(r["k"], r["ts"]): "train" if r["block"] <= f else "test" for r in blocks.filter(F.col("block") <= f + 1).collect()}
         assert got == want
+
+
+def test_rows_of_a_fit_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(frames, "FIT_ROWS", 100)
+    dealt = fit_rows(spark.range(450).coalesce(1))  # stored in one file
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 5 and max(sizes) <= 100 and sum(sizes) == 450
+    assert fit_rows(spark.range(100).repartition(3)).rdd.getNumPartitions() == 1
