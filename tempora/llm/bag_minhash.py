@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tempora.llm.common import ship, slices, stored
+from tempora.llm.common import map_batches, ship, slices, stored
 
 SHINGLE_WORDS = 5
 #: A pair is similar from this many hundredths on.
@@ -155,7 +155,7 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFr
             marks = pa.array([next(bytes_of).tobytes() if h else None for h in has], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), content, keys_of, marks], ["doc_id", "content", "bands", "marks"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, content string, bands array<bigint>, marks binary")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, content string, bands array<bigint>, marks binary")
 
 
 def likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +171,7 @@ def likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
 
     a = marks.select(F.col("node").alias("a"), F.col("marks").alias("marks_a"))
     b = marks.select(F.col("node").alias("b"), F.col("marks").alias("marks_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "marks_a", "marks_b").mapInArrow(run, "a long, b long")
+    return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "marks_a", "marks_b"), run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -192,7 +192,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
 
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b"), run, "a long, b long")
 
 
 def star_step(edges: DataFrame) -> DataFrame:
@@ -240,7 +240,7 @@ def shared_counts(texts: DataFrame) -> DataFrame:
             lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (item, counts.astype(np.int32))]
             yield pa.RecordBatch.from_arrays([part.column("node"), *lists, pa.array(list(sums), pa.list_(pa.int32()))], ["node", "items", "counts", "sums"])
 
-    bags = stored(texts.select("node", "text").mapInArrow(run, "node long, items array<bigint>, counts array<int>, sums array<int>"), "bags")
+    bags = stored(map_batches(texts.select("node", "text"), run, "node long, items array<bigint>, counts array<int>, sums array<int>"), "bags")
     rows = bags.select("node", F.explode(F.arrays_zip("items", "counts")).alias("x")).select("node", F.col("x.items").alias("item"), F.col("x.counts").alias("w"))
     alone = rows.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("w").alias("w")).where("n = 1")
     lost = [F.sum(F.when(F.col("item") % GROUPS == g, F.col("w")).otherwise(0)).alias(f"lost_{g}") for g in range(GROUPS)]

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tempora.llm.common import ship, slices, stored
+from tempora.llm.common import map_batches, ship, slices, stored
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -258,7 +258,7 @@ def with_language(docs: DataFrame, net: ByteNet | None, text_col: str = "text")
             yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(names))), pa.array(best, pa.string()), pa.array(score)], [*names, "__lang_pred", "__lang_score"])
 
     added = T.StructType.fromDDL("__lang_pred string, __lang_score double")
-    return told.mapInArrow(run, T.StructType([*docs.schema.fields, *added.fields]))
+    return map_batches(told, run, T.StructType([*docs.schema.fields, *added.fields]))
 
 
 def identify_language(docs: DataFrame, train_on: DataFrame | None = None) -> DataFrame:

@@ -1,21 +1,25 @@
-"""Helpers shared by the training-data operators: stored steps, worker imports, ranks without one-task sorts."""
+"""Helpers shared by the training-data operators: stored steps, worker imports and memory, ranks without one-task sorts."""
 
 from __future__ import annotations
 
+import ctypes
 import math
 import shutil
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 PACKAGE = Path(__file__).resolve().parents[1]
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
+#: Bytes of a batch that Spark sends to Python, unless the session sets its own bound. A batch is held several times on its way.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
@@ -70,6 +74,31 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
             yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Return what is free inside this process to the system; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` for steps that need much memory: batches are bounded by bytes, and nothing stays with idle workers.
+
+    Workers outlive their tasks, so what one of them keeps would add to all later steps, in Python or not.
+    """
+    if df.sparkSession.conf.get(BATCH_SETTING, None) is None:
+        df.sparkSession.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(told, schema)
+
+
 def hashed_ranks(df: DataFrame, key: str, order: list[str | Column], rows: int, name: str) -> DataFrame:
     """Number the rows of each ``key`` from 0 in a fixed pseudo-random order, without sorting a key in one task.
 

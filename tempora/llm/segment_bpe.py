@@ -23,12 +23,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tempora.llm.common import ship, slices
+from tempora.llm.common import map_batches, ship, slices
 
 NONE = np.int64(1) << 62
 POSITION_BITS = 31
-#: Chunks that a task remembers; beyond, it starts afresh, which costs time and changes no result.
-CACHE_CHUNKS = 400_000
+#: Chunks that a task remembers, at about 500 bytes each with their words; beyond, it starts afresh, which costs time and changes no result.
+CACHE_CHUNKS = 1 << 17
 
 
 def byte_signs() -> list[str]:
@@ -258,7 +258,7 @@ def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(sent.value))
-        for part in slices(batches, "__text", 2 << 20):
+        for part in slices(batches, "__text", 1 << 20):
             texts = [t or "" for t in part.column("__text").to_pylist()]
             ids, sizes, decoded = encoder.encode(texts)
             edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
@@ -267,4 +267,4 @@ def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
 
     kind = df.schema[id_col].dataType.simpleString()
     picked = df.selectExpr(f"`{id_col}` AS __id", f"`{text_col}` AS __text")
-    return picked.mapInArrow(run, f"__id {kind}, token_ids array<int>, decoded string").withColumnRenamed("__id", id_col)
+    return map_batches(picked, run, f"__id {kind}, token_ids array<int>, decoded string").withColumnRenamed("__id", id_col)

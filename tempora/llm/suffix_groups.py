@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tempora.llm.common import ship, slices, stored
+from tempora.llm.common import map_batches, ship, slices, stored
 
 WINDOW, ANCHOR = 200, 80
 #: Letters beyond the bytes: the anchor, and the end of a context.
@@ -226,7 +226,7 @@ def context_rows(keyed: DataFrame) -> DataFrame:
             hashes = [pa.array(found[n].view(np.int64)) for n in ("anchor", "context")]
             yield pa.RecordBatch.from_arrays([part.column("id").take(owner), part.column("twin").take(owner), pa.array(place), *hashes], ["id", "twin", "place", "anchor", "context"])
 
-    return keyed.mapInArrow(run, f"id {kind}, twin long, place long, anchor long, context long")
+    return map_batches(keyed, run, f"id {kind}, twin long, place long, anchor long, context long")
 
 
 def cut_contexts(keyed: DataFrame, asked: DataFrame) -> DataFrame:
@@ -249,7 +249,7 @@ def cut_contexts(keyed: DataFrame, asked: DataFrame) -> DataFrame:
                 ["anchor", "n", "n_contexts", "id", "twin", "place", "content"],
             )
 
-    return joined.mapInArrow(run, f"anchor long, n long, n_contexts long, id {kind}, twin long, place long, content binary")
+    return map_batches(joined, run, f"anchor long, n long, n_contexts long, id {kind}, twin long, place long, content binary")
 
 
 def sorted_spans(rows: DataFrame) -> DataFrame:
@@ -297,7 +297,7 @@ def sorted_spans(rows: DataFrame) -> DataFrame:
             yield told()
 
     dealt = rows.select("anchor", "n", "id", "twin", "place", "content").repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, f"id {kind}, twin long, start long, end long")
+    return map_batches(dealt, run, f"id {kind}, twin long, start long, end long")
 
 
 def counted_spans(rows: DataFrame) -> DataFrame:
@@ -315,7 +315,7 @@ def counted_spans(rows: DataFrame) -> DataFrame:
             window = np.concatenate(hashes).view(np.int64) if hashes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*picked, pa.array((place >> 16)[owner] + r), pa.array(window)], ["anchor", "n", "id", "twin", "start", "window"])
 
-    windows = stored(rows.mapInArrow(run, f"anchor long, n long, id {kind}, twin long, start long, window long"), "windows")
+    windows = stored(map_batches(rows, run, f"anchor long, n long, id {kind}, twin long, start long, window long"), "windows")
     again = windows.groupBy("anchor", "window").agg(F.count("*").alias("times")).where("times > 1").select("anchor", "window")
     met = windows.where("n = 1").join(again, ["anchor", "window"])
     return met.select("id", "twin", "start", (F.col("start") + WINDOW).alias("end"))
@@ -392,4 +392,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             added = [pa.array(sizes, pa.int64()), pa.array(merged, spans_type), pa.array(kept, pa.string() if as_text else pa.binary())]
             yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(names))), *added], out.names)
 
-    return joined.mapInArrow(run, out)
+    return map_batches(joined, run, out)

@@ -3,11 +3,14 @@
 import hashlib
 import itertools
 import random
+import re
 import zlib
 from collections import Counter
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,9 +19,11 @@ from tempora.llm import bag_minhash, suffix_groups
 from tempora.llm.bag_minhash import near_duplicates, shingles, signatures
 from tempora.llm import byte_cnn
 from tempora.llm.byte_cnn import ByteNet, fit_language, identify_language, least_score, predict_language
-from tempora.llm.common import hashed_ranks
+from tempora.llm.common import BATCH_BYTES, BATCH_SETTING, give_back, hashed_ranks
 from tempora.llm.pfair_mix import deal, mix_sources, one_period, schedule, whole_shares
 from tempora.llm.preference import format_pairs, neighbour_pairs
+from tempora.llm.queries import vocabulary_path
+from tempora.llm.segment_bpe import encode_decode
 from tempora.llm.suffix_groups import remove_repeats, suffix_array
 from tempora.llm.topk_histogram import top_k
 
@@ -401,3 +406,31 @@ def test_rows_that_repeat_id_and_text_do_not_multiply(spark):
     counts = {(r["doc_id"], len(r["repeat_kept"]), len(r["repeat_spans"])): r["n"] for r in got.groupBy("doc_id", "repeat_kept", "repeat_spans").agg(F.count("*").alias("n")).collect()}
     # 300 letters x hold 200-byte strings that repeat inside the text, so nothing of row 1 is left.
     assert counts == {(None, 0, 1): 3000, (1, 0, 1): 1, (2, 5, 1): 1, (3, 157, 0): 1, (4, 0, 0): 1}
+
+
+def test_batches_sent_to_python_are_bounded_by_bytes(spark):
+    docs = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 800).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    spark.conf.unset(BATCH_SETTING)
+    assert encode_decode(docs, vocabulary_path()).count() == 6000
+    got = docs.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r["n"] for r in got) == 6000 and max(r["bytes"] for r in got) < BATCH_BYTES + 10_000
+    spark.conf.set(BATCH_SETTING, "123456")  # what the session sets stands
+    encode_decode(docs, vocabulary_path())
+    assert spark.conf.get(BATCH_SETTING) == "123456"
+    spark.conf.unset(BATCH_SETTING)
+
+
+def test_free_memory_goes_back_to_the_system():
+    def held():
+        return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) >> 10
+
+    blocks = [bytearray(b"x") * 100_000 for _ in range(2000)]
+    del blocks[:-1]  # the last one keeps the others' place below it
+    before = held()
+    give_back()
+    assert held() < before - 100
