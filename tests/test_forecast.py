@@ -1,6 +1,7 @@
 """The whole run on a generated series, and the registered queries' contract."""
 
 import datetime as dt
+import inspect
 import json
 import math
 import random
@@ -118,6 +119,32 @@ def test_the_registered_custom_boosting_has_the_operators_size(spark, monkeypatc
     assert isinstance(e, GBTRegressor) and (e.getMaxIter(), e.getStepSize(), e.getMaxDepth()) == (500, 0.05, 6)
 
 
+def test_the_registered_comparison_searches_the_whole_space(spark, monkeypatch):
+    from tempora import queries
+    from tempora.models.search import draw_candidates, tune_boosted
+    from tempora.plans import forecast
+    from tempora.schemas import SEARCH_SPACE, SEED
+
+    class Asked(Exception):
+        pass
+
+    def search(*args, **options):
+        bound = inspect.signature(tune_boosted).bind(*args, **options)
+        bound.apply_defaults()
+        raise Asked(bound.arguments)
+
+    rows = [(START + dt.timedelta(minutes=30 * i), float(i), float(i % 5), "train" if i < 6 else "validation") for i in range(8)]
+    labelled = spark.createDataFrame(rows, f"{TS} timestamp_ntz, {TARGET} double, lag_1 double, split string")
+    monkeypatch.setattr(queries, "_labelled", lambda *_: labelled)
+    monkeypatch.setattr(forecast, "tune_boosted", search)
+    with pytest.raises(Asked) as asked:
+        queries.model_comparison(spark, "")
+    (a,) = asked.value.args
+    assert a["n_splits"] == 4 and a["max_bins"] == 256
+    drawn = draw_candidates(a["space"] or SEARCH_SPACE, a["n_iter"], a["seed"])
+    assert drawn == draw_candidates(SEARCH_SPACE, 25, SEED) and len(drawn) == 25
+
+
 def test_a_refused_run_publishes_nothing(spark, tmp_path):
     rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=30 * (i // 2)), 1.0) for i in range(40)]
     demand = spark.createDataFrame(rows, "INTERVAL_DATETIME timestamp_ntz, OPERATIONAL_DEMAND double")
