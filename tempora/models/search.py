@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tempora.errors import GuardError
 from tempora.models.frames import FEATURES, assembler, check_fit_input, fit, fit_rows
+from tempora.models.rounds import TASK_CELLS, fold_errors
 from tempora.models.trees import DEFAULT_ROUNDS, boosting_estimator
 from tempora.operators.metrics import cv_summary
 from tempora.operators.split import fold_blocks
@@ -70,8 +71,9 @@ def tune_boosted(
 ) -> SearchResult:
     """Mean validation MAE over expanding folds picks the winner, refitted on all of ``train``.
 
-    Every fit is a distributed job; ``parallelism`` bounds how many are submitted at once. Rows are assembled and stored once, by
-    block of time, and every fold reads the blocks it needs. Candidates that differ only in their rounds share one
+    A fit whose rows one worker can hold (``TASK_CELLS``) runs inside one task, as many at once as there are cores. A larger one is
+    a distributed job of many tasks; ``parallelism`` bounds how many of those are submitted at once. Rows are assembled and stored
+    once, by block of time, and every fold reads the blocks it needs. Candidates that differ only in their rounds share one
     fit of the most rounds: its first trees are the smaller models, which one pass scores together; the fit's time is shared out
     by rounds. A smaller search is a smaller ``space`` or ``n_iter``; drawn values are used as they are.
     """
@@ -89,23 +91,40 @@ def tune_boosted(
     blocks = materialise(fold_blocks(materialise(vectors), n_splits, ts, series), "blocks", partition_by=("block",))
     families = same_but_rounds(candidates)
 
+    rows_of = {r["block"]: r["count"] for r in blocks.groupBy("block").count().collect()}  # a row per block
+
+    def cells(f: int) -> int:
+        return len(features) * sum(n for block, n in rows_of.items() if block <= f + 1)
+
     def score(task: tuple[list[int], int]) -> list[tuple[int, int, float, float, float]]:
         members, f = task
         rounds = [int(candidates[c].get(ROUNDS, DEFAULT_ROUNDS)) for c in members]
         longest = {**candidates[members[0]], ROUNDS: max(rounds)}
         estimator = boosting_estimator(longest, seed, max_bins).setFeaturesCol(FEATURES).setLabelCol(target)
-        train_part = fit_rows(blocks.filter(F.col("block") <= f).select(FEATURES, target))
-        started = time.perf_counter()
-        model = estimator.fit(train_part)
-        took = time.perf_counter() - started
-        test_part = blocks.filter(F.col("block") == f + 1).select(FEATURES, target)
         # Mean absolute error after each round.
-        tested, trained = (model.evaluateEachIteration(part, "absolute") for part in (test_part, train_part))
+        if cells(f) <= TASK_CELLS:
+            fold = blocks.filter(F.col("block") <= f + 1).select(FEATURES, target, (F.col("block") == f + 1).alias("is_test"))
+            tested, trained, took = fold_errors(fold, FEATURES, target, "is_test", estimator)
+        else:
+            train_part = fit_rows(blocks.filter(F.col("block") <= f).select(FEATURES, target))
+            started = time.perf_counter()
+            model = estimator.fit(train_part)
+            took = time.perf_counter() - started
+            test_part = blocks.filter(F.col("block") == f + 1).select(FEATURES, target)
+            tested, trained = (model.evaluateEachIteration(part, "absolute") for part in (test_part, train_part))
         return [(c, f, float(tested[n - 1]), float(trained[n - 1]), took * n / max(rounds)) for c, n in zip(members, rounds, strict=True)]
 
-    tasks = [(members, f) for members in families for f in range(n_splits)]
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        scores = [s for found in pool.map(score, tasks, chunksize=1) for s in found]
+    def work(task: tuple[list[int], int]) -> int:
+        members, f = task
+        return cells(f) * max(int(candidates[c].get(ROUNDS, DEFAULT_ROUNDS)) for c in members)
+
+    # The longest fits go first, so that no core is left with one at the end.
+    tasks = sorted(((members, f) for members in families for f in range(n_splits)), key=work, reverse=True)
+    scores = []
+    for held, width in ((True, max(parallelism, train.sparkSession.sparkContext.defaultParallelism)), (False, parallelism)):
+        if some := [t for t in tasks if (cells(t[1]) <= TASK_CELLS) == held]:
+            with ThreadPool(max(1, min(width, len(some)))) as pool:
+                scores += [s for found in pool.map(score, some, chunksize=1) for s in found]
     spark = train.sparkSession
     table = spark.createDataFrame(
         scores, "candidate int, fold int, validation_MAE double, training_MAE double, fit_time double"

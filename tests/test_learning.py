@@ -12,7 +12,8 @@ from tempora.errors import GuardError
 from tempora.models import frames
 from tempora.models.frames import check_fit_input, fit_rows, importance_table, load_model, predict, save_model
 from tempora.models.linear import fit_linear, fit_ridge
-from tempora.models import search
+from tempora.models import rounds, search
+from tempora.models.rounds import Boosting, errors_by_round, fold_errors, thresholds
 from tempora.models.search import draw_candidates, tune_boosted
 from tempora.models.trees import boosting_estimator, fit_boosted, fit_boosted_default, fit_random_forest
 from tempora.operators import metrics
@@ -279,3 +280,76 @@ def test_rows_of_a_fit_are_dealt_over_tasks(spark, monkeypatch):
     sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 5 and max(sizes) <= 100 and sum(sizes) == 450
     assert fit_rows(spark.range(100).repartition(3)).rdd.getNumPartitions() == 1
+
+
+@pytest.fixture(scope="module")
+def folded(spark):
+    """150 rows to train on and 50 to test on: a few levels, a constant, 150 distinct values where there are 32 bins."""
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.integers(0, 7, 200), np.full(200, 2.0), rng.normal(size=(200, 2))])
+    y = 3 * x[:, 0] + np.sin(2 * x[:, 2]) + rng.normal(scale=0.3, size=200)
+    rows = [(*map(float, r), float(v), i % 4 == 3) for i, (r, v) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, y double, is_test boolean")
+    vectors = frames.assembler(["a", "b", "c", "d"]).transform(df).select("features", "y", "is_test").cache()
+    return vectors, x, y, np.arange(200) % 4 == 3
+
+
+@pytest.mark.parametrize("few", [0, 2000])
+def test_a_fit_in_one_task_equals_sparks(folded, monkeypatch, few):
+    df, x, y, is_test = folded
+    e = boosting_estimator({"n_estimators": 6, "learning_rate": 0.1, "max_depth": 3, "min_child_weight": 5}, max_bins=32)
+    model = e.setFeaturesCol("features").setLabelCol("y").fit(df.filter("not is_test").coalesce(1))
+    monkeypatch.setattr(rounds, "FEW_ROWS", few)
+    tested, trained = errors_by_round(x, y, is_test, Boosting.of(e))
+    for part, got in ((df.filter("is_test"), tested), (df.filter("not is_test"), trained)):
+        np.testing.assert_allclose(got, model.evaluateEachIteration(part, "absolute"), rtol=1e-9)
+    first, second, took = fold_errors(df.repartition(3), "features", "y", "is_test", e)
+    np.testing.assert_allclose([first, second], [tested, trained], rtol=1e-12)
+    assert took > 0
+
+
+def test_sampled_rounds_learn_and_are_reproducible(folded):
+    _, x, y, is_test = folded
+    p = Boosting(40, 0.1, 4, 2, 0.7, 0.5, 32, 42)
+    tested, trained = errors_by_round(x, y, is_test, p)
+    back = np.arange(200)[::-1]  # stored in another order
+    again = errors_by_round(x[back], y[back], is_test[back], p)
+    np.testing.assert_allclose([tested, trained], again)
+    whole = errors_by_round(x, y, is_test, Boosting(40, 0.1, 4, 2, 1.0, 1.0, 32, 42))
+    assert trained[-1] < trained[0] and tested[-1] < np.abs(y - y.mean()).mean() and not np.allclose(trained, whole[1])
+
+
+def test_deep_trees_keep_their_least_rows(folded):
+    _, x, y, is_test = folded
+    # With one row a leaf, one tree learns every training row by heart; a leaf of 75 rows or more allows one split at most.
+    by_heart = errors_by_round(x, y, is_test, Boosting(1, 0.1, 30, 1, 1.0, 1.0, 256, 1))[1]
+    assert by_heart[0] == pytest.approx(0, abs=1e-12)
+    alone = errors_by_round(x, y, is_test, Boosting(1, 0.1, 30, 76, 1.0, 1.0, 256, 1))[1]
+    train = y[~is_test]
+    assert alone[0] == pytest.approx(np.abs(train - train.mean()).mean())
+
+
+def test_thresholds_are_midpoints_or_even_counts():
+    assert thresholds(np.array([3.0, 1.0, 1.0, 2.0]), 32).tolist() == [1.5, 2.5]
+    assert thresholds(np.full(5, 7.0), 32).tolist() == []
+    assert thresholds(np.arange(8.0), 4).tolist() == [1.5, 3.5, 5.5]
+
+
+def test_rows_beyond_one_task_are_fitted_by_spark(matrix, monkeypatch):
+    df = matrix[0]
+    space = {"n_estimators": [2], "max_depth": [2], "learning_rate": [0.3]}
+    options = {"n_iter": 1, "n_splits": 2, "space": space, "max_bins": 32}
+    within = tune_boosted(df, ["a", "b", "c"], "y", "ts", **options).best_score
+    monkeypatch.setattr(search, "TASK_CELLS", 3 * 80)  # the first fold has 80 rows, the second 120
+    asked = []
+    plain = search.fold_errors
+    monkeypatch.setattr(search, "fold_errors", lambda *args: asked.append(args) or plain(*args))
+    assert tune_boosted(df, ["a", "b", "c"], "y", "ts", **options).best_score == pytest.approx(within)
+    assert len(asked) == 1
+
+
+def test_a_fold_without_rows_is_refused(folded):
+    df = folded[0]
+    for part in ("is_test", "not is_test", "false"):
+        with pytest.raises(GuardError, match="no rows"):
+            fold_errors(df.filter(part), "features", "y", "is_test", boosting_estimator({"n_estimators": 1}))
